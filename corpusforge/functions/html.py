@@ -9,7 +9,7 @@ chain (``STEPS`` and tables below are data, shared by both sides).
 The text is a documented near equivalent of a DOM text extractor:
 comments, ``script/style/noscript/template`` and the head are dropped,
 ``<img alt>`` texts are kept, inline tags vanish, other tags become a space,
-entities are decoded (``&amp;`` last) and white space is collapsed.
+entities are decoded in one pass and white space is collapsed.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusforge.functions.text import WS_CLASS, collapse_whitespace
+from corpusforge.functions.text import WS_SQUASH, WS_UNICODE_CHARS, collapse_whitespace
 
 # Patterns of the extraction chain.
 COMMENT_RE = r"(?s)<!--.*?-->"
@@ -43,17 +43,14 @@ CONTENT_ATTR_RE = r"(?is)\bcontent\s*=\s*\"([^\"]*)\""
 HTML_LANG_RE = r"(?is)<html\b[^>]*\blang\s*=\s*\"?([A-Za-z_\-]+)"
 ARTICLE_RE = r"(?is)<article\b[^>]*>(.*)</article\s*>"
 
-# Character references decoded, in this order; ``&amp;`` is
-# always decoded last so ``&amp;lt;`` stays ``&lt;``.
+# The character references decoded (name between '&' and ';').
 ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "),
-    ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"), ("&ndash;", "–"),
-    ("&mdash;", "—"), ("&hellip;", "…"), ("&laquo;", "«"), ("&raquo;", "»"),
-    ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"),
-    ("&euro;", "€"), ("&trade;", "™"), ("&#39;", "'"), ("&#x27;", "'"), ("&#34;", '"'),
-    ("&#160;", " "), ("&#8211;", "–"), ("&#8212;", "—"), ("&#8216;", "‘"),
-    ("&#8217;", "’"), ("&#8220;", "“"), ("&#8221;", "”"), ("&#8230;", "…"),
-    ("&#38;", "&"), ("&amp;", "&"),
+    ("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("nbsp", "\u00a0"), ("amp", "&"),
+    ("copy", "©"), ("reg", "®"), ("middot", "·"), ("ndash", "–"), ("mdash", "—"),
+    ("hellip", "…"), ("laquo", "«"), ("raquo", "»"), ("lsquo", "‘"), ("rsquo", "’"),
+    ("ldquo", "“"), ("rdquo", "”"), ("euro", "€"), ("trade", "™"), ("#39", "'"), ("#x27", "'"),
+    ("#34", '"'), ("#38", "&"), ("#160", "\u00a0"), ("#8211", "–"), ("#8212", "—"),
+    ("#8216", "‘"), ("#8217", "’"), ("#8220", "“"), ("#8221", "”"), ("#8230", "…"),
 ]
 
 MAX_KEYWORD_LENGTH = 80
@@ -71,32 +68,51 @@ def _col(c) -> Column:
 
 
 def unescape(c) -> Column:
-    """Decode the supported character references."""
+    """Decode character references in one pass (a decoded '&' is never re-read).
+
+    The text is split at '&'; every piece after the first starts with a
+    candidate name, looked up in a map literal. Values without '&' are
+    returned as they are.
+    """
     c = _col(c)
-    for entity, char in ENTITIES:
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+    table = F.create_map(*[x for name, char in ENTITIES for x in (F.lit(name), F.lit(char))])
+
+    def piece(s: Column, i: Column) -> Column:
+        name = F.substring_index(s, ";", 1)
+        char = F.try_element_at(table, name)
+        return (F.when(i == 0, s)
+                 .when(F.contains(s, F.lit(";")) & char.isNotNull(),
+                       F.concat(char, s.substr(F.length(name) + 2, F.lit(1 << 30))))
+                 .otherwise(F.concat(F.lit("&"), s)))
+
+    decoded = F.array_join(F.transform(F.split(c, "&", -1), piece), "")
+    return F.when(F.contains(c, F.lit("&")), decoded).otherwise(c)
 
 
 def squash(c) -> Column:
-    """All white space to single spaces, trimmed (text without formatting)."""
-    return F.regexp_replace(F.regexp_replace(_col(c), WS_CLASS + "+", " "), "^ | $", "")
+    """All white space to single spaces, trimmed (text without formatting).
 
+    Only runs of two or more and lone non-space characters are rewritten,
+    so the common single space between words costs no replacement.
+    """
+    ascii_ws = F.translate(_col(c), WS_UNICODE_CHARS, "\t" * len(WS_UNICODE_CHARS))
+    return F.trim(F.regexp_replace(ascii_ws, WS_SQUASH, " "))
 
-def fragment_text(fragment) -> Column:
-    """Plain text of an HTML fragment (tags out, entities decoded, squashed)."""
-    c = _col(fragment)
+
+def _strip_tags(c: Column) -> Column:
     for pattern, repl in TEXT_STEPS:
         c = F.regexp_replace(c, pattern, repl)
-    return squash(unescape(c))
+    return c
+
+
+def fragment_text(fragment) -> Column:
+    """Plain text of an HTML fragment (tags out, entities decoded, squashed)."""
+    return squash(unescape(_strip_tags(_col(fragment))))
 
 
 def element_text(fragment) -> Column:
     """Text of one element's inner HTML, collapsed as the reference does."""
-    c = _col(fragment)
-    for pattern, repl in TEXT_STEPS:
-        c = F.regexp_replace(c, pattern, repl)
-    return collapse_whitespace(unescape(c))
+    return collapse_whitespace(unescape(_strip_tags(_col(fragment))))
 
 
 def _nonempty(c: Column) -> Column:
@@ -115,51 +131,57 @@ def extract_html_fields(df: DataFrame, html: str = "html", prefix: str = "") ->
     """Add the page fields derived from column ``html``.
 
     Adds ``has_body, title, meta_desc, meta_keywords, headings, full_text,
-    main_text, html_lang`` (each name with ``prefix``).
+    main_text, html_lang`` (each name with ``prefix``). The work is staged
+    in projections (cleaned page -> head/body -> raw fragments -> fields) so
+    each intermediate is evaluated once per row.
     """
     p = prefix
-    raw = F.col(html)
-    cleaned = raw
+    t = f"__h{p}"
+    cleaned = F.col(html)
     for pattern, repl in PRE_STEPS:
         cleaned = F.regexp_replace(cleaned, pattern, repl)
-    tmp_clean, tmp_head, tmp_body = f"__{p}clean", f"__{p}head", f"__{p}body"
-    out = df.withColumn(tmp_clean, cleaned)
-    c = F.col(tmp_clean)
-    has_body_tag = c.rlike(BODY_TAG_RE)
-    out = out.withColumn(tmp_head, F.regexp_replace(c, FROM_BODY_RE, "")).withColumn(
-        tmp_body,
-        F.when(has_body_tag, F.regexp_replace(c, BEFORE_BODY_RE, ""))
-         .otherwise(F.regexp_replace(c, HEAD_ELEMENT_RE, " ")))
-    head, body = F.col(tmp_head), F.col(tmp_body)
-
-    title_tag = collapse_whitespace(unescape(F.regexp_extract(c, TITLE_RE, 1)))
-    h1 = element_text(F.regexp_extract(body, H1_RE, 1))
-    h2 = element_text(F.regexp_extract(body, H2_RE, 1))
-    title_class = element_text(F.regexp_extract(body, TITLE_CLASS_RE, 1))
-    title = F.coalesce(_nonempty(title_tag), _nonempty(h1), _nonempty(h2),
-                       _nonempty(title_class), F.lit(""))
-
-    desc_tag = F.regexp_extract(head, META_DESC_TAG_RE, 0)
+    out = df.withColumn(t + "clean", cleaned)
+    c = F.col(t + "clean")
+    out = out.withColumn(t + "hasbody", c.rlike(BODY_TAG_RE))
+    out = out.withColumns({
+        t + "head": F.regexp_replace(c, FROM_BODY_RE, ""),
+        t + "body": F.when(F.col(t + "hasbody"), F.regexp_replace(c, BEFORE_BODY_RE, ""))
+                     .otherwise(F.regexp_replace(c, HEAD_ELEMENT_RE, " ")),
+    })
+    head, body = F.col(t + "head"), F.col(t + "body")
+    out = out.withColumns({
+        t + "title": F.regexp_extract(c, TITLE_RE, 1),
+        t + "h1": F.regexp_extract(body, H1_RE, 1),
+        t + "h2": F.regexp_extract(body, H2_RE, 1),
+        t + "tc": F.regexp_extract(body, TITLE_CLASS_RE, 1),
+        t + "desc": F.regexp_extract(head, META_DESC_TAG_RE, 0),
+        t + "kw": F.regexp_extract(head, META_KEYWORDS_TAG_RE, 0),
+        t + "article": F.regexp_extract(body, ARTICLE_RE, 1),
+        t + "headings": F.regexp_extract_all(body, F.lit(HEADING_RE), 1),
+    })
+    title = F.coalesce(
+        _nonempty(collapse_whitespace(unescape(F.col(t + "title")))),
+        _nonempty(element_text(F.col(t + "h1"))),
+        _nonempty(element_text(F.col(t + "h2"))),
+        _nonempty(element_text(F.col(t + "tc"))), F.lit(""))
+    desc_tag, kw_tag = F.col(t + "desc"), F.col(t + "kw")
     desc = F.when(desc_tag == "", F.lit("")).otherwise(
         collapse_whitespace(unescape(F.regexp_extract(desc_tag, CONTENT_ATTR_RE, 1))))
-    kw_tag = F.regexp_extract(head, META_KEYWORDS_TAG_RE, 0)
     kw_content = F.when(kw_tag == "", F.lit(None).cast("string")).otherwise(
         unescape(F.regexp_extract(kw_tag, CONTENT_ATTR_RE, 1)))
-
-    headings = F.filter(F.transform(F.regexp_extract_all(body, F.lit(HEADING_RE), 1), element_text),
+    headings = F.filter(F.transform(F.col(t + "headings"), lambda h: element_text(h)),
                         lambda h: h != "")
-    article = F.regexp_extract(body, ARTICLE_RE, 1)
-    full_text = fragment_text(body)
-    main_text = F.when(article != "", fragment_text(article)).otherwise(full_text)
-    lang = F.nullif(F.regexp_extract(raw, HTML_LANG_RE, 1), F.lit(""))
-
-    return (out
-            .withColumn(f"{p}has_body", raw.isNotNull() & has_body_tag)
-            .withColumn(f"{p}title", title)
-            .withColumn(f"{p}meta_desc", desc)
-            .withColumn(f"{p}meta_keywords", meta_keywords(kw_content))
-            .withColumn(f"{p}headings", headings)
-            .withColumn(f"{p}full_text", full_text)
-            .withColumn(f"{p}main_text", main_text)
-            .withColumn(f"{p}html_lang", lang)
-            .drop(tmp_clean, tmp_head, tmp_body))
+    out = out.withColumns({
+        f"{p}has_body": F.col(html).isNotNull() & F.col(t + "hasbody"),
+        f"{p}title": title,
+        f"{p}meta_desc": desc,
+        f"{p}meta_keywords": meta_keywords(kw_content),
+        f"{p}headings": headings,
+        f"{p}full_text": fragment_text(body),
+        f"{p}html_lang": F.nullif(F.regexp_extract(F.col(html), HTML_LANG_RE, 1), F.lit("")),
+    })
+    article = F.col(t + "article")
+    out = out.withColumn(f"{p}main_text", F.when(article != "", fragment_text(article))
+                         .otherwise(F.col(f"{p}full_text")))
+    return out.drop(*[t + x for x in ("clean", "hasbody", "head", "body", "title", "h1", "h2", "tc",
+                                      "desc", "kw", "article", "headings")])

@@ -12,6 +12,13 @@ from pyspark.sql import functions as F
 WS_CLASS = (r"[\t\n\x0b\x0c\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
             r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
 WS_RUN = WS_CLASS + "{2,}"
+# The non-ASCII members of WS_CLASS, as characters (for ``translate``), and
+# the ASCII class: squashing maps the former to a tab, then rewrites only
+# runs of two or more and lone non-space characters of the ASCII class.
+WS_UNICODE_CHARS = ("\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+                    + "\u2028\u2029\u202f\u205f\u3000")
+WS_ASCII_CLASS = r"[\t\n\x0b\x0c\r ]"
+WS_SQUASH = WS_ASCII_CLASS + "{2,}|" + r"[\t\n\x0b\x0c\r]"
 WS_EDGES = "^" + WS_CLASS + "+|" + WS_CLASS + "+$"
 
 REPLACEMENT_CHAR = "�"

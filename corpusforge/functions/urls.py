@@ -60,6 +60,39 @@ def url_parts(url) -> Column:
     ))
 
 
+def with_url_parts(df, url: str, prefix: str = "") -> "DataFrame":
+    """Add ``{prefix}host, {prefix}path, {prefix}query`` to ``df`` (staged).
+
+    Same result as ``url_parts``, but each intermediate is its own column,
+    so Catalyst keeps one evaluation per row instead of inlining the shared
+    sub-expressions into every consumer.
+    """
+    t = f"__u{prefix}"
+    df = df.withColumn(t + "c", _clean(F.col(url)))
+    c = F.col(t + "c")
+    df = df.withColumns({t + "s": F.lower(F.regexp_extract(c, URL_RE, 1)),
+                         t + "n": F.regexp_extract(c, URL_RE, 2),
+                         t + "p": F.regexp_extract(c, URL_RE, 3),
+                         t + "q": F.regexp_extract(c, URL_RE, 4)})
+    df = df.withColumn(t + "i", F.regexp_extract(F.col(t + "n"), r"^(?:.*@)?(.*)$", 1))
+    hi = F.col(t + "i")
+    df = df.withColumn(t + "h", F.when(F.contains(hi, F.lit("[")), F.regexp_extract(hi, r"\[([^\]]*)", 1))
+                       .otherwise(F.substring_index(hi, ":", 1)))
+    h = F.col(t + "h")
+    df = df.withColumn(t + "l", F.concat(F.lower(F.substring_index(h, "%", 1)),
+                                         F.regexp_extract(h, r"(%.*)$", 1)))
+    raw_path, scheme = F.col(t + "p"), F.col(t + "s")
+    path = F.when(scheme.isin(*PARAM_SCHEMES) & F.contains(raw_path, F.lit(";")),
+                  F.regexp_replace(raw_path, PARAMS_RE, "$1")).otherwise(raw_path)
+    isnull = F.col(url).isNull()
+    df = df.withColumns({
+        prefix + "host": F.when(isnull, F.lit(None)).otherwise(F.nullif(F.col(t + "l"), F.lit(""))),
+        prefix + "path": F.when(isnull, F.lit(None)).otherwise(path),
+        prefix + "query": F.when(isnull, F.lit(None)).otherwise(F.col(t + "q")),
+    })
+    return df.drop(*[t + x for x in "csnpqihl"])
+
+
 def url_host(url) -> Column:
     return url_parts(url)["host"]
 

@@ -75,10 +75,10 @@ def _plain_data(uuid: Column, doc_id: Column, body: Column, **extra) -> dict:
     return data
 
 
-def _url_fields(url: Column) -> dict:
-    parts = urls.url_parts(url)
-    return dict(warc_target_uri=url, warc_target_hostname=parts["host"],
-                warc_target_path=parts["path"], warc_target_query_string=parts["query"])
+def _url_fields(url: Column, parts: str = "__url_") -> dict:
+    """Data fields of a URL whose parts were added by ``urls.with_url_parts(df, .., parts)``."""
+    return dict(warc_target_uri=url, warc_target_hostname=F.col(parts + "host"),
+                warc_target_path=F.col(parts + "path"), warc_target_query_string=F.col(parts + "query"))
 
 
 @dataclass(frozen=True)
@@ -132,11 +132,13 @@ def build_plain(mapping: CorpusMapping, docs: DataFrame, bucket: str | None,
 
     extra = {}
     if parents is not None:
+        df = urls.with_url_parts(df, "p_url", "__url_")
         extra.update(_url_fields(F.col("p_url")), title=F.col("p_title"))
     elif spec.wikidata:
         extra.update(warc_target_uri=F.concat(F.lit(WIKIDATA_URI), F.col("wikidata_id")),
                      warc_target_hostname=F.lit(WIKIDATA_HOST))
     elif spec.url and "url" in df.columns:
+        df = urls.with_url_parts(df, "url", "__url_")
         extra.update(_url_fields(F.col("url")))
     if parents is None:
         if spec.title == "title":
@@ -243,8 +245,13 @@ def build_web(mapping: CorpusMapping, docs: DataFrame, bucket: str | None,
     main = F.col("text") if "text" in docs.columns else F.col("x_main_text")
     df = df.withColumn("__main", main).withColumn(
         "skip_reason", filters.skip_reason("x_has_body", "x_full_text", "__main"))
+    # Optimisation barrier: the filter reads a non-deterministic column, so
+    # Catalyst can neither prune it nor push the filter below the extraction
+    # (which would inline the whole HTML chain a second time in the filter).
+    df = df.withColumn("__barrier", F.spark_partition_id())
     if not keep_skipped:
-        df = filters.keep(df)
+        df = df.filter(F.col("skip_reason").isNull() & (F.col("__barrier") >= 0))
+    df = urls.with_url_parts(df, "url", "__url_")
     df = df.withColumn("__loc", web_doc_location(F.col("doc_id")))
     lo = line_offsets.select(F.col("stem").alias("__stem"), F.col("doc_no").alias("__doc_no"),
                              "html_offset", "txt_offset")

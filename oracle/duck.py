@@ -129,11 +129,17 @@ def url_columns(url: str, prefix: str = "") -> list[str]:
 # ---------------------------------------------------------------- html
 
 def unescape(x: str) -> str:
-    return replace_all(x, H.ENTITIES)
+    name = "split_part(s, ';', 1)"
+    char = f"CASE {name} " + " ".join(f"WHEN {q(n)} THEN {q(c)}" for n, c in H.ENTITIES) + " END"
+    piece = (f"CASE WHEN i = 1 THEN s WHEN contains(s, ';') AND ({char}) IS NOT NULL "
+             f"THEN ({char}) || substring(s, length({name}) + 2) ELSE '&' || s END")
+    return (f"CASE WHEN contains({x}, '&') THEN array_to_string(list_transform(string_split({x}, '&'), "
+            f"lambda s, i: {piece}), '') ELSE {x} END")
 
 
 def squash(x: str) -> str:
-    return rx(rx(x, T.WS_CLASS + "+", " "), "^ | $", "")
+    t = f"translate({x}, {q(T.WS_UNICODE_CHARS)}, {q(chr(9) * len(T.WS_UNICODE_CHARS))})"
+    return f"trim({rx(t, T.WS_SQUASH, ' ')})"
 
 
 def _text_steps(x: str) -> str:
