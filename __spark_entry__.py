@@ -328,17 +328,17 @@ def _lang_tokens(lang):
     return run
 
 
-def _doc_tokens(spark, sf_dir):
+def _doc_terms(spark, sf_dir):
     d = _t(spark, sf_dir, "documents")
-    return d.select("doc_id", "lang", analyze.tokens_for_language(F.col("text"), F.col("lang"), LANGS).alias("tokens"))
+    return search.doc_terms(d, "doc_id", "text", lang_col="lang", languages=LANGS)
 
 
 def q_postings(spark, sf_dir):
-    return search.postings(_doc_tokens(spark, sf_dir))
+    return search.postings(_doc_terms(spark, sf_dir)).select("term", "doc_id", "tf")
 
 
 def q_term_stats(spark, sf_dir):
-    st = search.term_stats(search.postings(_doc_tokens(spark, sf_dir)))
+    st = search.term_stats(search.postings(_doc_terms(spark, sf_dir)))
     return st.select("term", F.col("df").cast("bigint").alias("df"), F.col("cf").cast("bigint").alias("cf"))
 
 
@@ -357,9 +357,8 @@ def q_field_filter(spark, sf_dir):
 
 def q_bm25_topk(spark, sf_dir):
     d = _t(spark, sf_dir, "documents").filter(F.col("lang") == "en")
-    toks = d.select("doc_id", analyze.language_tokens(F.col("text"), "en").alias("tokens"))
-    post = search.postings(toks)
-    lengths = search.doc_lengths(toks)
+    post = search.postings(search.doc_terms(d, "doc_id", "text", lang="en"))
+    lengths = d.select("doc_id", F.size(analyze.words(F.col("text"))).cast("bigint").alias("dl"))
     queries = _t(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("qid"), analyze.language_tokens(F.col("text"), "en").alias("tokens"))
     top = search.bm25_topk(queries, post, lengths, k=TOPK)

@@ -86,20 +86,18 @@ def stem_en(t: Column) -> Column:
              .otherwise(_drop(t, 1)))
 
 
-def _strip_suffix(t: Column, suffix: str) -> Column:
-    return F.when(t.endswith(suffix), F.substring(t, 1, _len(t) - len(suffix))).otherwise(t)
+# Sequential optional strips of final s, r, e, é equal removing the longest
+# suffix of this form.
+FR_ENDINGS_RE = "é?e?r?s?$"
 
 
 def stem_fr(t: Column) -> Column:
     """Minimal French stemmer: plural and a few inflection endings."""
-    aux = F.concat(_drop(t, 3), F.lit("al"))
-    x = t
-    for suffix in ("s", "r", "e", "é"):
-        x = _strip_suffix(x, suffix)
+    x = F.regexp_replace(t, FR_ENDINGS_RE, "")
     last, prev = F.substring(x, -1, 1), F.substring(x, -2, 1)
     x = F.when((_len(x) >= 2) & (last == prev) & last.rlike(r"^\p{L}$"), _drop(x, 1)).otherwise(x)
     return (F.when(_len(t) < 6, t)
-             .when(t.endswith("aux"), aux)
+             .when(t.endswith("aux"), F.concat(_drop(t, 3), F.lit("al")))
              .when(t.endswith("x"), _drop(t, 1))
              .otherwise(x))
 
@@ -131,16 +129,35 @@ STEMMERS = {"en": stem_en, "fr": stem_fr, "de": stem_de, "es": stem_es}
 # ----------------------------------------------------------------- analyzers
 
 
-def language_tokens(c: Column, lang: str) -> Column:
-    """Tokens of a ``*_lang_<lang>`` field: words -> [elision] -> [stem] -> fold."""
-    toks = words(c)
+def language_term(word: Column, lang: str) -> Column:
+    """One word through a language's filters: [elision] -> [stem] -> fold.
+
+    A plain column expression: applied after ``explode`` it runs in
+    generated code, one word per row.
+    """
+    t = word
     if lang == "fr":
-        toks = F.transform(toks, lambda t: F.regexp_replace(t, ELISION_RE, ""))
-        toks = F.filter(toks, lambda t: t != "")
+        t = F.regexp_replace(t, ELISION_RE, "")
     stem = STEMMERS.get(lang)
     if stem is not None:
-        toks = F.transform(toks, stem)
-    return F.transform(toks, fold)
+        t = stem(t)
+    return fold(t)
+
+
+def term_for_language(word: Column, lang_col: Column, languages=("en", "fr", "de", "es")) -> Column:
+    """Each word through its own row's language filters (default: fold only)."""
+    expr = None
+    for lang in languages:
+        branch = language_term(word, lang)
+        expr = F.when(lang_col == lang, branch) if expr is None else expr.when(lang_col == lang, branch)
+    default = language_term(word, "default")
+    return default if expr is None else expr.otherwise(default)
+
+
+def language_tokens(c: Column, lang: str) -> Column:
+    """Token array of a ``*_lang_<lang>`` field (K5)."""
+    toks = F.transform(words(c), lambda w: language_term(w, lang))
+    return F.filter(toks, lambda t: t != "") if lang == "fr" else toks
 
 
 def tokens_for_language(c: Column, lang_col: Column, languages=("en", "fr", "de", "es")) -> Column:

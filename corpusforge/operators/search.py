@@ -15,20 +15,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusforge.functions import analyze
+
 # Lucene/ES BM25 defaults.
 K1 = 1.2
 B = 0.75
 MAX_BROADCAST_QUERY_TERMS = 1_000_000
 
 
-def postings(tokens: DataFrame, doc_col: str = "doc_id", tokens_col: str = "tokens") -> DataFrame:
-    """``(term, doc_id, tf)`` for every term of every document (K8)."""
-    return (tokens.select(F.col(doc_col).alias("doc_id"), F.explode(tokens_col).alias("term"))
-                  .groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf")))
+def doc_terms(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
+              lang: str | None = None, lang_col: str | None = None,
+              languages=("en", "fr", "de", "es")) -> DataFrame:
+    """``(doc_id, dl, term)``: one row per token occurrence.
+
+    Words are exploded first and the language filters run as plain column
+    expressions on the exploded word (generated code, no lambdas). ``dl``
+    (the document's token count) rides along so scoring needs no join.
+    """
+    keep = [lang_col] if lang_col else []
+    # Words and their count are computed once per document, below the
+    # explode (a length taken after it would re-tokenise per word).
+    ws = docs.select(F.col(doc_col).alias("doc_id"), *keep, analyze.words(F.col(text_col)).alias("ws"))
+    ws = ws.withColumn("dl", F.size("ws").cast("bigint"))
+    w = ws.select("doc_id", *keep, "dl", F.explode("ws").alias("word"))
+    if lang_col:
+        term = analyze.term_for_language(F.col("word"), F.col(lang_col), languages)
+    else:
+        term = analyze.language_term(F.col("word"), lang or "default")
+    # Terms are never empty: a word's apostrophe is always followed by a
+    # letter, so elision leaves at least one character.
+    return w.select("doc_id", "dl", term.alias("term"))
+
+
+def postings(terms: DataFrame) -> DataFrame:
+    """``(term, doc_id, tf, dl)`` for every term of every document (K8).
+
+    A partial aggregate keyed by the (term, document) pair.
+    """
+    return terms.groupBy("term", "doc_id", "dl").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def doc_lengths(tokens: DataFrame, doc_col: str = "doc_id", tokens_col: str = "tokens") -> DataFrame:
-    return tokens.select(F.col(doc_col).alias("doc_id"), F.size(tokens_col).cast("bigint").alias("dl"))
+def postings_from_tokens(tokens: DataFrame, doc_col: str = "doc_id", tokens_col: str = "tokens") -> DataFrame:
+    """Postings from token arrays (for callers that already hold arrays)."""
+    return postings(tokens.select(F.col(doc_col).alias("doc_id"),
+                                  F.size(tokens_col).cast("bigint").alias("dl"),
+                                  F.explode(tokens_col).alias("term")))
 
 
 def term_stats(post: DataFrame) -> DataFrame:
@@ -36,35 +67,38 @@ def term_stats(post: DataFrame) -> DataFrame:
     return post.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
 
 
-def collection_stats(lengths: DataFrame) -> tuple[int, float]:
-    """Number of documents and average length: one tiny aggregate row."""
-    row = lengths.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
-    return int(row["n"]), float(row["avgdl"] or 0.0)
-
-
-def bm25_topk(query_tokens: DataFrame, post: DataFrame, lengths: DataFrame, k: int = 10,
-              k1: float = K1, b: float = B, n_docs: int | None = None,
-              avgdl: float | None = None, precision: int = 6) -> DataFrame:
+def bm25_topk(query_tokens: DataFrame, post: DataFrame, doc_lengths: DataFrame, k: int = 10,
+              k1: float = K1, b: float = B, precision: int = 6) -> DataFrame:
     """Top-``k`` documents per query by BM25 (K9).
 
-    ``query_tokens``: ``(qid, tokens)``; ``post``: ``(term, doc_id, tf)``;
-    ``lengths``: ``(doc_id, dl)``. Scores are rounded to ``precision``
-    decimals before ranking, so the summation order of floating-point terms
-    cannot reorder equal scores; ties are broken by ``doc_id``. A term
-    repeated in a query counts once per occurrence.
+    ``query_tokens``: ``(qid, tokens)``; ``post``: ``(term, doc_id, tf, dl)``;
+    ``doc_lengths``: ``(doc_id, dl)`` of every indexed document (for N and
+    the average length, taken as scalar subqueries). Postings are first cut
+    to the query terms, so document frequencies are only computed for
+    them. Scores are rounded to ``precision`` decimals before ranking, so
+    the summation order of floating-point terms cannot reorder equal scores;
+    ties go to the smaller ``doc_id``. A term repeated in a query counts
+    once per occurrence.
     """
-    if n_docs is None or avgdl is None:
-        n_docs, avgdl = collection_stats(lengths)
+    n_docs = doc_lengths.agg(F.count(F.lit(1))).scalar()
+    avgdl = doc_lengths.agg(F.avg("dl")).scalar()
     qterms = (query_tokens.select("qid", F.explode("tokens").alias("term"))
               .groupBy("qid", "term").agg(F.count(F.lit(1)).alias("qtf")))
-    stats = term_stats(post).select("term", "df")
-    weighted = qterms.join(stats, "term").withColumn(
-        "idf", F.log(1 + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5)))
-    n_qterms = weighted.count()
-    if n_qterms <= MAX_BROADCAST_QUERY_TERMS:
-        weighted = F.broadcast(weighted)
-    hits = post.join(weighted, "term").join(lengths, "doc_id")
-    norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl))
+    terms = qterms.select("term").distinct()
+    # The query side is broadcast only below a measured bound; the count
+    # runs over the queries alone, and every broadcast table below has at
+    # most that many rows.
+    small = qterms.count() <= MAX_BROADCAST_QUERY_TERMS
+
+    def bc(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if small else df
+
+    post_q = post.join(bc(terms), "term", "left_semi")
+    dfs = post_q.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    weighted = bc(qterms).join(dfs, "term").withColumn(
+        "idf", F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5)))
+    hits = post_q.join(bc(weighted), "term")
+    norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("dl") / avgdl)
     part = F.col("qtf") * F.col("idf") * F.col("tf") / (F.col("tf") + norm)
     scores = hits.groupBy("qid", "doc_id").agg(F.round(F.sum(part), precision).alias("score"))
     w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("doc_id").asc())

@@ -15,13 +15,15 @@ from pyspark.sql import functions as F
 
 from corpusforge.functions.html import HTML_LANG_RE
 from corpusforge.operators.offsets import jsonl_lines, jsonl_offsets
+from corpusforge.sources.corpus import read_corpus
 
 WEB_EPOCH_MS = 1640995200000  # 2022-01-01 UTC
 HOUR_MS = 3600000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One shared table, spread over at least as many partitions as cores."""
+    return read_corpus(spark, f"{sf_dir}/{name}.parquet")
 
 
 def plain_docs(documents: DataFrame) -> DataFrame:

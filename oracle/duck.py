@@ -334,14 +334,8 @@ def stem_en(t: str) -> str:
             f"WHEN {rx_match(t, '[iaoe]es$')} THEN {t} ELSE {_drop(t, 1)} END")
 
 
-def _strip_suffix(t: str, suffix: str) -> str:
-    return f"CASE WHEN ends_with({t}, {q(suffix)}) THEN substring({t}, 1, length({t}) - {len(suffix)}) ELSE {t} END"
-
-
 def stem_fr(t: str) -> str:
-    x = t
-    for suffix in ("s", "r", "e", "é"):
-        x = _strip_suffix(x, suffix)
+    x = rx(t, A.FR_ENDINGS_RE, "")
     last, prev = f"right({x}, 1)", f"substring(right({x}, 2), 1, 1)"
     x = (f"CASE WHEN length({x}) >= 2 AND {last} = {prev} AND {rx_match(last, r'^\p{L}$')} "
          f"THEN {_drop(x, 1)} ELSE {x} END")
