@@ -60,7 +60,7 @@ def import_offsets_dict(spark: SparkSession, path: str) -> DataFrame:
     object cannot be split, so this is a one-time conversion: write the
     result as a table and read that afterwards.
     """
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     parsed = text.select(F.explode(F.from_json("value", "map<string,struct<start:bigint,end:bigint>>"))
                          .alias("doc_id", "range"))
     return parsed.select("doc_id", F.col("range.start").alias("start"), F.col("range.end").alias("end"))
@@ -77,13 +77,13 @@ def read_parent_metadata(spark: SparkSession, path: str) -> DataFrame:
                      F.col("original_document.url").alias("url"))
 
 
-def read_line_offsets(spark: SparkSession, path: str, stem_pattern: str = r"([^/]+/[^/]+/[^/]+)\.[^/]*$") -> DataFrame:
+def read_line_offsets(spark: SparkSession, path: str, stem_pattern: str = r"([^/]+/[^/]+/[^/.]+)\.[^/]*$") -> DataFrame:
     """Offsets files where line *n* is the byte offset of document *n*.
 
     Returns ``(stem, doc_no, offset)``. Each file is small (one line per
     document of one data file) and read whole, so line numbers are exact.
     """
-    files = spark.read.option("wholetext", True).text(path).select(
+    files = spark.read.text(path, wholetext=True).select(
         F.regexp_extract(F.col("_metadata.file_path"), stem_pattern, 1).alias("stem"),
         F.col("value"))
     lines = files.select("stem", F.posexplode(F.split(F.regexp_replace("value", r"\n$", ""), "\n"))
