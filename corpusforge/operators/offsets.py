@@ -67,7 +67,10 @@ def running_sum(df: DataFrame, value, order_cols: Sequence, bucket_cols: Sequenc
     w = (Window.partitionBy(*bucket_cols).orderBy(*_cols(order_cols))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     x = df.withColumn("__v", value.cast("bigint")).withColumn("__local_end", F.sum("__v").over(w))
-    totals = x.groupBy(*reset_cols, *bucket_cols).agg(F.sum("__v").alias("__total"))
+    # Totals come from the windowed rows (already partitioned by bucket), so
+    # the input is computed and shuffled once; both branches reuse that
+    # exchange.
+    totals = x.groupBy(*reset_cols, *bucket_cols).agg(F.max("__local_end").alias("__total"))
     wt = (Window.partitionBy(*reset_cols).orderBy(*_cols(bucket_order))
           .rowsBetween(Window.unboundedPreceding, -1))
     base = totals.select(*reset_cols, *bucket_cols,
@@ -124,12 +127,24 @@ def corpus_slice(df: DataFrame, order_key: str, start: int | None = None,
     return pos.filter(cond)
 
 
+_RARE_CONTROL_RE = r"[\x00-\x07\x0b\x0e-\x1f]"
+
+
 def json_string(c) -> Column:
-    """A JSON string literal for a string column (quotes and escapes)."""
+    """A JSON string literal for a string column (quotes and escapes).
+
+    The ``\\u00XX`` escapes of rare control characters run only for values
+    that contain one (a single scan), not as 25 passes over every value.
+    """
     c = F.col(c) if isinstance(c, str) else c
-    for raw, esc in JSON_ESCAPES:
-        c = F.replace(c, F.lit(raw), F.lit(esc))
-    return F.concat(F.lit('"'), c, F.lit('"'))
+    short = c
+    for raw, esc in _JSON_SHORT:
+        short = F.replace(short, F.lit(raw), F.lit(esc))
+    full = short
+    for raw, esc in JSON_ESCAPES[len(_JSON_SHORT):]:
+        full = F.replace(full, F.lit(raw), F.lit(esc))
+    body = F.when(c.rlike(_RARE_CONTROL_RE), full).otherwise(short)
+    return F.concat(F.lit('"'), body, F.lit('"'))
 
 
 def jsonl_lines(docs: DataFrame, id_col: str, text_cols: Sequence[str], id_field: str = "docno",
