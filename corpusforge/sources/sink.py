@@ -1,19 +1,27 @@
 """Sinks: offsets tables, keyed upsert tables, the two-table index.
 
-A keyed table is a folder of versions ``v000001/ …`` plus a ``_CURRENT``
-pointer naming the live one. An upsert reads the live version, unions the
-batch, keeps the last row per key (a partial aggregate, skew-safe), writes
-a new version hash-partitioned by key into the table's shard count, and
-then swaps the pointer atomically (write a temporary file, rename). Readers
-see either the old or the new version, never a mix; a failed job leaves
-the old pointer. Because keys are deterministic, replaying a batch leaves
-the table unchanged.
-
-Paths must be on storage every executor and the driver share.
+A keyed table is hash-bucketed: each key lives in bucket
+``pmod(xxhash64(key), B)``. A manifest maps every bucket to the version
+folder holding its current files, and a ``_CURRENT`` pointer names the live
+manifest. An upsert
+
+1. finds the buckets its batch touches (at most ``B`` ids reach the driver),
+2. reads only those buckets, unions the batch and keeps the last row per
+   key (a partial aggregate, skew-safe),
+3. writes the rewritten buckets into a new version folder,
+4. writes a new manifest (untouched buckets keep their old folders) and
+   swaps the pointer atomically (temporary file + rename).
+
+So an incremental batch costs the size of the buckets it touches, not of
+the table. Readers see the old or the new manifest, never a mix; a failed
+job leaves the old pointer. Because keys are deterministic, replaying a
+batch leaves the table unchanged. Paths must be on storage every executor
+and the driver share.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import uuid as _uuid
 
@@ -37,68 +45,110 @@ def _local(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-def current_version(path: str) -> str | None:
+DEFAULT_BUCKETS = 64
+
+
+def _bucket(key: str, num_buckets: int):
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(num_buckets)).cast("int")
+
+
+def current_manifest(path: str) -> dict | None:
     pointer = os.path.join(_local(path), POINTER)
     if not os.path.exists(pointer):
         return None
     with open(pointer, encoding="utf-8") as fh:
-        return fh.read().strip() or None
+        name = fh.read().strip()
+    with open(os.path.join(_local(path), name), encoding="utf-8") as fh:
+        return json.load(fh)
 
 
-def _set_version(path: str, version: str) -> None:
+def current_version(path: str) -> str | None:
+    m = current_manifest(path)
+    return None if m is None else m["version"]
+
+
+def _publish(path: str, manifest: dict) -> None:
     base = _local(path)
+    name = f"manifest-{manifest['version']}.json"
+    tmp = os.path.join(base, f".{name}.{_uuid.uuid4().hex}")
+    with open(tmp, "w", encoding="utf-8") as fh:
+        json.dump(manifest, fh)
+    os.replace(tmp, os.path.join(base, name))
     tmp = os.path.join(base, f".{POINTER}.{_uuid.uuid4().hex}")
     with open(tmp, "w", encoding="utf-8") as fh:
-        fh.write(version)
+        fh.write(name)
     os.replace(tmp, os.path.join(base, POINTER))
 
 
 def table_exists(path: str) -> bool:
-    return current_version(path) is not None
+    return current_manifest(path) is not None
 
 
-def create_table(spark: SparkSession, path: str, schema: StructType, num_shards: int = 1) -> bool:
+def create_table(spark: SparkSession, path: str, schema: StructType, key: str = "_id",
+                 num_buckets: int = DEFAULT_BUCKETS) -> bool:
     """Create an empty keyed table if missing (A13). Returns True when created."""
     if table_exists(path):
         return False
     os.makedirs(_local(path), exist_ok=True)
-    version = "v000001"
-    spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(
-        os.path.join(path, version))
-    _set_version(path, version)
+    _publish(path, {"version": "v000000", "key": key, "num_buckets": num_buckets,
+                    "schema": schema.json(), "buckets": {}})
     return True
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    version = current_version(path)
-    if version is None:
+def _bucket_paths(path: str, manifest: dict, buckets=None) -> list[str]:
+    chosen = manifest["buckets"] if buckets is None else {b: manifest["buckets"][b] for b in buckets
+                                                          if b in manifest["buckets"]}
+    return [os.path.join(path, rel) for rel in chosen.values()]
+
+
+def read_table(spark: SparkSession, path: str, buckets=None) -> DataFrame:
+    """The live rows (optionally only some buckets)."""
+    manifest = current_manifest(path)
+    if manifest is None:
         raise FileNotFoundError(f"No table at {path}")
-    return spark.read.parquet(os.path.join(path, version))
+    paths = _bucket_paths(path, manifest, None if buckets is None else [str(b) for b in buckets])
+    schema = StructType.fromJson(json.loads(manifest["schema"]))
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*paths)
 
 
 def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str = "_id",
-           order: tuple[str, ...] = (), num_shards: int = 1) -> str:
+           order: tuple[str, ...] = (), num_shards: int = 1,
+           num_buckets: int = DEFAULT_BUCKETS) -> str:
     """Insert or replace rows of ``batch`` by ``key`` (last write wins, A12/G5).
 
     Rows of the batch win over stored rows; within the batch, the last row
-    in ``order`` wins. Returns the new version name.
+    in ``order`` wins. Each rewritten bucket is written as up to
+    ``num_shards`` files by as many tasks. Returns the new version name.
     """
     if not table_exists(path):
-        create_table(spark, path, batch.schema, num_shards)
-    old_version = current_version(path)
-    existing = read_table(spark, path)
+        create_table(spark, path, batch.schema, key, num_buckets)
+    manifest = current_manifest(path)
+    nb = int(manifest["num_buckets"])
     cols = batch.columns
-    merged = (existing.select(*cols).withColumn("__batch", F.lit(0))
-              .unionByName(batch.select(*cols).withColumn("__batch", F.lit(1))))
+    staged = batch.select(*cols).withColumn("__b", _bucket(key, nb))
+    touched = sorted(r[0] for r in staged.select("__b").distinct().collect())
+    if not touched:
+        return manifest["version"]
+    existing = read_table(spark, path, touched).select(*cols).withColumn("__b", _bucket(key, nb))
+    merged = (existing.withColumn("__batch", F.lit(0))
+              .unionByName(staged.withColumn("__batch", F.lit(1))))
     for i, c in enumerate(order):
         merged = merged.withColumn(f"__o{i}", F.col(c))
     ordering = ["__batch"] + [f"__o{i}" for i in range(len(order))]
-    latest = keep_last(merged, key, ordering).select(*cols)
-    n = int(old_version[1:]) + 1
-    version = f"v{n:06d}"
-    (latest.repartition(num_shards, key).sortWithinPartitions(key)
-           .write.mode("overwrite").parquet(os.path.join(path, version)))
-    _set_version(path, version)
+    latest = keep_last(merged, [key, "__b"], ordering).select(*cols, "__b")
+    version = f"v{int(manifest['version'][1:]) + 1:06d}"
+    # ``num_shards`` files per rewritten bucket: a second, independent hash
+    # of the key spreads each bucket over that many tasks.
+    k = max(1, num_shards)
+    salted = latest.withColumn("__s", F.pmod(F.xxhash64(F.col(key), F.lit("shard")), F.lit(k)))
+    (salted.repartition(len(touched) * k, "__b", "__s").drop("__s").sortWithinPartitions("__b", key)
+           .write.mode("overwrite").partitionBy("__b").parquet(os.path.join(path, version)))
+    buckets = dict(manifest["buckets"])
+    for b in touched:
+        buckets[str(b)] = f"{version}/__b={b}"
+    _publish(path, {**manifest, "version": version, "buckets": buckets})
     return version
 
 
