@@ -154,8 +154,24 @@ def term_for_language(word: Column, lang_col: Column, languages=("en", "fr", "de
     return default if expr is None else expr.otherwise(default)
 
 
+CJK_WORD_RE = r"^[\p{IsHangul}\p{IsHan}\p{IsHiragana}\p{IsKatakana}]{2,}$"
+# Languages analysed by overlapping character bigrams of CJK runs.
+BIGRAM_LANGUAGES = ("ko",)
+
+
+def cjk_bigrams(c: Column) -> Column:
+    """CJK analyzer (ko): words of two or more CJK characters become their
+    overlapping bigrams, other words stay whole; then folding."""
+    def per_word(w: Column) -> Column:
+        grams = F.transform(F.sequence(F.lit(1), F.length(w) - 1), lambda i: F.substring(w, i, 2))
+        return F.when(w.rlike(CJK_WORD_RE), grams).otherwise(F.array(w))
+    return F.transform(F.flatten(F.transform(words(c), per_word)), fold)
+
+
 def language_tokens(c: Column, lang: str) -> Column:
     """Token array of a ``*_lang_<lang>`` field (K5)."""
+    if lang in BIGRAM_LANGUAGES:
+        return cjk_bigrams(c)
     toks = F.transform(words(c), lambda w: language_term(w, lang))
     return F.filter(toks, lambda t: t != "") if lang == "fr" else toks
 

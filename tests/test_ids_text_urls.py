@@ -103,3 +103,22 @@ def test_url_parts_pages(spark, sf_dir):
     for r in rows:
         p = urlparse(r.url)
         assert (r.p.host, r.p.path, r.p.query) == (p.hostname, p.path, p.query)
+
+
+def test_analyzers_golden(spark):
+    from corpusforge.functions import analyze
+    df = spark.createDataFrame([("Ponies shoes boxes bus glass skies",)], "t string")
+    got = df.select(analyze.language_tokens(F.col("t"), "en")).first()[0]
+    assert got == ["pony", "shoes", "boxe", "bus", "glass", "sky"]
+    fr = spark.createDataFrame([("L'homme chevaux Étés chanteurs",)], "t string")
+    # Words under six letters are left alone; endings s, r, e, é are stripped in turn.
+    assert fr.select(analyze.language_tokens(F.col("t"), "fr")).first()[0] == ["homme", "cheval", "etes", "chanteu"]
+    ko = spark.createDataFrame([("한국어 형태소 a 漢字",)], "t string")
+    assert ko.select(analyze.language_tokens(F.col("t"), "ko")).first()[0] == ["한국", "국어", "형태", "태소", "a", "漢字"]
+    hosts = spark.createDataFrame([("www.blog-news.example.co.uk",)], "h string")
+    toks = hosts.select(analyze.host_tokens(F.col("h"))).first()[0]
+    assert toks[0] == "blog-news.example.co.uk" and "blognewsexamplecouk" in toks
+    assert "uk" not in toks and "co" not in toks and "new" in toks  # minimal English stem: news -> new
+    paths = spark.createDataFrame([("/a/b",), ("/a/",), ("/",), ("",)], "p string")
+    assert [r[0] for r in paths.select(analyze.path_tokens(F.col("p"))).collect()] == [
+        ["/a", "/a/b"], ["/a", "/a/"], ["/"], []]
