@@ -107,9 +107,14 @@ def index_actions(table: DataFrame, index_name: str) -> DataFrame:
 
 
 def iso_seconds(ts) -> Column:
-    """Timestamp as ISO 8601 with seconds and offset."""
+    """Timestamp as ISO 8601 in UTC with seconds, ``...+00:00``.
+
+    Independent of the session time zone: the instant is shifted to UTC wall
+    time before formatting.
+    """
     ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssxxx")
+    utc = F.to_utc_timestamp(ts, F.current_timezone())
+    return F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
 
 
 def written_value(name: str, dtype) -> Column:
