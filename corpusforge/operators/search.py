@@ -80,8 +80,9 @@ def bm25_topk(query_tokens: DataFrame, post: DataFrame, doc_lengths: DataFrame,
     ties go to the smaller ``doc_id``. A term repeated in a query counts
     once per occurrence.
     """
-    n_docs = doc_lengths.agg(F.count(F.lit(1))).scalar()
-    avgdl = doc_lengths.agg(F.avg("dl")).scalar()
+    # One scalar subquery (a single scan) yields both collection statistics.
+    stats = doc_lengths.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))).scalar()
+    n_docs, avgdl = stats["n"], stats["avgdl"]
     qterms = (query_tokens.select("qid", F.explode("tokens").alias("term"))
               .groupBy("qid", "term").agg(F.count(F.lit(1)).alias("qtf")))
     terms = qterms.select("term").distinct()
