@@ -31,10 +31,13 @@ def _fold_pairs() -> tuple[str, str]:
     return "".join(src), "".join(dst)
 
 
-FOLD_FROM, FOLD_TO = _fold_pairs()
-# Letters without a decomposition that folding still maps.
-FOLD_EXTRA = [("ß", "ss"), ("æ", "ae"), ("œ", "oe"), ("ø", "o"), ("đ", "d"), ("ð", "d"),
-              ("ħ", "h"), ("ı", "i"), ("ł", "l"), ("ŧ", "t"), ("þ", "th"), ("ŀ", "l")]
+# Letters without a decomposition that folding still maps,
+# one character to one (joined to the rule-built table) or to two.
+FOLD_SINGLE = [("ø", "o"), ("đ", "d"), ("ð", "d"), ("ħ", "h"), ("ı", "i"), ("ł", "l"), ("ŧ", "t"), ("ŀ", "l")]
+FOLD_EXTRA = [("ß", "ss"), ("æ", "ae"), ("œ", "oe"), ("þ", "th")]
+_RULE_FROM, _RULE_TO = _fold_pairs()
+FOLD_FROM = _RULE_FROM + "".join(a for a, _ in FOLD_SINGLE)
+FOLD_TO = _RULE_TO + "".join(b for _, b in FOLD_SINGLE)
 
 
 def fold(c: Column) -> Column:
@@ -77,12 +80,18 @@ def _drop(t: Column, n: int) -> Column:
     return F.substring(t, 1, _len(t) - n) if n else t
 
 
+def _last(t: Column, n: int = 1) -> Column:
+    """The n-th character from the end."""
+    return F.substring(t, -n, 1)
+
+
 def stem_en(t: Column) -> Column:
-    """Minimal English plural stemmer."""
+    """Minimal English plural stemmer (suffix tests without regex)."""
     return (F.when((_len(t) < 3) | ~t.endswith("s"), t)
-             .when(t.rlike("[us]s$"), t)
-             .when(t.rlike("[^ae]ies$"), F.concat(_drop(t, 3), F.lit("y")))
-             .when(t.rlike("[iaoe]es$"), t)
+             .when(t.endswith("us") | t.endswith("ss"), t)
+             .when(t.endswith("ies") & (_len(t) > 3) & ~_last(t, 4).isin("a", "e"),
+                   F.concat(_drop(t, 3), F.lit("y")))
+             .when(t.endswith("es") & _last(t, 3).isin("i", "a", "o", "e"), t)
              .otherwise(_drop(t, 1)))
 
 
@@ -107,8 +116,8 @@ def stem_de(t: Column) -> Column:
     u = F.translate(t, "äöü", "aou")
     return (F.when(_len(t) < 5, t)
              .when((_len(u) > 6) & u.endswith("nen"), _drop(u, 3))
-             .when((_len(u) > 5) & u.rlike("(en|se|es|er)$"), _drop(u, 2))
-             .when(u.rlike("[nsre]$"), _drop(u, 1))
+             .when((_len(u) > 5) & F.substring(u, -2, 2).isin("en", "se", "es", "er"), _drop(u, 2))
+             .when(_last(u).isin("n", "s", "r", "e"), _drop(u, 1))
              .otherwise(u))
 
 
@@ -116,10 +125,10 @@ def stem_es(t: Column) -> Column:
     """Light Spanish stemmer: accents, then gender/plural endings."""
     u = F.translate(t, "àáâäòóôöèéêëùúûüìíîï", "aaaaooooeeeeuuuuiiii")
     return (F.when(_len(t) < 5, t)
-             .when(u.rlike("[oae]$"), _drop(u, 1))
+             .when(_last(u).isin("o", "a", "e"), _drop(u, 1))
              .when(u.endswith("eses"), _drop(u, 2))
              .when(u.endswith("ces"), F.concat(_drop(u, 3), F.lit("z")))
-             .when(u.rlike("[oae]s$"), _drop(u, 2))
+             .when(u.endswith("s") & _last(u, 2).isin("o", "a", "e"), _drop(u, 2))
              .otherwise(u))
 
 

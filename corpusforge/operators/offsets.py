@@ -175,10 +175,12 @@ def read_lines_with_offsets(spark, path: str, id_field: str = "docno") -> DataFr
 
     Every input split of a file is a bucket: rows of a split arrive in file
     order, and ``_metadata.file_block_start`` orders the splits. Only narrow
-    columns (id, length) are shuffled. Line ends are taken as one ``\\n``;
-    the last line of a file ends at the file size.
+    columns (id, length) are shuffled. Lines end at ``\\n`` (a preceding
+    ``\\r`` counts as part of the line); the last line ends at the file size.
     """
-    raw = spark.read.text(path).select(
+    # lineSep='\n': a '\r' before the newline stays in the value, so
+    # octet_length + 1 is the exact line size for LF and CRLF files alike.
+    raw = spark.read.text(path, lineSep="\n").select(
         F.col("value"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),

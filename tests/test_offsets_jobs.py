@@ -113,11 +113,11 @@ def test_index_corpus_two_tables(spark):
 
 def test_document_offsets_job(spark):
     d = _tmp()
-    with open(os.path.join(d, "c.jsonl"), "w", encoding="utf-8") as fh:
-        fh.write('{"docno": "x"}\n{"docno": "y", "t": "é"}\n{"docno": "z"}')
+    with open(os.path.join(d, "c.jsonl"), "w", encoding="utf-8", newline="") as fh:
+        fh.write('{"docno": "x"}\n{"docno": "y", "t": "é"}\r\n{"docno": "z"}')
     out = jobs.document_offsets(spark, d, os.path.join(_tmp(), "off"))
     got = {r.doc_id: (r.start, r.end) for r in out.collect()}
-    assert got == {"x": (0, 15), "y": (15, 41), "z": (41, 55)}
+    assert got == {"x": (0, 15), "y": (15, 42), "z": (42, 56)}
     with open(os.path.join(d, "c.jsonl"), "a", encoding="utf-8") as fh:
         fh.write('\n{"docno": "x"}\n')
     with pytest.raises(ValueError):
