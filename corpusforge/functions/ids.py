@@ -12,8 +12,10 @@
 from __future__ import annotations
 
 import hashlib
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -67,6 +69,11 @@ def blake2b24_hex(values: pd.Series) -> pd.Series:
     return values.map(table)
 
 
+# Python workers may not have this package on their path: ship this module's
+# functions (the UDF bodies) by value with each task instead of by import name.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def _hex_field(value: Column, width: int) -> Column:
     return F.lpad(F.lower(F.hex(value)), width, "0")
 

@@ -13,9 +13,11 @@ from __future__ import annotations
 
 import gzip
 import os
+import sys
 import uuid as _uuid
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +32,11 @@ def gzip_member(lines: pd.Series) -> pd.Series:
     return lines.map(lambda s: None if s is None else gzip.compress((s + "\n").encode("utf-8"), mtime=0))
 
 
+# Python workers may not have this package on their path: ship this module's
+# functions (the UDF bodies) by value with each task instead of by import name.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def member_offsets(lines: DataFrame, order_key: str, id_field: str = "docno",
                    line_col: str = "line") -> DataFrame:
     """``(doc_id, start, end)`` of each member in one concatenated file (ordered by ``order_key``)."""
