@@ -18,6 +18,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 # JSON string escapes (RFC 8259): quote, backslash and the C0 controls.
 _JSON_SHORT = [("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"),
@@ -89,7 +90,14 @@ def ordered_running_sum(df: DataFrame, value, order_key, num_buckets: int | None
     ranges of the first one, the full list orders rows inside a bucket.
     """
     keys = [order_key] if isinstance(order_key, str) else list(order_key)
-    bucketed = df.withColumn("__bucket", range_buckets(df, keys[0], num_buckets))
+    if isinstance(df.schema[keys[0]].dataType, NumericType):
+        bucketed = df.withColumn("__bucket", range_buckets(df, keys[0], num_buckets))
+    else:
+        # Strings and other orderable keys: range partitioning samples any
+        # orderable type; the partition id then follows the key order.
+        n = num_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        bucketed = (df.repartitionByRange(max(1, n), F.col(keys[0]))
+                      .withColumn("__bucket", F.spark_partition_id()))
     return running_sum(bucketed, value, keys, ["__bucket"], start_col=start_col,
                        end_col=end_col).drop("__bucket")
 

@@ -59,6 +59,13 @@ def test_corpus_slice_python_semantics(spark, start, end):
     assert got == list(range(0, 360, 3))[start:end]
 
 
+def test_corpus_slice_string_keys(spark):
+    ids = [f"doc-{i:05d}" for i in range(0, 300, 7)]
+    df = spark.createDataFrame([(i,) for i in reversed(ids)], "doc_id string")
+    got = [r.doc_id for r in offsets.corpus_slice(df, "doc_id", 5, -5, num_buckets=3).orderBy("position").collect()]
+    assert got == ids[5:-5]
+
+
 def test_duplicate_ids_raise(spark):
     df = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "doc_id string")
     assert {tuple(r) for r in offsets.duplicate_ids(df, "doc_id").collect()} == {("a", 2), (None, 1)}
