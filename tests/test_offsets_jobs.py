@@ -217,3 +217,29 @@ def test_records_helpers(spark):
     assert records.field_kind("title_lang_de") == "text:de"
     assert records.field_kind("warc_foo") == "keyword"
     assert records.field_kind("warc_ip_address", "meta") == "ip"
+
+
+def test_wide_json_written_form(spark):
+    import datetime
+    rows = [("u1", "de", datetime.datetime(2022, 1, 2, 3, 4, 5), "T", ["k1", "k2"], None, "B", 1, "F", [])]
+    df = spark.createDataFrame(rows, "uuid string, lang string, warc_date timestamp, title string, "
+                                     "meta_keywords array<string>, meta_desc string, body string, body_length bigint, "
+                                     "full_body string, headings array<string>")
+    fields = [(n, t) for n, t in records.DATA_FIELDS if n in df.columns]
+    doc = json.loads(df.select(records.wide_json(df, fields)).first()[0])
+    assert doc["title_lang_de"] == "T" and doc["body_lang_de"] == "B" and doc["full_body_lang_de"] == "F"
+    assert doc["meta_keywords_lang_de"] == ["k1", "k2"] and doc["headings_lang_de"] == []
+    assert "meta_desc_lang_de" not in doc and "title" not in doc
+    assert doc["body_length"] == "1"
+    assert doc["warc_date"].endswith("+00:00") and doc["warc_date"].startswith("2022-01-02T")
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 11])
+def test_offsets_independent_of_bucket_count(spark, buckets):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").repartition(5)
+    lines = offsets.jsonl_lines(docs.withColumn("n", F.col("doc_id")), "doc_id", ["text"], keep=["n"])
+    got = sorted(tuple(r) for r in offsets.jsonl_offsets(lines, "n", num_buckets=buckets)
+                 .select("doc_id", "start", "end").collect())
+    ref = sorted((r.doc_id, r.start, r.end) for r in standins.plain_offsets(
+        spark.read.parquet(f"{SF}/documents.parquet")).collect())
+    assert got == ref
