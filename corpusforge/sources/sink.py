@@ -153,20 +153,27 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str = "_id",
 
 
 def write_index(records: DataFrame, meta_path: str, data_path: str, num_meta_shards: int,
-                num_data_shards: int, order: tuple[str, ...] = ()) -> dict:
-    """Upsert both tables of a record frame (A10, A14); returns counts.
+                num_data_shards: int, order: tuple[str, ...] = (),
+                fail_on_collision: bool = False) -> dict:
+    """Upsert both tables of a record frame (A10, A14); returns counts.
 
     The record frame is checkpointed once (lineage cut in the shared
     checkpoint folder), so the HTML/ID work runs once for both writes and a
-    lost executor does not recompute from the corpus.
+    lost executor does not recompute from the corpus. Keys shared by two
+    different documents (the key keeps 24 bits of the document hash) are
+    counted, and fail the job when ``fail_on_collision``.
     """
+    from corpusforge.operators.dedupe import key_collisions
     from corpusforge.plans.records import data_table, meta_table
+    from corpusforge.session import checkpoint_dir
 
     spark = records.sparkSession
-    from corpusforge.session import checkpoint_dir
     checkpoint_dir(spark)
     frozen = records.checkpoint(eager=True)
     n_docs = frozen.count()
+    collisions = key_collisions(frozen.select("_id", F.col("d_uuid").alias("uuid"))).count()
+    if collisions and fail_on_collision:
+        raise ValueError(f"{collisions} index keys are shared by different documents")
     upsert(spark, meta_path, meta_table(frozen), "_id", order, num_meta_shards)
     upsert(spark, data_path, data_table(frozen), "_id", order, num_data_shards)
-    return {"documents": n_docs, "actions": 2 * n_docs}
+    return {"documents": n_docs, "actions": 2 * n_docs, "key_collisions": collisions}

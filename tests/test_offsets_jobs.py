@@ -111,6 +111,7 @@ def test_index_corpus_two_tables(spark):
                             start=10, end=-10, order_key="n", offsets=standins.plain_offsets(d))
     m, x = sink.read_table(spark, meta), sink.read_table(spark, data)
     assert out["documents"] == d.count() - 20 == m.count() == x.count()
+    assert out["key_collisions"] == 0
     assert sorted(r._id for r in m.select("_id").collect()) == sorted(r._id for r in x.select("_id").collect())
     # Re-running the same job leaves the tables unchanged.
     jobs.index_corpus(spark, "msmarco-document", standins.plain_docs(d), meta, data, bucket="b",
