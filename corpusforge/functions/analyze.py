@@ -153,14 +153,24 @@ def language_term(word: Column, lang: str) -> Column:
     return fold(t)
 
 
+def _language_stem(word: Column, lang: str) -> Column:
+    """A language's filters before folding: [elision] -> [stem]."""
+    t = F.regexp_replace(word, ELISION_RE, "") if lang == "fr" else word
+    stem = STEMMERS.get(lang)
+    return stem(t) if stem is not None else t
+
+
 def term_for_language(word: Column, lang_col: Column, languages=("en", "fr", "de", "es")) -> Column:
-    """Each word through its own row's language filters (default: fold only)."""
+    """Each word through its own row's language filters (default: fold only).
+
+    Folding ends every chain, so it is applied once around the per-language
+    choice; the expression (and its generated code) stays small.
+    """
     expr = None
     for lang in languages:
-        branch = language_term(word, lang)
+        branch = _language_stem(word, lang)
         expr = F.when(lang_col == lang, branch) if expr is None else expr.when(lang_col == lang, branch)
-    default = language_term(word, "default")
-    return default if expr is None else expr.otherwise(default)
+    return fold(word if expr is None else expr.otherwise(word))
 
 
 CJK_WORD_RE = r"^[\p{IsHangul}\p{IsHan}\p{IsHiragana}\p{IsKatakana}]{2,}$"
