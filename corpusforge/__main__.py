@@ -53,6 +53,7 @@ def main(argv=None) -> None:
     cp.add_argument("--out", required=True)
     cp.add_argument("--manifest", required=True)
     cp.add_argument("--files", type=int, default=64)
+    cp.add_argument("--verify", action="store_true", help="read every document back and compare")
 
     args = ap.parse_args(argv)
     spark = get_session()
@@ -76,7 +77,8 @@ def main(argv=None) -> None:
         keep = [args.order_key] if args.order_key != args.id_col else []
         lines = jsonl_lines(docs.withColumn("__order", F.col(args.order_key)), args.id_col, args.text,
                             keep=["__order"] + keep)
-        res = jobs.compressed_corpus(spark, lines, "__order", args.out, args.manifest, args.files)
+        res = jobs.compressed_corpus(spark, lines, "__order", args.out, args.manifest, args.files,
+                                     verify=args.verify)
         print(json.dumps({"documents": res.count()}))
 
 

@@ -82,6 +82,36 @@ def write_member_files(lines: DataFrame, order_key: str, out_dir: str, num_files
     return ranged.mapInPandas(write, "part_file string, doc_id string, start long, end long")
 
 
+def read_members(manifest: DataFrame, base_dir: str) -> DataFrame:
+    """Fetch documents by byte range: ``(doc_id, line)`` for every manifest row.
+
+    Random access as a distributed read: rows are clustered by part file and
+    ordered by offset, so each task opens a file once and reads its members
+    in one forward pass.
+    """
+    ordered = manifest.select("part_file", "doc_id", "start", "end") \
+                      .repartition("part_file").sortWithinPartitions("part_file", "start")
+
+    def fetch(batches):
+        handle, current = None, None
+        try:
+            for pdf in batches:
+                out = []
+                for f, start, end in zip(pdf["part_file"], pdf["start"], pdf["end"]):
+                    if f != current:
+                        if handle is not None:
+                            handle.close()
+                        handle, current = open(os.path.join(base_dir, f), "rb"), f
+                    handle.seek(int(start))
+                    out.append(gzip.decompress(handle.read(int(end) - int(start))).decode("utf-8").rstrip("\n"))
+                yield pd.DataFrame({"doc_id": pdf["doc_id"], "line": out})
+        finally:
+            if handle is not None:
+                handle.close()
+
+    return ordered.mapInPandas(fetch, "doc_id string, line string")
+
+
 def read_member(path: str, start: int, end: int) -> str:
     """Fetch one document by byte range (for checks and random access)."""
     with open(path, "rb") as fh:

@@ -92,6 +92,17 @@ def test_gzip_members_round_trip(spark):
     assert back == sorted(src.values())
 
 
+def test_compressed_corpus_job_round_trip(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    lines = offsets.jsonl_lines(docs.withColumn("n", F.col("doc_id")), "doc_id", ["text"], keep=["n"])
+    base = _tmp()
+    manifest = jobs.compressed_corpus(spark, lines, "n", os.path.join(base, "files"),
+                                      os.path.join(base, "manifest"), 4, verify=True)
+    assert manifest.count() == docs.count()
+    back = gzip_members.read_members(manifest, os.path.join(base, "files"))
+    assert back.count() == docs.count()
+
+
 def test_upsert_last_wins_and_idempotent(spark):
     path = os.path.join(_tmp(), "t")
     b1 = spark.createDataFrame([("a", 1), ("b", 1)], "_id string, v int")
