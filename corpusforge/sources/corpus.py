@@ -23,10 +23,15 @@ def default_parallelism(spark: SparkSession) -> int:
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin repartition when ``df`` has fewer partitions than cores.
 
-    The check reads the scan's planned partition count (no job runs).
+    The check reads the scan's planned partition count (no job runs); where
+    the session exposes no partition count (Spark Connect) it is skipped.
     """
-    target = min_partitions or default_parallelism(df.sparkSession)
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = min_partitions or default_parallelism(df.sparkSession)
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect)
+        return df
+    if current < target:
         return df.repartition(target)
     return df
 
