@@ -32,6 +32,11 @@ def doc_terms(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
     expressions on the exploded word (generated code, no lambdas). ``dl``
     (the document's token count) rides along so scoring needs no join.
     """
+    if lang in analyze.BIGRAM_LANGUAGES and not lang_col:
+        # CJK fields: a word yields several bigram terms, so explode those.
+        toks = docs.select(F.col(doc_col).alias("doc_id"), analyze.cjk_bigrams(F.col(text_col)).alias("ts"))
+        toks = toks.withColumn("dl", F.size("ts").cast("bigint"))
+        return toks.select("doc_id", "dl", F.explode("ts").alias("term"))
     keep = [lang_col] if lang_col else []
     # Words and their count are computed once per document, below the
     # explode (a length taken after it would re-tokenise per word).

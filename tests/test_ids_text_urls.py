@@ -122,3 +122,10 @@ def test_analyzers_golden(spark):
     paths = spark.createDataFrame([("/a/b",), ("/a/",), ("/",), ("",)], "p string")
     assert [r[0] for r in paths.select(analyze.path_tokens(F.col("p"))).collect()] == [
         ["/a", "/a/b"], ["/a", "/a/"], ["/"], []]
+
+
+def test_cjk_postings(spark):
+    from corpusforge.operators import search
+    df = spark.createDataFrame([(1, "한국어 한국"), (2, "abc")], "doc_id long, text string")
+    post = {(r.term, r.doc_id): (r.tf, r.dl) for r in search.postings(search.doc_terms(df, lang="ko")).collect()}
+    assert post == {("한국", 1): (2, 3), ("국어", 1): (1, 3), ("abc", 2): (1, 1)}
