@@ -415,15 +415,30 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+try:
+    from corpusforge.llm.queries import ORACLE_SQL as _LLM_SQL
+    from corpusforge.llm.queries import QUERIES as _LLM_QUERIES
+except ImportError:  # the subpackage is optional
+    _LLM_QUERIES, _LLM_SQL = {}, {}
+try:
+    import corpus_pipeline as _pipeline
+except ImportError:
+    pass
+else:
+    _LLM_QUERIES = {**_LLM_QUERIES, "pipeline": _pipeline.run}
+    if _pipeline.ORACLE_SQL is not None:
+        _LLM_SQL = {**_LLM_SQL, "pipeline": _pipeline.ORACLE_SQL}
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: web pages -> paired meta/data records (HTML, URL, ids, filters)."""
     return q_map_web(spark, SMOKE_DIR)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_LLM_QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle.sql import ORACLE_SQL
-    return dict(ORACLE_SQL)
+    return {**ORACLE_SQL, **_LLM_SQL}
