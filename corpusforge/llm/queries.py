@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_llr, url_rules
+from . import line_dedup, quality_llr, simhash_bits, url_rules
 from .common import table
 
 
@@ -23,7 +23,15 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_llr.judge(docs, quality_llr.fit(docs, trusted))
 
 
-QUERIES = {f.__name__: f for f in (op7_url_filters, op9_quality_rules)}
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
+
+
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_bits.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op4_simhash_near_dedup, op7_url_filters, op9_quality_rules, op10_line_dedup)}
 
 OP7_SQL = r"""
 with p as (select page_id,
@@ -37,4 +45,13 @@ select page_id, p.host as host, p.path as path, rule, coalesce(act, 'allow') as
 from p left join m on p.host = m.host and p.path = m.path
 """
 
-ORACLE_SQL = {"op7_url_filters": OP7_SQL}
+OP10_SQL = r"""
+with l as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as i from documents),
+k as (select doc_id, i, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from l),
+r as (select key, max(doc_id) as keeper from k where length(key) >= 20 group by key having count(distinct doc_id) >= 3),
+j as (select k.doc_id as doc_id, i, line, coalesce(keeper <> k.doc_id, false) as lost from k left join r on k.key = r.key)
+select doc_id, count(*) as n_lines, sum(lost::int)::bigint as n_dropped, sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not lost), '')) as kept_sha256
+from j group by doc_id
+"""
+
+ORACLE_SQL = {"op10_line_dedup": OP10_SQL, "op7_url_filters": OP7_SQL}
