@@ -183,9 +183,10 @@ def _split(segments: int, filter_bc, min_chars: int, suspected: bool):
 
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS,
-                        min_docs: int = MIN_DOCS, max_bits: int = MAX_BITS, keep_columns: bool = False) -> DataFrame:
+                        min_docs: int = MIN_DOCS, max_bits: int = MAX_BITS, keep_columns: bool = False, length_col: str | None = None) -> DataFrame:
     """Per row of ``docs``: id, n_lines, n_dropped and kept_sha256; with ``keep_columns``
-    instead the columns of ``docs``, the text without the dropped lines (a null stays null).
+    instead the columns of ``docs``, the text without the dropped lines (a null stays null) and ``length_col``,
+    if there is one, the new text's length in code points.
     """
     spark = docs.sparkSession
     marks, segments = twice_seen(docs, text_col, min_chars, max_bits)
@@ -216,5 +217,8 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     out = clean.unionByName(dirty).mapInArrow(_finish(keep_columns, n), f"{schema}, {tail}" if schema else tail)
     if keep_columns:
         place = {name: f"c{i}" for i, name in enumerate(kept)} | {text_col: f"c{n}"}
-        return out.select(*[F.col(place[c]).alias(c) for c in docs.columns])
+        shown = {c: F.col(place[c]) for c in docs.columns}
+        if length_col in shown:
+            shown[length_col] = F.length(shown[text_col]).cast(docs.schema[length_col].dataType)
+        return out.select(*[x.alias(c) for c, x in shown.items()])
     return out.select(F.col("c0").alias(id_col), F.col("c1").alias("n_lines"), F.col("c2").alias("n_dropped"), F.col("c3").alias("kept_sha256"))

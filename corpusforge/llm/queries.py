@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import line_dedup, quality_llr, simhash_bits, url_rules
+from . import block_ann, length_buckets, license_align, line_dedup, quality_llr, simhash_bits, temperature_mix, token_counts, url_rules, weak_toxicity
 from .common import table
 
 
@@ -27,11 +28,39 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
 
 
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), by_word=True)
+
+
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return temperature_mix.sequence(table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return weak_toxicity.score(docs, weak_toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_align.scan(table(spark, sf_dir, "documents"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return length_buckets.pack(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_bits.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_simhash_near_dedup, op7_url_filters, op9_quality_rules, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_nearest_neighbours, op2_token_counts, op3_source_mixing, op4_simhash_near_dedup, op5_toxicity,
+    op6_packing, op7_url_filters, op8_license_scans, op9_quality_rules, op10_line_dedup)}
 
 OP7_SQL = r"""
 with p as (select page_id,
@@ -54,4 +83,14 @@ select doc_id, count(*) as n_lines, sum(lost::int)::bigint as n_dropped, sha256(
 from j group by doc_id
 """
 
-ORACLE_SQL = {"op10_line_dedup": OP10_SQL, "op7_url_filters": OP7_SQL}
+OP1_SQL = r"""
+with v as (select vec_id, list_transform(embedding, lambda x: x::double) as x from embeddings
+           where vec_id is not null and len(embedding) > 0 and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))
+             and list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+p as (select q.vec_id as query_id, c.vec_id as vec_id, list_inner_product(q.x, c.x) as score
+      from v q join v c on len(q.x) = len(c.x) and q.vec_id <> c.vec_id where q.vec_id % 20 = 0),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from p)
+select query_id, rank::int as rank, vec_id, score from r where rank <= 20
+"""
+
+ORACLE_SQL = {"op1_nearest_neighbours": OP1_SQL, "op10_line_dedup": OP10_SQL, "op7_url_filters": OP7_SQL}
