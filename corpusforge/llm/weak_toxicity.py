@@ -9,8 +9,8 @@ voter votes clean where all others abstain.
 
 The generative label model sees votes only. Expectation-maximisation
 estimates how often each voter fires in either class; correlations of voters
-within a class, left over by that, lower a voter's weight by the number of
-voters it goes along with (a word and its beginning, say, count as one). The
+among toxic rows, left over by that, lower what voters that fire together add
+(a word and its beginning, say, count as one). The
 posterior labels train a logistic regression on the voters' counts, which
 then scores every whole text.
 
@@ -29,6 +29,7 @@ and text are read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,8 +41,11 @@ from pyspark.sql import functions as F
 from .common import cut
 
 MAX_TRAIN, MAX_VOTERS = 20_000, 512
-MIN_RATIO, MIN_PRECISION, MIN_DOCS = 20.0, 0.6, 3
-PREFIXES = (3, 4, 5, 6)
+#: A candidate's likelihood ratio at least: by documents alone, or by documents and, as a
+#: toxic stem takes many endings in one text, by distinct words.
+MIN_RATIO, MIN_RATIO_WITH_WORDS, MIN_WORD_RATIO = 20.0, 10.0, 40.0
+MIN_PRECISION, MIN_DOCS = 0.95, 3
+PREFIXES = (4, 5, 6)
 THRESHOLD = 0.7
 WORD = re.compile(r"[^\W\d_]+")
 #: Words whose voters a task remembers at most; the table starts anew when full.
@@ -70,8 +74,9 @@ def _sketches(batches):
 def _feature_rows(batches):
     for b in batches:
         for toxic, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            found = list({f for w in set(WORD.findall((text or "").lower())) for f in features(w)})
-            yield pa.record_batch([pa.array([toxic] * len(found), pa.int32()), pa.array(found, pa.string())], names=["toxic", "feature"])
+            found = Counter(f for w in set(WORD.findall((text or "").lower())) for f in features(w))
+            yield pa.record_batch([pa.array([toxic] * len(found), pa.int32()), pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int32())],
+                                  names=["toxic", "feature", "words"])
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, max_train: int) -> DataFrame:
@@ -89,13 +94,17 @@ def mine_voters(rows: DataFrame, max_voters: int) -> tuple[list[str], float]:
     if not toxic or toxic == total:
         return [], float(bool(toxic))
     base = toxic / total
-    counts = rows.mapInArrow(_feature_rows, "toxic int, feature string").groupBy("feature").agg(
-        F.count("*").cast("double").alias("n"), F.sum("toxic").cast("double").alias("k")).where((F.col("n") >= MIN_DOCS) & (F.col("k") > 0))
-    def term(seen: Column, expected: Column) -> Column:
-        return F.when(seen > 0, 2 * seen * F.log(seen / expected)).otherwise(0.0)
+    counts = rows.mapInArrow(_feature_rows, "toxic int, feature string, words int").groupBy("feature").agg(
+        F.count("*").cast("double").alias("n"), F.sum("toxic").cast("double").alias("k"),
+        F.sum("words").cast("double").alias("wn"), F.sum(F.col("words") * F.col("toxic")).cast("double").alias("wk"))
+
+    def ratio(n: Column, k: Column) -> Column:
+        def term(seen: Column, expected: Column) -> Column:
+            return F.when(seen > 0, 2 * seen * F.log(seen / expected)).otherwise(0.0)
+        return term(k, n * base) + term(n - k, n * (1 - base))
     n, k = F.col("n"), F.col("k")
-    ratio = term(k, n * base) + term(n - k, n * (1 - base))
-    best = counts.withColumn("ratio", ratio).where((F.col("ratio") >= MIN_RATIO) & (k / n >= MIN_PRECISION))
+    counts = counts.where((n >= MIN_DOCS) & (k / n >= MIN_PRECISION)).withColumn("ratio", ratio(n, k)).withColumn("word_ratio", ratio(F.col("wn"), F.col("wk")))
+    best = counts.where((F.col("ratio") >= MIN_RATIO) | ((F.col("ratio") >= MIN_RATIO_WITH_WORDS) & (F.col("word_ratio") >= MIN_WORD_RATIO)))
     return [r.feature for r in best.orderBy(F.desc("ratio"), "feature").limit(max_voters).collect()], base
 
 
@@ -123,46 +132,43 @@ def label_model(votes: np.ndarray, base: float, rounds: int = 30) -> tuple[np.nd
     """Posterior P(toxic) of rows of votes (1: toxic, 0: abstains).
 
     ``base`` is the share of toxic rows. Returns the posteriors and the
-    voters' firing rates by class, their weights and the log odds of silence.
+    voters' firing rates by class, their correlations and the rates of silence.
     """
     any_vote = votes.any(axis=1)
     post = np.where(any_vote, 0.95, 0.02)
-    weight = np.ones(votes.shape[1])
+    together = np.zeros((votes.shape[1],) * 2)
     for step in range(rounds):
         up, down = post.sum(), (1 - post).sum()
         fire1 = (post @ votes + 0.5 * base) / (up + 1)
         fire0 = ((1 - post) @ votes + 0.5 * (1 - base) * 0.1) / (down + 1)
-        if step in (0, 5, 15):  # correlations within a class, left over by the model
-            extra = np.zeros(votes.shape[1])
-            for p, fire in ((post, fire1), (1 - post, fire0)):
-                left = (votes - fire) * np.sqrt(p)[:, None]
-                cov = left.T @ left
-                spread = np.sqrt(np.maximum(np.diag(cov), 1e-12))
-                share = p @ votes / np.maximum(votes.sum(axis=0), 1)
-                corr = np.clip(cov / spread[:, None] / spread[None, :], 0, 1)
-                np.fill_diagonal(corr, 0)
-                extra += share * corr.sum(axis=1)
-            weight = 1 / (1 + extra)
+        if step in (0, 5, 15):  # correlations among toxic rows, left over by the model
+            left = (votes - fire1) * np.sqrt(post)[:, None]
+            cov = left.T @ left
+            spread = np.sqrt(np.maximum(np.diag(cov), 1e-12))
+            together = np.clip(cov / spread[:, None] / spread[None, :], 0, 1)
+            np.fill_diagonal(together, 0)
         silent1, silent0 = (post @ ~any_vote + 0.5) / (up + 1), ((1 - post) @ ~any_vote + 0.5) / (down + 1)
-        odds = np.log(base / (1 - base)) + votes @ (weight * np.log(fire1 / fire0)) + np.where(any_vote, 0.0, np.log(silent1 / silent0))
+        # Of voters that fire together each counts by as much as the others do not tell already.
+        evidence = (votes * np.log(fire1 / fire0) / (1 + votes @ together)).sum(axis=1)
+        odds = np.log(base / (1 - base)) + evidence + np.where(any_vote, 0.0, np.log(silent1 / silent0))
         post = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
-    return post, {"fire1": fire1, "fire0": fire0, "weight": weight, "silent": np.array([silent1, silent0])}
+    return post, {"fire1": fire1, "fire0": fire0, "together": together, "silent": np.array([silent1, silent0])}
 
 
-def logistic(x: np.ndarray, target: np.ndarray, penalty: float = 1e-4, rounds: int = 400) -> tuple[np.ndarray, float]:
-    """Weights and intercept of a logistic regression on soft labels, by accelerated gradient steps."""
-    n = len(x)
-    w, b = np.zeros(x.shape[1]), float(np.log(target.mean() / (1 - target.mean())))
-    step = 4 / (np.linalg.norm(x, axis=1) ** 2 + 1).mean()
-    vw, vb, last = w.copy(), b, 1.0
+def logistic(x: np.ndarray, target: np.ndarray, penalty: float = 0.1, rounds: int = 25) -> tuple[np.ndarray, float]:
+    """Weights and intercept of a ridge logistic regression on soft labels, by Newton steps."""
+    wide = np.hstack([x, np.ones((len(x), 1))])
+    ridge = np.diag(np.r_[np.full(x.shape[1], penalty), 1e-6])
+    w = np.zeros(wide.shape[1])
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ vw + vb, -30, 30)))
-        g = (p - target) / n
-        nw, nb = vw - step * (x.T @ g + penalty * vw), vb - step * g.sum()
-        now = (1 + np.sqrt(1 + 4 * last * last)) / 2
-        vw, vb = nw + (last - 1) / now * (nw - w), nb + (last - 1) / now * (nb - b)
-        w, b, last = nw, nb, now
-    return w, b
+        p = 1 / (1 + np.exp(-np.clip(wide @ w, -30, 30)))
+        slope = wide.T @ (p - target) + ridge @ w
+        bend = (wide * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ wide + ridge
+        move = np.linalg.solve(bend, slope)
+        w -= move * min(1.0, 5 / max(np.abs(move).max(), 1e-12))
+        if np.abs(move).max() < 1e-6:
+            break
+    return w[:-1], float(w[-1])
 
 
 @dataclass
