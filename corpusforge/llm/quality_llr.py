@@ -137,10 +137,11 @@ def judge(docs: DataFrame, model: DataFrame, id_col: str = "doc_id", text_col: s
         return d.where("__q_kept").drop("__q_kept")
     lines = F.filter(F.split(F.col(text), "\n", -1), lambda x: F.regexp_like(x, F.lit(r"[^\x20\x09-\x0D]")))
     d = d.withColumn("__q_lines", lines)
-    return d.select(
-        id_col, F.col("__q_n").alias("n_words"),
-        F.aggregate(w, F.lit(0), lambda a, x: a + F.length(x)).cast("long").alias("word_chars"),
+    found = F.struct(
+        F.col("__q_n").alias("n_words"), F.aggregate(w, F.lit(0), lambda a, x: a + F.length(x)).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.regexp_replace(F.col(text), "[#*$%&|<>]", ""))).cast("long").alias("n_symbols"),
         (F.size("__q_lines") - F.size(F.array_distinct("__q_lines"))).cast("long").alias("n_dup_lines"),
         F.col("__q_rep").alias("n_repeat_words"), F.col("__q_bad").alias("base_failed"), kept.alias("kept"),
         F.col("__q_llr").alias("llr"))
+    # Likewise, so that callers can filter by any of these.
+    return d.select(id_col, F.inline_outer(F.array(found)))
