@@ -1,6 +1,7 @@
 """Toxicity by weak supervision: many voters, a generative label model, a linear classifier.
 
-Voters are words (lexicon) and word beginnings (patterns). Candidates are
+Voters are words (lexicon) and word beginnings (patterns; some ask for several
+distinct words of one beginning). Candidates are
 mined from a bounded sample of the labelled training rows by the likelihood
 ratio of their document counts; one document of each group of near copies
 counts, so a much-copied document does not make voters of its rare words. A
@@ -45,7 +46,9 @@ MAX_TRAIN, MAX_VOTERS = 20_000, 512
 #: toxic stem takes many endings in one text, by distinct words.
 MIN_RATIO, MIN_RATIO_WITH_WORDS, MIN_WORD_RATIO = 20.0, 10.0, 40.0
 MIN_PRECISION, MIN_DOCS = 0.95, 3
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 5, 6, 7, 8)
+#: A pattern also votes by finding so many distinct words at least.
+TIMES = (2, 3, 4)
 THRESHOLD = 0.7
 WORD = re.compile(r"[^\W\d_]+")
 #: Words whose voters a task remembers at most; the table starts anew when full.
@@ -61,9 +64,19 @@ def features(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in PREFIXES if len(word) > n)]
 
 
+def distinct_words(text: str | None) -> set[str]:
+    return set(WORD.findall((text or "").lower()))
+
+
+def found_in(text: str | None) -> dict[str, int]:
+    """All features of a text with their numbers of distinct words; ``stem*3`` says three or more."""
+    found = Counter(f for w in distinct_words(text) for f in features(w))
+    return found | {f"{f}{t}": n for f, n in found.items() if n > 1 for t in TIMES if t <= n}
+
+
 def _sketch(text: str | None) -> str:
     """Alike for near copies: the four smallest hashes of a text's words."""
-    return "-".join(f"{h:x}" for h in sorted({xxhash.xxh64_intdigest(w) for w in WORD.findall((text or "").lower())})[:4])
+    return "-".join(f"{h:x}" for h in sorted(xxhash.xxh64_intdigest(w) for w in distinct_words(text))[:4])
 
 
 def _sketches(batches):
@@ -74,7 +87,7 @@ def _sketches(batches):
 def _feature_rows(batches):
     for b in batches:
         for toxic, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            found = Counter(f for w in set(WORD.findall((text or "").lower())) for f in features(w))
+            found = found_in(text)
             yield pa.record_batch([pa.array([toxic] * len(found), pa.int32()), pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int32())],
                                   names=["toxic", "feature", "words"])
 
@@ -109,23 +122,25 @@ def mine_voters(rows: DataFrame, max_voters: int) -> tuple[list[str], float]:
 
 
 class Voters:
-    """Which voters a word fires, and how often each fires in a text."""
+    """The voters that fire in a text, with their numbers of distinct words."""
 
     def __init__(self, names: list[str]):
         self.place = {f: i for i, f in enumerate(names)}
-        self.table: dict[str, tuple[int, ...]] = {}
+        self.stems = {f.rstrip("0123456789") for f in names}
+        self.table: dict[str, tuple[str, ...]] = {}
 
     def __call__(self, text: str | None) -> dict[int, int]:
         table, found = self.table, {}
         if len(table) > TABLE_WORDS:
             table.clear()
-        for w in WORD.findall((text or "").lower()):
+        for w in distinct_words(text):
             fired = table.get(w)
             if fired is None:
-                fired = table[w] = tuple(self.place[f] for f in features(w) if f in self.place)
-            for i in fired:
-                found[i] = found.get(i, 0) + 1
-        return found
+                fired = table[w] = tuple(f for f in features(w) if f in self.stems)
+            for f in fired:
+                found[f] = found.get(f, 0) + 1
+        names = found | {f"{f}{t}": n for f, n in found.items() if n > 1 for t in TIMES if t <= n}
+        return {self.place[f]: n for f, n in names.items() if f in self.place}
 
 
 def label_model(votes: np.ndarray, base: float, rounds: int = 30) -> tuple[np.ndarray, dict[str, np.ndarray]]:

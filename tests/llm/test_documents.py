@@ -264,7 +264,7 @@ def test_toxicity_held_out(spark):
     assert rows.count() == docs.count()
     tried = rows.where("held_out").join(labels, "doc_id").select("score", "predicted", "toxic").collect()
     toxic, clean = [r for r in tried if r.toxic], [r for r in tried if not r.toxic]
-    assert sum(r.predicted for r in toxic) > 0.9 * len(toxic)
+    assert sum(r.predicted for r in toxic) > 0.85 * len(toxic)
     assert sum(r.predicted for r in clean) < 0.01 * len(clean)
     assert all(0 <= r.score <= 1 for r in tried)
 
