@@ -198,7 +198,9 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     id_type = docs.schema[id_col].dataType.simpleString()
     found = cut(rows.mapInArrow(_suspect(segments, bits, min_chars), f"id {id_type}, key binary"))
     counted = found.distinct().groupBy("key").agg(F.count("*").alias("n"), F.max("id").alias("keeper"))
-    repeated = counted.where(F.col("n") >= min_docs).select("key", "keeper")
+    # Cut, so that the join reads both sides from plain exchanges and a key that a third of all
+    # documents hold can be split.
+    repeated = cut(counted.where(F.col("n") >= min_docs).select("key", "keeper"))
     losers = found.join(repeated, "key").where(~F.col("id").eqNullSafe(F.col("keeper")))
     lost = losers.groupBy(F.col("id").alias("lost_id")).agg(F.collect_set("key").alias("lost"))
 
