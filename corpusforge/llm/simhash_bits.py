@@ -69,13 +69,13 @@ def fingerprint(text: bytes | None, size: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
-    """Columns ``id``, ``th`` (a hash of the text) and ``fp`` (64 bits as a long), a row for each of ``docs``."""
+    """Columns ``id``, ``th`` (a hash of id and text) and ``fp`` (64 bits as a long), a row for each of ``docs``."""
     def run(batches):
         for batch in batches:
             fp = np.array([fingerprint(t, size) for t in batch.column(2).to_pylist()], dtype=np.uint64)
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(fp.view(np.int64), pa.int64())], names=["id", "th", "fp"])
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).cast("binary").alias("t")).mapInArrow(run, f"id {kind}, th long, fp long")
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("th"), F.col(text_col).cast("binary").alias("t")).mapInArrow(run, f"id {kind}, th long, fp long")
 
 
 # ---------------------------------------------------------------- bit planes
@@ -321,22 +321,22 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
              tile: int = TILE) -> DataFrame:
     """The rows of ``docs`` that stay: one of each component, that of its smallest id.
 
-    Of several rows of that id the one of the smallest text hash stays; of
+    Of several rows of that id the one of the smallest hash stays; of
     components of null ids only, one row each.
     """
     marked, named = _components_of(docs, id_col, text_col, size, radius, tile)
     rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)], F.col(id_col).alias("d"),
-                       F.xxhash64(text_col).alias("th"))
+                       F.xxhash64(id_col, text_col).alias("th"))
     inside = marked.join(named, marked["fp"] == named["f"])
     first = inside.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("z"), "id", "th")).alias("k")).select("k.id", F.col("k.th").alias("kh"))
-    kept = rows.join(first, F.col("d").eqNullSafe(F.col("id")) & (F.col("th") == F.col("kh"))).drop("id", "kh")
+    kept = rows.join(first, (F.col("th") == F.col("kh")) & F.coalesce(F.col("d") == F.col("id"), F.col("d").isNull() & F.col("id").isNull())).drop("id", "kh")
     cols = [f"c{i}" for i in range(len(docs.columns))]
-    one = kept.dropDuplicates(["d", "th"])
+    one = kept.dropDuplicates(["th", "d"])  # dealt by th already
     return one.select(*[F.col(c).alias(n) for c, n in zip(cols, docs.columns)])
 
 
 def _components_of(docs: DataFrame, id_col: str, text_col: str, size: int, radius: int, tile: int) -> tuple[DataFrame, DataFrame]:
-    """(id, fp, th) of every row, and the root and component_id of every fingerprint ``f``."""
+    """(id, th, fp) of every row, and the root and component_id of every fingerprint ``f``."""
     marked = cut(fingerprints(docs, id_col, text_col, size))
     nodes = marked.groupBy("fp").agg(F.min("id").alias("least"))
     roots = components(links(nodes.select("fp"), radius, tile))
