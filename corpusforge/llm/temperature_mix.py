@@ -16,7 +16,7 @@ their share end early. A document that begins within the budget is dealt.
 A source may hold any share of the rows: positions come from sums over slices
 of the hash order (``running_start``), never from one task per source. The
 table of sources (at most ``max_sources`` rows, an error beyond) is all that
-reaches the driver.
+reaches the driver, and all that is broadcast.
 
 Defined cases: null sources are a source; null and empty texts have no tokens
 and no weight, and are dealt with their neighbours (a source of no tokens:
@@ -111,7 +111,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         plan.append((r.source, w, r.tokens, budget, epochs, rest))
     kind = docs.schema[source_col].dataType.simpleString()
     table = docs.sparkSession.createDataFrame(plan, f"p_source {kind}, weight double, tokens long, budget long, epochs long, rest long")
-    each = rows.join(table, F.col("source").eqNullSafe(F.col("p_source")))
+    each = rows.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("p_source")))
     last = F.col("epochs") + F.when(F.col("rest") > 0, 1).otherwise(0)
     each = each.where(last > 0).withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), last - 1)))
     each = each.withColumn("order", order_hash(F.lit(seed), F.col("epoch"), F.col("key")))
@@ -142,7 +142,7 @@ def apply(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     top = {(r.source, r.epoch): r.top for r in tops}
     plan = [(s, e, top.get((s, e), -1) if rest else -1) for s, _, _, _, e, rest in mixture.sources]
     table = docs.sparkSession.createDataFrame(plan, f"__m_source {kind}, __m_epochs long, __m_top long")
-    joined = docs.join(table, F.col(source_col).eqNullSafe(F.col("__m_source")))
+    joined = docs.join(F.broadcast(table), F.col(source_col).eqNullSafe(F.col("__m_source")))
     order = order_hash(F.lit(seed), F.col("__m_epochs"), F.xxhash64(id_col, text_col))
     times = (F.col("__m_epochs") + F.when(order <= F.col("__m_top"), 1).otherwise(0)).cast("int")
     again = F.array_repeat(F.lit(1), times)
