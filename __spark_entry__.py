@@ -130,7 +130,7 @@ def q_jsonl_offsets(spark, sf_dir):
 
 def _content_ids(spark, sf_dir):
     d = _t(spark, sf_dir, "documents")
-    return d.select(F.substring(F.md5("text"), 1, 16).alias("content_id"), "doc_id", "lang")
+    return d.select(F.md5("text").alias("content_id"), "doc_id", "lang")
 
 
 def q_duplicate_ids(spark, sf_dir):
@@ -190,8 +190,8 @@ def _plain(spark, sf_dir, name, kind="docs"):
         return m.records(p.drop("start", "end"), BUCKET)
     if kind == "tot":
         d = _t(spark, sf_dir, "documents")
-        docs = d.select(F.substring(F.md5("text"), 1, 16).alias("doc_id"), F.col("doc_id").alias("n"), "text",
-                        F.substring(F.substring_index("text", "\n", 1), 1, 80).alias("title"),
+        docs = d.select(F.md5("text").alias("doc_id"), F.col("doc_id").alias("n"), "text",
+                        F.substring_index("text", "\n", 1).alias("title"),
                         F.concat(F.lit("Q"), F.col("doc_id").cast("string")).alias("wikidata_id"))
         off = offsets.jsonl_offsets(offsets.jsonl_lines(docs, "doc_id", ["text"], keep=["n"]), "n")
         off = dedupe.keep_first(off.select("doc_id", "start", "end"), "doc_id", ["start"])

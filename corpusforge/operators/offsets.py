@@ -18,7 +18,8 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+
+from corpusforge.session import cut
 
 # JSON string escapes (RFC 8259): quote, backslash and the C0 controls.
 _JSON_SHORT = [("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"),
@@ -31,26 +32,43 @@ def _cols(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def range_buckets(df: DataFrame, key: str, num_buckets: int | None = None,
-                  rel_error: float = 0.001) -> Column:
-    """A bucket number that grows with ``key``, from approximate quantiles.
+SAMPLE_PER_BUCKET = 64
+
 
-    Only ``num_buckets - 1`` boundary values reach the driver. Rows with
-    equal keys always share a bucket, so an order on ``key`` never straddles
-    buckets incorrectly.
+def range_buckets(df: DataFrame, keys: Sequence[str], num_buckets: int | None = None) -> Column:
+    """A bucket number that grows with the order of ``keys``, of any orderable types.
+
+    A sample of the keys (about ``SAMPLE_PER_BUCKET`` for each bucket) is
+    sorted by Spark and gives ``num_buckets - 1`` bounds over the *whole*
+    order key, so a first key that most rows share is split by the next ones.
+    The bounds are literals: every branch of a plan sees the same buckets.
+    Rows of equal keys share a bucket. The bucket is found by binary search.
     """
-    spark = df.sparkSession
-    n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n = max(1, n)
+    n = max(1, num_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     if n == 1:
         return F.lit(0)
-    probs = [i / n for i in range(1, n)]
-    bounds = sorted(set(df.approxQuantile(key, probs, rel_error)))
-    if not bounds:
+    narrow = df.select(*keys)
+    total = narrow.count()
+    want = n * SAMPLE_PER_BUCKET
+    sample = narrow if total <= want else narrow.sample(min(1.0, 1.2 * want / total), seed=42)
+    rows = sample.orderBy(*keys).limit(4 * want).collect()
+    if not rows:
         return F.lit(0)
-    arr = F.array(*[F.lit(b) for b in bounds])
-    # Number of boundaries <= key: a monotone bucket id.
-    return F.size(F.filter(arr, lambda b: b <= F.col(key)))
+    bounds = list(dict.fromkeys(rows[len(rows) * i // n] for i in range(1, n)))
+    types = [df.schema[k].dataType for k in keys]
+    if len(keys) == 1:  # plain comparisons; nulls come first
+        bounds = [b for b in bounds if b[0] is not None]
+    key = F.struct(*[F.col(k) for k in keys]) if len(keys) > 1 else F.col(keys[0])
+
+    def bucket(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        parts = [F.lit(v).cast(t).alias(k) for v, t, k in zip(bounds[mid], types, keys)]
+        bound = F.struct(*parts) if len(keys) > 1 else parts[0]
+        return F.when(key < bound, bucket(lo, mid)).otherwise(bucket(mid + 1, hi))
+    found = bucket(0, len(bounds))
+    return found if len(keys) > 1 else F.when(key.isNull(), F.lit(0)).otherwise(found)
 
 
 def running_sum(df: DataFrame, value, order_cols: Sequence, bucket_cols: Sequence[str],
@@ -68,10 +86,8 @@ def running_sum(df: DataFrame, value, order_cols: Sequence, bucket_cols: Sequenc
     w = (Window.partitionBy(*bucket_cols).orderBy(*_cols(order_cols))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     x = df.withColumn("__v", value.cast("bigint")).withColumn("__local_end", F.sum("__v").over(w))
-    # Totals come from the windowed rows (already partitioned by bucket), so
-    # the input is computed and shuffled once; both branches reuse that
-    # exchange.
-    totals = x.groupBy(*reset_cols, *bucket_cols).agg(F.max("__local_end").alias("__total"))
+    # A partial sum of narrow rows; only the rows themselves pay for the window.
+    totals = df.groupBy(*reset_cols, *bucket_cols).agg(F.sum(value.cast("bigint")).alias("__total"))
     wt = (Window.partitionBy(*reset_cols).orderBy(*_cols(bucket_order))
           .rowsBetween(Window.unboundedPreceding, -1))
     base = totals.select(*reset_cols, *bucket_cols,
@@ -86,18 +102,11 @@ def ordered_running_sum(df: DataFrame, value, order_key, num_buckets: int | None
                         start_col: str = "start", end_col: str = "end") -> DataFrame:
     """Running sum of ``value`` in the order of a sortable key.
 
-    ``order_key`` is a column name or a list of names; buckets are quantile
-    ranges of the first one, the full list orders rows inside a bucket.
+    ``order_key`` is a column name or a list of names, of any orderable
+    types; buckets are ranges of the full key.
     """
     keys = [order_key] if isinstance(order_key, str) else list(order_key)
-    if isinstance(df.schema[keys[0]].dataType, NumericType):
-        bucketed = df.withColumn("__bucket", range_buckets(df, keys[0], num_buckets))
-    else:
-        # Strings and other orderable keys: range partitioning samples any
-        # orderable type; the partition id then follows the key order.
-        n = num_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        bucketed = (df.repartitionByRange(max(1, n), F.col(keys[0]))
-                      .withColumn("__bucket", F.spark_partition_id()))
+    bucketed = df.withColumn("__bucket", range_buckets(df, keys, num_buckets))
     return running_sum(bucketed, value, keys, ["__bucket"], start_col=start_col,
                        end_col=end_col).drop("__bucket")
 
@@ -165,6 +174,11 @@ def jsonl_lines(docs: DataFrame, id_col: str, text_cols: Sequence[str], id_field
     return docs.select(*keep, F.concat(*parts).alias("line"))
 
 
+def json_path(field: str) -> str:
+    """The JSON path of a top-level field, whatever characters its name has."""
+    return f"$['{field}']"
+
+
 def jsonl_offsets(lines: DataFrame, order_key, id_field: str = "docno",
                   line_col: str = "line", num_buckets: int | None = None) -> DataFrame:
     """``(doc_id, start, end)`` byte range of every line of a JSONL corpus.
@@ -173,9 +187,14 @@ def jsonl_offsets(lines: DataFrame, order_key, id_field: str = "docno",
     line order.
     """
     keys = [order_key] if isinstance(order_key, str) else list(order_key)
-    x = lines.select(*keys, F.get_json_object(F.col(line_col), f"$.{id_field}").alias("doc_id"),
+    x = lines.select(*keys, F.get_json_object(F.col(line_col), json_path(id_field)).alias("doc_id"),
                      (F.octet_length(F.col(line_col)) + 1).alias("__bytes"))
-    return ordered_running_sum(x, "__bytes", keys, num_buckets).select(*keys, "doc_id", "start", "end")
+    # Narrow rows, written once: the lines are serialised and measured a single time.
+    return ordered_running_sum(cut(x), "__bytes", keys, num_buckets).select(*keys, "doc_id", "start", "end")
+
+
+# Endings of files that Spark would decompress while reading.
+COMPRESSED = r"\.(gz|bz2|deflate|lz4|snappy|zst|xz)$"
 
 
 def read_lines_with_offsets(spark, path: str, id_field: str = "docno") -> DataFrame:
@@ -196,8 +215,10 @@ def read_lines_with_offsets(spark, path: str, id_field: str = "docno") -> DataFr
         F.monotonically_increasing_id().alias("row_in_split"),
     )
     x = raw.select("file_path", "block_start", "file_size", "row_in_split",
-                   F.get_json_object("value", f"$.{id_field}").alias("doc_id"),
-                   (F.octet_length("value") + 1).alias("__bytes"))
+                   F.get_json_object("value", json_path(id_field)).alias("doc_id"),
+                   F.when(F.lower("file_path").rlike(COMPRESSED), F.raise_error(F.concat(
+                       F.lit("Byte offsets need uncompressed files: "), F.col("file_path"))).cast("int"))
+                    .otherwise(F.octet_length("value") + 1).alias("__bytes"))
     out = running_sum(x, "__bytes", ["row_in_split"], ["file_path", "block_start"],
                       bucket_order=["block_start"], reset_cols=["file_path"])
     return out.select("file_path", "doc_id", "start",

@@ -20,7 +20,6 @@ from corpusforge.functions import analyze
 # Lucene/ES BM25 defaults.
 K1 = 1.2
 B = 0.75
-MAX_BROADCAST_QUERY_TERMS = 1_000_000
 
 
 def doc_terms(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
@@ -42,7 +41,8 @@ def doc_terms(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
     # explode (a length taken after it would re-tokenise per word).
     ws = docs.select(F.col(doc_col).alias("doc_id"), *keep, analyze.words(F.col(text_col)).alias("ws"))
     ws = ws.withColumn("dl", F.size("ws").cast("bigint"))
-    w = ws.select("doc_id", *keep, "dl", F.explode("ws").alias("word"))
+    # Not explode: Catalyst would then filter by the array's size first, and tokenise a second time for it.
+    w = ws.select("doc_id", *keep, "dl", F.explode_outer("ws").alias("word")).filter(F.col("word").isNotNull())
     if lang_col:
         term = analyze.term_for_language(F.col("word"), F.col(lang_col), languages)
     else:
@@ -91,19 +91,11 @@ def bm25_topk(query_tokens: DataFrame, post: DataFrame, doc_lengths: DataFrame,
     qterms = (query_tokens.select("qid", F.explode("tokens").alias("term"))
               .groupBy("qid", "term").agg(F.count(F.lit(1)).alias("qtf")))
     terms = qterms.select("term").distinct()
-    # The query side is broadcast only below a measured bound; the count
-    # runs over the queries alone, and every broadcast table below has at
-    # most that many rows.
-    small = qterms.count() <= MAX_BROADCAST_QUERY_TERMS
-
-    def bc(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if small else df
-
-    post_q = post.join(bc(terms), "term", "left_semi")
+    post_q = post.join(terms, "term", "left_semi")
     dfs = post_q.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    weighted = bc(qterms).join(dfs, "term").withColumn(
+    weighted = qterms.join(dfs, "term").withColumn(
         "idf", F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5)))
-    hits = post_q.join(bc(weighted), "term")
+    hits = post_q.join(weighted, "term")
     norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("dl") / avgdl)
     part = F.col("qtf") * F.col("idf") * F.col("tf") / (F.col("tf") + norm)
     scores = hits.groupBy("qid", "doc_id").agg(F.round(F.sum(part), precision).alias("score"))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusforge.operators.offsets import check_unique_ids, corpus_slice, read_lines_with_offsets
+from corpusforge.operators.offsets import check_unique_ids, corpus_slice, json_path, read_lines_with_offsets
 from corpusforge.plans.mappings import dataset_mapping
 from corpusforge.sources import gzip_members, sink
 from corpusforge.sources.corpus import require_documents
@@ -60,7 +60,7 @@ def compressed_corpus(spark: SparkSession, lines: DataFrame, order_key: str, out
     manifest.write.mode("overwrite").parquet(manifest_path)
     written = spark.read.parquet(manifest_path)
     if verify:
-        source = lines.select(F.get_json_object(line_col, f"$.{id_field}").alias("doc_id"),
+        source = lines.select(F.get_json_object(line_col, json_path(id_field)).alias("doc_id"),
                               F.col(line_col).alias("expected"))
         back = gzip_members.read_members(written, out_dir)
         bad = back.join(source, "doc_id", "full_outer").filter(

@@ -52,8 +52,9 @@ def attach_offsets(docs: DataFrame, offsets: DataFrame, strict: bool = True) ->
     A shuffle join on ``doc_id`` (AQE turns it into a broadcast only when
     the offsets side is measured small at run time).
     """
-    off = offsets.select(F.col("doc_id").cast("string").alias("doc_id"),
-                         F.col("start").alias("off_start"), F.col("end").alias("off_end"))
+    # Of several entries of an id the last in the file counts, and no document is doubled.
+    last = offsets.groupBy(F.col("doc_id").cast("string").alias("doc_id")).agg(F.max(F.struct("start", "end")).alias("o"))
+    off = last.select("doc_id", F.col("o.start").alias("off_start"), F.col("o.end").alias("off_end"))
     joined = docs.join(off, "doc_id", "left")
     if strict:
         joined = joined.withColumn("off_start", F.when(
@@ -107,8 +108,9 @@ def build_plain(mapping: CorpusMapping, docs: DataFrame, bucket: str | None,
     spec: PlainSpec = PLAIN_SPECS[mapping.name]
     df = docs.withColumn("doc_id", F.col("doc_id").cast("string"))
     if spec.first_wins:
-        order = [order_col] if order_col else [c for c in df.columns if c != "doc_id"]
-        df = dedupe.keep_first(df, "doc_id", order)
+        if order_col is None:
+            raise ValueError(f"{mapping.name} keeps the first row of each id: give the column of the corpus order (order_col)")
+        df = dedupe.keep_first(df, "doc_id", [order_col])
     if spec.offset == "table":
         df = attach_offsets(df, offsets)
         offset, length = F.col("off_start"), F.col("off_end") - F.col("off_start")
@@ -256,6 +258,9 @@ def build_web(mapping: CorpusMapping, docs: DataFrame, bucket: str | None,
     lo = line_offsets.select(F.col("stem").alias("__stem"), F.col("doc_no").alias("__doc_no"),
                              "html_offset", "txt_offset")
     df = df.join(lo, (F.col("__loc.stem") == F.col("__stem")) & (F.col("__loc.doc_no") == F.col("__doc_no")), "left")
+    # A document without a line in the offsets file fails the job (E3); a null key would swallow it.
+    df = df.withColumn("html_offset", F.coalesce("html_offset", F.raise_error(
+        F.concat(F.lit("No line offset for document "), F.col("doc_id"))).cast("bigint")))
     doc_id = F.col("doc_id")
     uuid = ids.doc_uuid(mapping.corpus_prefix, doc_id)
     html_path = F.concat(F.lit("html/"), F.col("__loc.stem"), F.lit(WEB_FORMATS["html"][1]))

@@ -137,7 +137,8 @@ def wide_json(table: DataFrame, fields=DATA_FIELDS) -> Column:
     base = F.to_json(F.struct(*[written_value(n, t).alias(n) for n, t in plain]))
 
     def suffixed(group) -> Column:
-        keys = F.array(*[F.concat(F.lit(n + "_lang_"), lang) for n, _ in group])
+        # Without a language the fields keep their plain names.
+        keys = F.array(*[F.coalesce(F.concat(F.lit(n + "_lang_"), lang), F.lit(n)) for n, _ in group])
         vals = F.array(*[written_value(n, t) for n, t in group])
         m = F.map_filter(F.map_from_arrays(keys, vals), lambda k, v: v.isNotNull())
         return F.to_json(m)

@@ -21,9 +21,14 @@ WEB_EPOCH_MS = 1640995200000  # 2022-01-01 UTC
 HOUR_MS = 3600000
 
 
+#: Session setting; unset (the default) tables are read as they are split.
+MIN_PARTITIONS = "corpusforge.minPartitions"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One shared table, spread over at least as many partitions as cores."""
-    return read_corpus(spark, f"{sf_dir}/{name}.parquet")
+    """One shared table. A session whose tables are single small files may ask for more partitions."""
+    few = spark.conf.get(MIN_PARTITIONS, None)
+    return read_corpus(spark, f"{sf_dir}/{name}.parquet", min_partitions=int(few) if few else None)
 
 
 def plain_docs(documents: DataFrame) -> DataFrame:
@@ -32,7 +37,7 @@ def plain_docs(documents: DataFrame) -> DataFrame:
         F.col("doc_id").cast("string").alias("doc_id"),
         F.col("doc_id").alias("n"),
         "text",
-        F.substring(F.substring_index("text", "\n", 1), 1, 80).alias("title"),
+        F.substring_index("text", "\n", 1).alias("title"),
         F.concat(F.lit("https://www."), F.col("source"), F.lit(".example.org/"), F.col("lang"),
                  F.lit("/doc/"), F.col("doc_id").cast("string"), F.lit(";v=1?len="),
                  F.col("n_chars").cast("string"), F.lit("#top")).alias("url"),
@@ -66,7 +71,7 @@ def parent_documents(conversations: DataFrame) -> DataFrame:
     return (conversations.groupBy("conv_id")
             .agg(F.min_by("text", "turn").alias("first"), F.count(F.lit(1)).alias("turns"))
             .select(F.col("conv_id").cast("string").alias("doc_id"),
-                    F.substring(F.substring_index("first", "\n", 1), 1, 80).alias("title"),
+                    F.substring_index("first", "\n", 1).alias("title"),
                     F.concat(F.lit("https://chat.example.org/c/"), F.col("conv_id").cast("string"),
                              F.lit("?turns="), F.col("turns").cast("string")).alias("url")))
 

@@ -10,7 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark import SparkConf
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC for the record-time constants, AQE for
 # skew splitting and partition coalescing at run time.
@@ -33,15 +34,16 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    given = SparkConf()  # what the submit command and its files say
     for key, value in _DEFAULTS.items():
-        builder = builder.config(key, value)
-    if shuffle_partitions:
+        if not given.contains(key):
+            builder = builder.config(key, value)
+    if shuffle_partitions and not given.contains("spark.sql.shuffle.partitions"):
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("CF_DRIVER_MEMORY", "16g"))
-    # A local session gets its own scratch checkpoint folder; a cluster
-    # session brings its shared one in spark.checkpoint.dir.
-    builder = builder.config("spark.checkpoint.dir",
-                             tempfile.mkdtemp(prefix="corpusforge-ckpt-", dir="/tmp"))
+    if "CF_DRIVER_MEMORY" in os.environ:
+        builder = builder.config("spark.driver.memory", os.environ["CF_DRIVER_MEMORY"])
+    elif (master or "").startswith("local") and not given.contains("spark.driver.memory"):
+        builder = builder.config("spark.driver.memory", "8g")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
@@ -65,7 +67,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return existing
     if spark.sparkContext.master.startswith("local"):
         # Local runs only (tests, the driver's smoke check): a scratch folder.
-        path = tempfile.mkdtemp(prefix="corpusforge-ckpt-", dir="/tmp")
+        path = tempfile.mkdtemp(prefix="corpusforge-ckpt-")
         spark.sparkContext.setCheckpointDir(path)
         return path
     raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read back (reliable, survives lost executors)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()

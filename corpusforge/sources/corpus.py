@@ -1,9 +1,6 @@
 """Corpus and side-table sources.
 
 All readers return lazy DataFrames with explicit schemas (no inference).
-``ensure_parallelism`` guards CPU-heavy per-row stages against inputs that
-arrive in fewer partitions than the cluster has cores (a single unsplittable
-file); on a real corpus of many files it is a no-op.
 """
 
 from __future__ import annotations
@@ -16,34 +13,18 @@ OFFSETS_SCHEMA = StructType([StructField("doc_id", StringType()), StructField("s
                              StructField("end", LongType())])
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    return int(spark.sparkContext.defaultParallelism)
-
-
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition when ``df`` has fewer partitions than cores.
-
-    The check reads the scan's planned partition count (no job runs); where
-    the session exposes no partition count (Spark Connect) it is skipped.
-    """
-    try:
-        target = min_partitions or default_parallelism(df.sparkSession)
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect)
-        return df
-    if current < target:
-        return df.repartition(target)
-    return df
-
-
 def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None,
                 min_partitions: int | None = None) -> DataFrame:
-    """A corpus as a DataFrame (A1): parquet, JSON lines or text."""
+    """A corpus as a DataFrame (A1): parquet, JSON lines or text.
+
+    Splits follow ``spark.sql.files.maxPartitionBytes``. ``min_partitions``
+    deals the rows anew, for a corpus that is one unsplittable file.
+    """
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.format(fmt).load(path)
-    return ensure_parallelism(df, min_partitions)
+    return df.repartition(min_partitions) if min_partitions else df
 
 
 def require_documents(df: DataFrame, name: str = "corpus") -> DataFrame:

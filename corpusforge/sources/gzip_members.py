@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from corpusforge.operators.offsets import ordered_running_sum
+from corpusforge.operators.offsets import json_path, ordered_running_sum
+from corpusforge.session import cut
 
 
 @F.pandas_udf(BinaryType())
@@ -40,9 +41,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 def member_offsets(lines: DataFrame, order_key: str, id_field: str = "docno",
                    line_col: str = "line") -> DataFrame:
     """``(doc_id, start, end)`` of each member in one concatenated file (ordered by ``order_key``)."""
-    x = lines.select(order_key, F.get_json_object(F.col(line_col), f"$.{id_field}").alias("doc_id"),
+    x = lines.select(order_key, F.get_json_object(F.col(line_col), json_path(id_field)).alias("doc_id"),
                      F.octet_length(gzip_member(F.col(line_col))).alias("__bytes"))
-    return ordered_running_sum(x, "__bytes", order_key).select(order_key, "doc_id", "start", "end")
+    # Written once, so each line is compressed a single time.
+    return ordered_running_sum(cut(x), "__bytes", order_key).select(order_key, "doc_id", "start", "end")
 
 
 def write_member_files(lines: DataFrame, order_key: str, out_dir: str, num_files: int,

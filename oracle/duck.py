@@ -279,11 +279,11 @@ def plain_docs_sql() -> str:
     url = ("'https://www.' || source || '.example.org/' || lang || '/doc/' || CAST(doc_id AS VARCHAR) || "
            "';v=1?len=' || CAST(n_chars AS VARCHAR) || '#top'")
     return (f"(SELECT CAST(doc_id AS VARCHAR) AS doc_id, doc_id AS n, text, "
-            f"substring(split_part(text, chr(10), 1), 1, 80) AS title, {url} AS url, lang, source FROM documents)")
+            f"split_part(text, chr(10), 1) AS title, {url} AS url, lang, source FROM documents)")
 
 
 def parent_documents_sql() -> str:
-    return ("(SELECT CAST(conv_id AS VARCHAR) AS doc_id, substring(split_part(first, chr(10), 1), 1, 80) AS title, "
+    return ("(SELECT CAST(conv_id AS VARCHAR) AS doc_id, split_part(first, chr(10), 1) AS title, "
             "'https://chat.example.org/c/' || CAST(conv_id AS VARCHAR) || '?turns=' || CAST(turns AS VARCHAR) AS url "
             "FROM (SELECT conv_id, arg_min(text, turn) AS first, count(*) AS turns FROM conversations GROUP BY conv_id))")
 

@@ -66,14 +66,14 @@ V21_SEG = (f"(SELECT 'msmarco_v2.1_doc_' || lpad(CAST(conv_id // 100 AS VARCHAR)
            f"'Turn ' || CAST(turn AS VARCHAR) AS title, 'https://chat.example.org/c/' || CAST(conv_id AS VARCHAR) AS url "
            f"FROM (SELECT p.*, o.start FROM {PASSAGES} p JOIN {D.passage_offsets_sql()} o USING (doc_id)))")
 
-_TOT_LINES = D.jsonl_line("substring(md5(text), 1, 16)", "text")
+_TOT_LINES = D.jsonl_line("md5(text)", "text")
 TOT_OFF = (f"(SELECT doc_id, arg_min(start, start) AS start, arg_min(\"end\", start) AS \"end\" FROM "
            f"(SELECT json_extract_string(line, '$.docno') AS doc_id, \"end\" - b AS start, \"end\" FROM "
            f"(SELECT line, strlen(line) + 1 AS b, {D.running('strlen(line) + 1', 'doc_id')} AS \"end\" FROM "
            f"(SELECT doc_id, {_TOT_LINES} AS line FROM documents))) GROUP BY doc_id)")
 TOT_DOCS = ("(SELECT cid AS doc_id, arg_min(text, doc_id) AS text, arg_min(title, doc_id) AS title, "
-            "'Q' || CAST(min(doc_id) AS VARCHAR) AS wikidata_id FROM (SELECT substring(md5(text), 1, 16) AS cid, doc_id, "
-            "text, substring(split_part(text, chr(10), 1), 1, 80) AS title FROM documents) GROUP BY cid)")
+            "'Q' || CAST(min(doc_id) AS VARCHAR) AS wikidata_id FROM (SELECT md5(text) AS cid, doc_id, "
+            "text, split_part(text, chr(10), 1) AS title FROM documents) GROUP BY cid)")
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -110,7 +110,7 @@ ORACLE_SQL["page_meta"] = (f"SELECT page_id, meta_desc, {D.join_list('kws')} AS
                            f"FROM {_KW.replace("@SRC@", HTML)}")
 
 ORACLE_SQL["jsonl_offsets"] = f"SELECT doc_id, start, \"end\" FROM {D.plain_offsets_sql()}"
-_CID = "(SELECT substring(md5(text), 1, 16) AS content_id, doc_id, lang FROM documents)"
+_CID = "(SELECT md5(text) AS content_id, doc_id, lang FROM documents)"
 ORACLE_SQL["duplicate_ids"] = (f"SELECT content_id, CAST(count(*) AS BIGINT) AS n FROM {_CID} GROUP BY content_id "
                                f"HAVING count(*) > 1 OR content_id IS NULL")
 ORACLE_SQL["corpus_slice"] = ("SELECT doc_id, lang, position FROM (SELECT doc_id, lang, "

@@ -3,6 +3,7 @@ import base64
 import hashlib
 import random
 import re
+import struct
 import uuid
 from urllib.parse import urlparse
 
@@ -11,18 +12,25 @@ from pyspark.sql import functions as F
 from corpusforge.functions import ids, text, urls
 
 
-def py_uuid(prefix, internal_id):
-    u = uuid.uuid5(uuid.NAMESPACE_URL, ":".join((prefix, internal_id)))
-    return base64.urlsafe_b64encode(u.bytes)[:-2].decode()
+def url64(raw: bytes) -> str:
+    return base64.b64encode(raw, b"-_").decode().rstrip("=")
 
 
-def py_index_id(ms, pos, name, doc):
-    pos &= (1 << 32) - 1
-    fields = (ms & 0xFFFFFFFF, (ms >> 32) & 0xFFFF, ((pos >> 16) & 0x3FFF) | 0x1000,
-              (((pos & 0xFFFF) >> 8) & 0x3F) | 0x80, pos & 0xFF,
-              int.from_bytes(hashlib.blake2b(name.encode(), digest_size=3).digest()
-                             + hashlib.blake2b(doc.encode(), digest_size=3).digest(), "big"))
-    return base64.urlsafe_b64encode(uuid.UUID(fields=fields).bytes)[:-2].decode()
+def py_uuid(prefix: str, name: str) -> str:
+    """Version 5 of RFC 4122, from the SHA-1 digest."""
+    raw = bytearray(hashlib.sha1(uuid.NAMESPACE_URL.bytes + f"{prefix}:{name}".encode()).digest()[:16])
+    raw[6] = 0x50 | raw[6] % 16
+    raw[8] = 0x80 | raw[8] % 64
+    return url64(bytes(raw))
+
+
+def py_index_id(ms: int, offset: int, file: str, doc: str) -> str:
+    """The 16 bytes in order: time (low 4, next 2), version and 14 bits of the
+    offset's upper half, variant and 6 bits, the offset's last byte, two hashes."""
+    low4, next2 = ms % 2**32, ms // 2**32 % 2**16
+    upper, lower = offset // 2**16 % 2**14, offset % 2**16
+    head = struct.pack(">IHHBB", low4, next2, 0x1000 | upper, 0x80 | lower // 256 % 64, lower % 256)
+    return url64(head + b"".join(hashlib.blake2b(x.encode(), digest_size=3).digest() for x in (file, doc)))
 
 
 def test_doc_uuid_golden(spark):

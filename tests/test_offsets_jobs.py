@@ -1,5 +1,6 @@
 """Offsets, slices, gzip members, upserts, jobs and streaming (properties + negatives)."""
 import gzip
+import hashlib
 import json
 import os
 import tempfile
@@ -258,3 +259,75 @@ def test_offsets_independent_of_bucket_count(spark, buckets):
     ref = sorted((r.doc_id, r.start, r.end) for r in standins.plain_offsets(
         spark.read.parquet(f"{SF}/documents.parquet")).collect())
     assert got == ref
+
+
+def _sequential(rows, key):
+    start, out = 0, {}
+    for r in sorted(rows, key=key):
+        out[r[:-2]] = start
+        start += r[-2]
+    return out
+
+
+def test_running_sum_of_string_keys_with_payload(spark):
+    n = 200_000
+    rows = [(hashlib.md5(str(i).encode()).hexdigest(), i % 97, "p%d" % i) for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, v long, payload string").repartition(8)
+    got = offsets.ordered_running_sum(df, "v", "k", num_buckets=16).select("k", "start", "payload").collect()
+    assert {(r.k,): r.start for r in got} == _sequential(rows, lambda r: r[0])
+    assert len(got) == n
+
+
+def test_running_sum_splits_a_hot_first_key(spark):
+    rows = [(7 if i % 10 else i, i, i % 13, "x") for i in range(20_000)]
+    df = spark.createDataFrame(rows, "conv long, turn long, v long, payload string")
+    bucket = offsets.range_buckets(df, ["conv", "turn"], 16)
+    sizes = [r["count"] for r in df.groupBy(bucket.alias("b")).count().collect()]
+    assert len(sizes) >= 12 and max(sizes) < 4 * 20_000 / 16
+    got = offsets.ordered_running_sum(df, "v", ["conv", "turn"], num_buckets=16).collect()
+    assert {(r.conv, r.turn): r.start for r in got} == _sequential(rows, lambda r: r[:2])
+
+
+def test_offsets_refuse_compressed_files(spark, tmp_path):
+    spark.createDataFrame([('{"docno": "a"}',)], "value string").write.option("compression", "gzip").text(str(tmp_path / "z"))
+    with pytest.raises(Exception, match="uncompressed"):
+        offsets.read_lines_with_offsets(spark, str(tmp_path / "z")).collect()
+
+
+def test_id_field_with_a_dot(spark):
+    lines = spark.createDataFrame([(1, '{"doc.no": "a"}')], "n long, line string")
+    assert offsets.jsonl_offsets(lines, "n", id_field="doc.no").collect()[0].doc_id == "a"
+
+
+def test_missing_line_offset_fails(spark):
+    from corpusforge.plans import mappings, standins
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").limit(20)
+    docs = standins.web_docs(standins.inject_page_features(pages))
+    lines = standins.web_line_offsets(docs)
+    mapping = mappings.dataset_mapping("clueweb22")
+    assert mapping.records(docs, "b", line_offsets=lines).count() > 0
+    with pytest.raises(Exception, match="No line offset"):
+        mapping.records(docs, "b", line_offsets=lines.limit(1)).collect()
+
+
+def test_offsets_entry_given_twice_counts_once(spark):
+    from corpusforge.plans import mappings
+    docs = spark.createDataFrame([("a", "t")], "doc_id string, text string")
+    off = spark.createDataFrame([("a", 0, 5), ("a", 9, 12)], "doc_id string, start long, end long")
+    assert [(r.off_start, r.off_end) for r in mappings.attach_offsets(docs, off).collect()] == [(9, 12)]
+
+
+def test_first_row_wins_needs_an_order(spark):
+    from corpusforge.plans import mappings
+    docs = spark.createDataFrame([("a", "t", "x")], "doc_id string, text string, title string")
+    with pytest.raises(ValueError, match="order_col"):
+        mappings.dataset_mapping("trec-tot/2024").records(docs, "b", offsets=docs)
+
+
+def test_null_language_keeps_plain_names(spark):
+    from corpusforge.plans import records
+    table = spark.createDataFrame([("t", None)], "title string, lang string")
+    for name, kind in records.DATA_FIELDS:
+        if name not in table.columns:
+            table = table.withColumn(name, F.lit(None).cast(kind))
+    assert json.loads(table.select(records.wide_json(table)).first()[0])["title"] == "t"
