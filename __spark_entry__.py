@@ -255,8 +255,9 @@ def q_missing_offsets(spark, sf_dir):
 
 def q_two_table_index(spark, sf_dir):
     r = _plain(spark, sf_dir, "msmarco-document")
-    return records.paired(r).select("_id", F.col("meta.uuid").alias("meta_uuid"),
-                                    F.col("data.uuid").alias("data_uuid"))
+    # The key itself needs BLAKE2b, which DuckDB lacks; its parts have oracles of their own.
+    return records.paired(r).select(F.col("meta.uuid").alias("meta_uuid"), F.col("data.uuid").alias("data_uuid"),
+                                    F.length("_id").cast("bigint").alias("key_length"))
 
 
 def _upsert_batches(spark, sf_dir):
@@ -275,8 +276,17 @@ def q_upsert_last_wins(spark, sf_dir):
 
 
 def q_key_collisions(spark, sf_dir):
-    r = _plain(spark, sf_dir, "msmarco-document")
-    return dedupe.key_collisions(r.select("_id", F.col("m_uuid").alias("uuid")))
+    # Real keys hardly ever collide here: a key that three documents in a row share stands in.
+    d = _t(spark, sf_dir, "documents").select(F.floor(F.col("doc_id") / 3).cast("bigint").alias("_id"), ids.doc_uuid("corpus", "doc_id").alias("uuid"))
+    return dedupe.key_collisions(d).select("_id", F.col("n_rows").cast("bigint").alias("n_rows"), F.col("n_docs").cast("bigint").alias("n_docs"))
+
+
+def q_parent_metadata(spark, sf_dir):
+    return standins.parent_documents(_t(spark, sf_dir, "conversations"))
+
+
+def q_keyword_lower(spark, sf_dir):
+    return _t(spark, sf_dir, "pages").select("page_id", analyze.keyword_lower(F.upper("url")).alias("keyword"))
 
 
 def _web_data(spark, sf_dir):
@@ -398,6 +408,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "two_table_index": q_two_table_index,
     "upsert_last_wins": q_upsert_last_wins,
     "key_collisions": q_key_collisions,
+    "parent_metadata": q_parent_metadata,
+    "keyword_lower": q_keyword_lower,
     "stored_view": q_stored_view,
     "record_wide_json": q_record_wide_json,
     "host_tokens": q_host_tokens,

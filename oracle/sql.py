@@ -265,3 +265,14 @@ sc AS (SELECT w.qid, post.doc_id, sum(w.qtf * w.idf * post.tf / (post.tf + 1.2 *
 r AS (SELECT qid, doc_id, round(score, 6) AS score, row_number() OVER (PARTITION BY qid ORDER BY round(score, 6) DESC, doc_id) AS rank FROM sc)
 SELECT qid, doc_id, score, CAST(rank AS BIGINT) AS rank FROM r WHERE rank <= 10
 """
+
+ORACLE_SQL["two_table_index"] = (
+    f"SELECT {D.doc_uuid('msmarco-v1-document', 'doc_id')} AS meta_uuid, {D.doc_uuid('msmarco-v1-document', 'doc_id')} AS data_uuid, "
+    "CAST(22 AS BIGINT) AS key_length FROM documents")
+ORACLE_SQL["key_collisions"] = (
+    "SELECT CAST(floor(doc_id / 3.0) AS BIGINT) AS _id, count(*) AS n_rows, count(DISTINCT doc_id) AS n_docs "
+    "FROM documents GROUP BY 1 HAVING count(DISTINCT doc_id) > 1")
+ORACLE_SQL["keyword_lower"] = "SELECT page_id, lower(upper(url)) AS keyword FROM pages"
+ORACLE_SQL["parent_metadata"] = (
+    "SELECT CAST(conv_id AS VARCHAR) AS doc_id, split_part(arg_min(text, turn), chr(10), 1) AS title, "
+    "'https://chat.example.org/c/' || conv_id || '?turns=' || count(*) AS url FROM conversations GROUP BY conv_id")
