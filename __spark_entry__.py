@@ -94,9 +94,8 @@ def _all_urls(spark, sf_dir):
 
 
 def q_url_parts(spark, sf_dir):
-    u = _all_urls(spark, sf_dir)
-    p = urls.url_parts("url")
-    return u.select("src", "id", p["host"].alias("host"), p["path"].alias("path"), p["query"].alias("query"))
+    u = urls.with_url_parts(_all_urls(spark, sf_dir), "url", "p_")
+    return u.select("src", "id", F.col("p_host").alias("host"), F.col("p_path").alias("path"), F.col("p_query").alias("query"))
 
 
 def _html(spark, sf_dir):
@@ -313,21 +312,18 @@ def q_record_wide_json(spark, sf_dir):
 # ------------------------------------------------------------------ analyzers / search (K)
 
 def q_host_tokens(spark, sf_dir):
-    u = _all_urls(spark, sf_dir)
-    t = analyze.host_tokens(urls.url_parts("url")["host"])
-    return u.select("src", "id", _lst(t).alias("tokens"))
+    u = urls.with_url_parts(_all_urls(spark, sf_dir), "url", "p_")
+    return u.select("src", "id", _lst(analyze.host_tokens(F.col("p_host"))).alias("tokens"))
 
 
 def q_path_tokens(spark, sf_dir):
-    u = _all_urls(spark, sf_dir)
-    t = analyze.path_tokens(urls.url_parts("url")["path"])
-    return u.select("src", "id", _lst(t).alias("tokens"))
+    u = urls.with_url_parts(_all_urls(spark, sf_dir), "url", "p_")
+    return u.select("src", "id", _lst(analyze.path_tokens(F.col("p_path"))).alias("tokens"))
 
 
 def q_query_tokens(spark, sf_dir):
-    u = _all_urls(spark, sf_dir)
-    t = analyze.query_tokens(urls.url_parts("url")["query"])
-    return u.select("src", "id", _lst(t).alias("tokens"))
+    u = urls.with_url_parts(_all_urls(spark, sf_dir), "url", "p_")
+    return u.select("src", "id", _lst(analyze.query_tokens(F.col("p_query"))).alias("tokens"))
 
 
 def _lang_tokens(lang):

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import unicodedata
 
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -53,15 +54,17 @@ def fold(c: Column) -> Column:
 WORD_RE = r"[\p{L}\p{N}]+(?:['’][\p{L}\p{N}]+)*"
 WHITESPACE_RE = r"[\s\x{85}\x{a0}\x{2000}-\x{200a}\x{3000}]+"
 DELIMITER_RE = r"[^\p{L}\p{N}]+"
-HOST_PREFIX_RE = r"^www[0-9]?\.(.+\..+)$"
+# What the host analyzer captures, and the English possessive it drops.
+HOST_PREFIX_RE = r"^(?:www\d?\.)(.+\..+)$"
+POSSESSIVE_RE = r"['’][sS]([^\p{L}\p{N}]|$)"
 QUERY_SPLIT_RE = r"[&=]"
 # French elided articles.
 ELISION_RE = r"^(?:l|m|t|qu|n|s|j|d|c|jusqu|quoiqu|lorsqu|puisqu)['’]"
-# Host stop words: the generic TLDs below, plus every two-letter label (the
-# country-code rule); pass ``stop_two_letter=False`` and an explicit list to
-# use a fixed table instead.
+# Fixed values of the host stop list: generic names, then the codes in use as top-level
+# domains that are no country codes (any more), then country codes younger than the list.
 HOST_STOP_GENERIC = ("com", "net", "org")
-TWO_LETTER_RE = r"^[a-z]{2}$"
+HOST_STOP_EXTRA = ("ac", "an", "cs", "dd", "eu", "su", "tp", "uk", "yu", "zr")
+HOST_STOP_LEFT_OUT = ("bl", "bq", "cw", "mf", "ss", "sx")
 
 
 def words(c: Column) -> Column:
@@ -210,27 +213,36 @@ def keyword_lower(c: Column) -> Column:
     return fold(c)
 
 
+def host_stop_words() -> list[str]:
+    """The host stop list: generic names and country codes, by rule from the
+    JVM's ISO 3166 table and the fixed differences above."""
+    codes = {c.lower() for c in SparkContext._active_spark_context._jvm.java.util.Locale.getISOCountries()}
+    return [*HOST_STOP_GENERIC, *sorted((codes | set(HOST_STOP_EXTRA)) - set(HOST_STOP_LEFT_OUT))]
+
+
 def _word_delimiter(t: Column) -> Column:
-    """Original token, its alphanumeric parts, and catenated word/number parts."""
-    parts = F.filter(F.split(t, DELIMITER_RE, -1), lambda p: p != "")
-    wparts = F.filter(parts, lambda p: ~p.rlike("^[0-9]+$"))
-    nparts = F.filter(parts, lambda p: p.rlike("^[0-9]+$"))
-    cat_w = F.when(F.size(wparts) > 1, F.array(F.array_join(wparts, ""))).otherwise(F.array())
-    cat_n = F.when(F.size(nparts) > 1, F.array(F.array_join(nparts, ""))).otherwise(F.array())
-    return F.concat(F.array(t), parts, cat_w.cast("array<string>"), cat_n.cast("array<string>"))
+    """Original token, its alphanumeric parts, and each run of two or more
+    neighbouring word parts (or number parts, by first character) catenated."""
+    bare = F.regexp_replace(t, POSSESSIVE_RE, "$1")
+    parts = F.filter(F.split(bare, DELIMITER_RE, -1), lambda p: p != "")
+    tagged = F.array_join(F.transform(parts, lambda p: F.concat(
+        F.when(p.rlike(r"^\p{L}"), F.lit(" w")).otherwise(F.lit(" n")), p)), "")
+
+    def runs(tag: str) -> Column:
+        return F.transform(F.regexp_extract_all(tagged, F.lit(f"(?:{tag}[^ ]+){{2,}}"), 0),
+                           lambda r: F.replace(r, F.lit(tag), F.lit("")))
+
+    return F.concat(F.array(t), parts, runs(" w"), runs(" n"))
 
 
-def host_tokens(host: Column, stop_words=HOST_STOP_GENERIC, stop_two_letter: bool = True) -> Column:
+def host_tokens(host: Column, stop_words=None) -> Column:
     """Host analyzer (K2): whitespace split, ``www.`` capture, word delimiter,
-    TLD stop words, minimal English stem, unique."""
+    stop words (default ``host_stop_words()``), minimal English stem, unique."""
+    stops = host_stop_words() if stop_words is None else list(stop_words)
     toks = F.filter(F.split(host, WHITESPACE_RE, -1), lambda t: t != "")
     toks = F.transform(toks, lambda t: F.regexp_replace(t, HOST_PREFIX_RE, "$1"))
     toks = F.flatten(F.transform(toks, _word_delimiter))
-    stops = F.array(*[F.lit(s) for s in stop_words])
-    if stop_two_letter:
-        toks = F.filter(toks, lambda t: ~F.array_contains(stops, t) & ~t.rlike(TWO_LETTER_RE))
-    else:
-        toks = F.filter(toks, lambda t: ~F.array_contains(stops, t))
+    toks = F.filter(toks, lambda t: ~t.isin(stops))
     return F.array_distinct(F.transform(toks, stem_en))
 
 

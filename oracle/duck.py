@@ -371,21 +371,35 @@ def language_tokens(x: str, lang: str) -> str:
     return f"list_transform({toks}, lambda t: {fold('t')})"
 
 
+def host_stop_words() -> list[str]:
+    """Country codes of the time zone database (not of the JVM, as in the library) and the fixed differences."""
+    import importlib.resources
+    tab = importlib.resources.files("tzdata").joinpath("zoneinfo/iso3166.tab").read_text("utf-8")
+    codes = {line.split("\t")[0].lower() for line in tab.splitlines() if line and not line.startswith("#")}
+    extra = {"com", "net", "org", "ac", "an", "cs", "dd", "eu", "su", "tp", "uk", "yu", "zr"}
+    return sorted((codes | extra) - {"bl", "bq", "cw", "mf", "ss", "sx"})
+
+
 def word_delimiter(t: str) -> str:
-    parts = f"list_filter(regexp_split_to_array({t}, {q(A.DELIMITER_RE)}), lambda p: p <> '')"
-    wparts = f"list_filter({parts}, lambda p: NOT regexp_matches(p, '^[0-9]+$'))"
-    nparts = f"list_filter({parts}, lambda p: regexp_matches(p, '^[0-9]+$'))"
-    cat_w = f"CASE WHEN len({wparts}) > 1 THEN [array_to_string({wparts}, '')] ELSE []::VARCHAR[] END"
-    cat_n = f"CASE WHEN len({nparts}) > 1 THEN [array_to_string({nparts}, '')] ELSE []::VARCHAR[] END"
-    return f"list_concat([{t}], {parts}, {cat_w}, {cat_n})"
+    """Original, parts, and for every run of neighbouring parts of one kind its catenation."""
+    parts = f"list_filter(regexp_split_to_array({rx(t, chr(91) + chr(39) + '’][sS]([^' + chr(92) + 'p{L}' + chr(92) + 'p{N}]|$)', '$1')}, '[^\\p{{L}}\\p{{N}}]+'), lambda p: p <> '')"
+    # a break stands between parts of different kinds, a comma between parts of one kind
+    kind = "regexp_matches({}, '^\\p{{L}}')"
+    last_kind = kind.format("regexp_extract(x, '[^,|]*$')")
+    glued = (f"list_reduce({parts}, lambda x, y: x || CASE WHEN {kind.format('y')} = "
+             f"{last_kind} THEN ',' ELSE '|' END || y)")
+    runs = (f"list_transform(list_filter(string_split({glued}, '|'), lambda r: contains(r, ',')), "
+            f"lambda r: replace(r, ',', ''))")
+    return f"CASE WHEN len({parts}) = 0 THEN [{t}] ELSE list_concat([{t}], {parts}, {runs}) END"
 
 
 def host_tokens(host: str) -> str:
     toks = f"list_filter(regexp_split_to_array({host}, {q(A.WHITESPACE_RE)}), lambda t: t <> '')"
-    toks = f"list_transform({toks}, lambda t: {rx('t', A.HOST_PREFIX_RE, '$1')})"
+    www = r"^(?:www\d?\.)(.+\..+)$"
+    toks = f"list_transform({toks}, lambda t: {rx('t', www, '$1')})"
     toks = f"flatten(list_transform({toks}, lambda t: {word_delimiter('t')}))"
-    stops = "[" + ", ".join(q(s) for s in A.HOST_STOP_GENERIC) + "]"
-    toks = f"list_filter({toks}, lambda t: NOT list_contains({stops}, t) AND NOT {rx_match('t', A.TWO_LETTER_RE)})"
+    stops = "[" + ", ".join(q(s) for s in host_stop_words()) + "]"
+    toks = f"list_filter({toks}, lambda t: NOT list_contains({stops}, t))"
     return f"list_transform({toks}, lambda t: {stem_en('t')})"
 
 

@@ -127,6 +127,15 @@ def test_analyzers_golden(spark):
     toks = hosts.select(analyze.host_tokens(F.col("h"))).first()[0]
     assert toks[0] == "blog-news.example.co.uk" and "blognewsexamplecouk" in toks
     assert "uk" not in toks and "co" not in toks and "new" in toks  # minimal English stem: news -> new
+    hosts = spark.createDataFrame([("a.1.b.com",), ("hp.com",), ("www.bp.co.uk",), ("1.2.x.de",)], "h string")
+    got = [set(r[0]) for r in hosts.select(analyze.host_tokens(F.col("h"))).collect()]
+    # Only runs join; labels that are no country codes stay, country codes go.
+    assert got == [{"a.1.b.com", "a", "1", "b", "bcom"}, {"hp.com", "hp", "hpcom"}, {"bp.co.uk", "bp", "bpcouk"},
+                   {"1.2.x.de", "1", "2", "x", "12", "xde"}]
+    words = analyze.host_stop_words()
+    assert len(words) == len(set(words)) == 256 and {"com", "uk", "zw", "su"} <= set(words)
+    from oracle.duck import host_stop_words
+    assert set(words) == set(host_stop_words())
     paths = spark.createDataFrame([("/a/b",), ("/a/",), ("/",), ("",)], "p string")
     assert [r[0] for r in paths.select(analyze.path_tokens(F.col("p"))).collect()] == [
         ["/a", "/a/b"], ["/a", "/a/"], ["/"], []]
