@@ -22,7 +22,7 @@ from corpusforge.functions import analyze, ids, text, urls  # noqa: E402
 from corpusforge.functions.html import extract_html_fields  # noqa: E402
 from corpusforge.operators import dedupe, filters, offsets, search  # noqa: E402
 from corpusforge.plans import mappings, records, standins  # noqa: E402
-from corpusforge.sources import gzip_members  # noqa: E402
+from corpusforge.sources import gzip_members, sink  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 BUCKET = "corpus-bucket"
@@ -259,19 +259,22 @@ def q_two_table_index(spark, sf_dir):
                                     F.length("_id").cast("bigint").alias("key_length"))
 
 
-def _upsert_batches(spark, sf_dir):
+def q_upsert_last_wins(spark, sf_dir):
     d = _t(spark, sf_dir, "documents")
-    b1 = d.select("doc_id", "text", F.lit(1).alias("version"))
-    b2 = d.filter(F.col("doc_id") % 5 == 0).select(
-        "doc_id", F.concat("text", F.lit(" (rev 2)")).alias("text"), F.lit(2).alias("version"))
-    both = b1.unionByName(b2)
-    return both.select(ids.doc_uuid("corpus", "doc_id").alias("uuid"), "doc_id", "version",
-                       F.length("text").cast("bigint").alias("body_length"))
 
+    def rows(docs, body, version):
+        return docs.select(ids.doc_uuid("corpus", "doc_id").alias("uuid"), "doc_id", F.lit(version).cast("bigint").alias("version"),
+                           F.length(body).cast("bigint").alias("body_length"))
 
-def q_upsert_last_wins(spark, sf_dir):
-    return dedupe.keep_last(_upsert_batches(spark, sf_dir), "uuid", ["version"]).select(
-        "uuid", "doc_id", F.col("version").cast("bigint").alias("version"), "body_length")
+    stored = rows(d, F.col("text"), 1)
+    batch = rows(d.filter(F.col("doc_id") % 5 == 0), F.concat("text", F.lit(" (rev 2)")), 2)
+    return sink.upsert(stored, batch, "uuid", ("version",))
+
+
+def q_collision_losers(spark, sf_dir):
+    # As for key_collisions, three documents in a row share a key.
+    d = _t(spark, sf_dir, "documents").select(F.floor(F.col("doc_id") / 3).cast("bigint").alias("_id"), "n_chars", "doc_id")
+    return sink.collision_losers(d, "_id", ("n_chars", "doc_id")).select("_id", "doc_id")
 
 
 def q_key_collisions(spark, sf_dir):
@@ -404,6 +407,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "two_table_index": q_two_table_index,
     "upsert_last_wins": q_upsert_last_wins,
     "key_collisions": q_key_collisions,
+    "collision_losers": q_collision_losers,
     "parent_metadata": q_parent_metadata,
     "keyword_lower": q_keyword_lower,
     "stored_view": q_stored_view,

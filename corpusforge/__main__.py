@@ -24,7 +24,7 @@ def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="corpusforge")
     sub = ap.add_subparsers(dest="cmd", required=True)
 
-    ix = sub.add_parser("index", help="map a corpus and upsert the meta and data tables")
+    ix = sub.add_parser("index", help="map a corpus and write a load of the meta and data tables")
     ix.add_argument("--dataset", required=True)
     ix.add_argument("--docs", required=True)
     ix.add_argument("--format", default="parquet")
@@ -34,6 +34,9 @@ def main(argv=None) -> None:
     ix.add_argument("--start", type=int)
     ix.add_argument("--end", type=int)
     ix.add_argument("--order-key")
+    ix.add_argument("--load", type=int, default=1, help="number of this run; repeating a number replaces it")
+    ix.add_argument("--collisions", help="folder for documents whose key another one holds (else the job fails)")
+    ix.add_argument("--text", nargs="+", help="fields that make up the text, in order (default: per corpus)")
     ix.add_argument("--offsets", help="offsets table (doc_id, start, end)")
     ix.add_argument("--parents", help="JSON lines with original_document.{doc_id,title,url}")
     ix.add_argument("--line-offsets", help="table (stem, doc_no, html_offset, txt_offset)")
@@ -66,8 +69,10 @@ def main(argv=None) -> None:
             sides["parents"] = read_parent_metadata(spark, args.parents)
         if args.line_offsets:
             sides["line_offsets"] = spark.read.parquet(args.line_offsets)
-        out = jobs.index_corpus(spark, args.dataset, docs, args.meta, args.data, args.bucket,
-                                args.start, args.end, args.order_key, **sides)
+        if args.text:
+            sides["text_fields"] = tuple(args.text)
+        out = jobs.index_corpus(spark, args.dataset, docs, args.meta, args.data, args.bucket, args.start, args.end,
+                                args.order_key, args.load, args.collisions, **sides)
         print(json.dumps(out))
     elif args.cmd == "offsets":
         res = jobs.document_offsets(spark, args.path, args.out, args.docno, args.json_copy)

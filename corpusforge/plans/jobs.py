@@ -21,12 +21,16 @@ from corpusforge.sources.corpus import require_documents
 
 def index_corpus(spark: SparkSession, dataset_id: str, docs: DataFrame, meta_path: str, data_path: str,
                  bucket: str | None = None, start: int | None = None, end: int | None = None,
-                 order_key: str | None = None, **sides) -> dict:
+                 order_key: str | None = None, load: int = 1, collisions_path: str | None = None,
+                 **sides) -> dict:
     """Index a corpus into the two keyed tables (L1).
 
     ``start``/``end`` select rows ``[start:end)`` in ``order_key`` order
-    (Python slice semantics). ``sides`` are the mapping's side tables
-    (``offsets``, ``parents``, ``line_offsets``).
+    (Python slice semantics), and give the corpus order to mappings that
+    keep the first row of an id. ``load`` numbers this run: a repeated run
+    of one number replaces itself, a higher one replaces rows of equal
+    keys. ``sides`` are the mapping's side tables (``offsets``, ``parents``,
+    ``line_offsets``) and options (``text_fields``).
     """
     mapping = dataset_mapping(dataset_id)
     require_documents(docs, dataset_id)
@@ -34,9 +38,11 @@ def index_corpus(spark: SparkSession, dataset_id: str, docs: DataFrame, meta_pat
         if order_key is None:
             raise ValueError("A slice needs an order key (the corpus has no intrinsic order)")
         docs = corpus_slice(docs, order_key, start, end).drop("position")
+    if mapping.first_wins and order_key is not None:
+        sides.setdefault("order_col", order_key)
     records = mapping.records(docs, bucket, **sides)
     return sink.write_index(records, meta_path, data_path, mapping.num_meta_shards,
-                            mapping.num_data_shards)
+                            mapping.num_data_shards, load, collisions_path=collisions_path)
 
 
 def document_offsets(spark: SparkSession, jsonl_path: str, out_path: str, id_field: str = "docno",

@@ -38,6 +38,11 @@ class CorpusMapping:
     num_meta_shards: int
     build: Callable[..., DataFrame] = field(repr=False)
 
+    @property
+    def first_wins(self) -> bool:
+        """Whether the first row of a repeated id counts."""
+        return self.name in PLAIN_SPECS and PLAIN_SPECS[self.name].first_wins
+
     def records(self, docs: DataFrame, bucket: str | None = None, **sides) -> DataFrame:
         return self.build(self, docs, bucket, **sides)
 

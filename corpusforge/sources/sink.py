@@ -1,37 +1,24 @@
-"""Sinks: offsets tables, keyed upsert tables, the two-table index.
-
-A keyed table is hash-bucketed: each key lives in bucket
-``pmod(xxhash64(key), B)``. A manifest maps every bucket to the version
-folder holding its current files, and a ``_CURRENT`` pointer names the live
-manifest. An upsert
-
-1. finds the buckets its batch touches (at most ``B`` ids reach the driver),
-2. reads only those buckets, unions the batch and keeps the last row per
-   key (a partial aggregate, skew-safe),
-3. writes the rewritten buckets into a new version folder,
-4. writes a new manifest (untouched buckets keep their old folders) and
-   swaps the pointer atomically (temporary file + rename).
-
-So an incremental batch costs the size of the buckets it touches, not of
-the table. Readers see the old or the new manifest, never a mix; a failed
-job leaves the old pointer. Because keys are deterministic, replaying a
-batch leaves the table unchanged. Paths must be on storage every executor
-and the driver share.
+"""Sinks: offsets tables and the two keyed index tables.
+
+A keyed table is a folder of loads: each load writes its rows with Spark's
+own writer to ``load=N`` below the table's path, overwriting only what the
+same load wrote before, so a repeated load or micro-batch changes nothing.
+Reading folds the loads to one row per key (``upsert``), an aggregate with a
+map-side step. ``compact`` writes the folded rows as one load of a new
+table when many loads have gathered. No file is opened outside Spark, so
+any file system Spark knows will do; writers of different loads do not
+touch each other's folders.
 """
 
 from __future__ import annotations
 
-import json
-import os
-import uuid as _uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from corpusforge.operators.dedupe import keep_last
-
-POINTER = "_CURRENT"
+from corpusforge.operators.dedupe import keep_first, keep_last
+from corpusforge.plans.records import data_table, meta_table
+from corpusforge.session import cut
 
 
 def write_offsets(offsets: DataFrame, path: str, json_copy: str | None = None) -> None:
@@ -41,139 +28,99 @@ def write_offsets(offsets: DataFrame, path: str, json_copy: str | None = None) -
         offsets.write.mode("overwrite").option("compression", "gzip").json(json_copy)
 
 
-def _local(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-DEFAULT_BUCKETS = 64
-
-
-def _bucket(key: str, num_buckets: int):
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(num_buckets)).cast("int")
+def upsert(existing: DataFrame | None, batch: DataFrame, key: str = "_id",
+           order: tuple[str, ...] = (), first: bool = False) -> DataFrame:
+    """One row per key of both frames.
 
+    Rows of ``batch`` replace existing ones, and within a frame the last in
+    ``order`` counts; with ``first`` existing rows stay and the first counts.
+    Rows of equal rank are told apart by a hash of the row, so repeated runs agree.
+    """
+    both = batch.withColumn("__load", F.lit(1))
+    if existing is not None:
+        both = existing.select(*batch.columns).withColumn("__load", F.lit(0)).unionByName(both)
+    return _fold(both, key, ("__load", *order), first).drop("__load")
 
-def current_manifest(path: str) -> dict | None:
-    pointer = os.path.join(_local(path), POINTER)
-    if not os.path.exists(pointer):
-        return None
-    with open(pointer, encoding="utf-8") as fh:
-        name = fh.read().strip()
-    with open(os.path.join(_local(path), name), encoding="utf-8") as fh:
-        return json.load(fh)
 
+def _fold(rows: DataFrame, key: str, order: tuple[str, ...], first: bool) -> DataFrame:
+    # Order columns may be the key itself or be wanted in the result: ranks get names of their own.
+    ranked = rows.withColumn("__tie", F.xxhash64(*rows.columns))
+    ranked = ranked.withColumns({f"__o{i}": F.col(c) for i, c in enumerate(order)})
+    ranks = [f"__o{i}" for i in range(len(order))]
+    pick = keep_first if first else keep_last
+    return pick(ranked, key, [*ranks, "__tie"]).select(*rows.columns)
 
-def current_version(path: str) -> str | None:
-    m = current_manifest(path)
-    return None if m is None else m["version"]
 
+def _load_path(path: str, load: int) -> str:
+    return f"{path.rstrip('/')}/load={int(load)}"
 
-def _publish(path: str, manifest: dict) -> None:
-    base = _local(path)
-    name = f"manifest-{manifest['version']}.json"
-    tmp = os.path.join(base, f".{name}.{_uuid.uuid4().hex}")
-    with open(tmp, "w", encoding="utf-8") as fh:
-        json.dump(manifest, fh)
-    os.replace(tmp, os.path.join(base, name))
-    tmp = os.path.join(base, f".{POINTER}.{_uuid.uuid4().hex}")
-    with open(tmp, "w", encoding="utf-8") as fh:
-        fh.write(name)
-    os.replace(tmp, os.path.join(base, POINTER))
 
+def create_table(spark: SparkSession, path: str, schema: StructType) -> None:
+    """An empty keyed table where none is (A13); an existing one stays as it is."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(_load_path(path, 0) + "/shard=0")
 
-def table_exists(path: str) -> bool:
-    return current_manifest(path) is not None
 
+def write_load(rows: DataFrame, path: str, load: int, key: str = "_id", num_shards: int = 1) -> None:
+    """Write one load of a keyed table, ``num_shards`` folders by key hash.
 
-def create_table(spark: SparkSession, path: str, schema: StructType, key: str = "_id",
-                 num_buckets: int = DEFAULT_BUCKETS) -> bool:
-    """Create an empty keyed table if missing (A13). Returns True when created."""
-    if table_exists(path):
-        return False
-    os.makedirs(_local(path), exist_ok=True)
-    _publish(path, {"version": "v000000", "key": key, "num_buckets": num_buckets,
-                    "schema": schema.json(), "buckets": {}})
-    return True
+    Rows gather by shard, and adaptive execution splits a shard that is too
+    large for one task.
+    """
+    shards = rows.withColumn("shard", F.pmod(F.xxhash64(key), F.lit(num_shards)).cast("int"))
+    (shards.hint("rebalance", F.col("shard"))
+           .write.mode("overwrite").partitionBy("shard").parquet(_load_path(path, load)))
 
 
-def _bucket_paths(path: str, manifest: dict, buckets=None) -> list[str]:
-    chosen = manifest["buckets"] if buckets is None else {b: manifest["buckets"][b] for b in buckets
-                                                          if b in manifest["buckets"]}
-    return [os.path.join(path, rel) for rel in chosen.values()]
+def read_table(spark: SparkSession, path: str, key: str = "_id", order: tuple[str, ...] = (),
+               first: bool = False) -> DataFrame:
+    """The rows of a keyed table, one per key: the last load's, or with ``first`` the first load's."""
+    rows = spark.read.parquet(path).drop("shard")
+    return _fold(rows, key, ("load", *order), first).drop("load")
 
 
-def read_table(spark: SparkSession, path: str, buckets=None) -> DataFrame:
-    """The live rows (optionally only some buckets)."""
-    manifest = current_manifest(path)
-    if manifest is None:
-        raise FileNotFoundError(f"No table at {path}")
-    paths = _bucket_paths(path, manifest, None if buckets is None else [str(b) for b in buckets])
-    schema = StructType.fromJson(json.loads(manifest["schema"]))
-    if not paths:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*paths)
+def compact(spark: SparkSession, path: str, new_path: str, key: str = "_id", order: tuple[str, ...] = (),
+            num_shards: int = 1, first: bool = False) -> None:
+    """The table's rows written as the first load of a new table."""
+    write_load(read_table(spark, path, key, order, first), new_path, 1, key, num_shards)
 
 
-def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str = "_id",
-           order: tuple[str, ...] = (), num_shards: int = 1,
-           num_buckets: int = DEFAULT_BUCKETS) -> str:
-    """Insert or replace rows of ``batch`` by ``key`` (last write wins, A12/G5).
+def collision_losers(rows: DataFrame, key: str, order: tuple[str, ...], first: bool = False) -> DataFrame:
+    """The rows that do not stand for their key (G4); ``order`` must tell all rows of a key apart.
 
-    Rows of the batch win over stored rows; within the batch, the last row
-    in ``order`` wins. Each rewritten bucket is written as up to
-    ``num_shards`` files by as many tasks. Returns the new version name.
+    Works on the narrow columns it is given: bodies do not travel.
     """
-    if not table_exists(path):
-        create_table(spark, path, batch.schema, key, num_buckets)
-    manifest = current_manifest(path)
-    nb = int(manifest["num_buckets"])
-    cols = batch.columns
-    staged = batch.select(*cols).withColumn("__b", _bucket(key, nb))
-    touched = sorted(r[0] for r in staged.select("__b").distinct().collect())
-    if not touched:
-        return manifest["version"]
-    existing = read_table(spark, path, touched).select(*cols).withColumn("__b", _bucket(key, nb))
-    merged = (existing.withColumn("__batch", F.lit(0))
-              .unionByName(staged.withColumn("__batch", F.lit(1))))
-    for i, c in enumerate(order):
-        merged = merged.withColumn(f"__o{i}", F.col(c))
-    ordering = ["__batch"] + [f"__o{i}" for i in range(len(order))]
-    latest = keep_last(merged, [key, "__b"], ordering).select(*cols, "__b")
-    version = f"v{int(manifest['version'][1:]) + 1:06d}"
-    # ``num_shards`` files per rewritten bucket: a second, independent hash
-    # of the key spreads each bucket over that many tasks.
-    k = max(1, num_shards)
-    salted = latest.withColumn("__s", F.pmod(F.xxhash64(F.col(key), F.lit("shard")), F.lit(k)))
-    (salted.repartition(len(touched) * k, "__b", "__s").drop("__s").sortWithinPartitions("__b", key)
-           .write.mode("overwrite").partitionBy("__b").parquet(os.path.join(path, version)))
-    buckets = dict(manifest["buckets"])
-    for b in touched:
-        buckets[str(b)] = f"{version}/__b={b}"
-    _publish(path, {**manifest, "version": version, "buckets": buckets})
-    return version
+    pick = F.min if first else F.max
+    best = rows.groupBy(F.col(key).alias("__key")).agg(pick(F.struct(*order)).alias("__best"))
+    joined = rows.join(best, rows[key] == F.col("__key"))
+    return joined.where(F.struct(*order) != F.col("__best")).drop("__key", "__best")
 
 
 def write_index(records: DataFrame, meta_path: str, data_path: str, num_meta_shards: int,
-                num_data_shards: int, order: tuple[str, ...] = (),
-                fail_on_collision: bool = False) -> dict:
-    """Upsert both tables of a record frame (A10, A14); returns counts.
-
-    The record frame is checkpointed once (lineage cut in the shared
-    checkpoint folder), so the HTML/ID work runs once for both writes and a
-    lost executor does not recompute from the corpus. Keys shared by two
-    different documents (the key keeps 24 bits of the document hash) are
-    counted, and fail the job when ``fail_on_collision``.
+                num_data_shards: int, load: int = 1, order: tuple[str, ...] = (), first: bool = False,
+                collisions_path: str | None = None) -> dict:
+    """Write one load of both tables from a record frame (A10, A14); returns counts.
+
+    The record frame is checkpointed once in the shared folder, so the HTML
+    and id work runs once and a lost executor does not repeat it. Each key
+    gets one winner, by ``order``, offset, document and row number, and both
+    tables take that row. Different documents under one key (it keeps 24 bits
+    of the document's hash) fail the job, or go to ``collisions_path``.
     """
-    from corpusforge.operators.dedupe import key_collisions
-    from corpusforge.plans.records import data_table, meta_table
-    from corpusforge.session import checkpoint_dir
-
-    spark = records.sparkSession
-    checkpoint_dir(spark)
-    frozen = records.checkpoint(eager=True)
-    n_docs = frozen.count()
-    collisions = key_collisions(frozen.select("_id", F.col("d_uuid").alias("uuid"))).count()
-    if collisions and fail_on_collision:
-        raise ValueError(f"{collisions} index keys are shared by different documents")
-    upsert(spark, meta_path, meta_table(frozen), "_id", order, num_meta_shards)
-    upsert(spark, data_path, data_table(frozen), "_id", order, num_data_shards)
+    rows = cut(records.withColumn("__row", F.monotonically_increasing_id()))
+    narrow = rows.select("_id", "d_uuid", "m_source_offset", "__row", *order)
+    ranks = tuple(dict.fromkeys([*order, "m_source_offset", "d_uuid", "__row"]))
+    losers = cut(collision_losers(narrow, "_id", ranks, first))
+    lost = rows.join(losers.select("__row"), "__row", "left_semi")
+    kept = rows.join(losers.select("__row"), "__row", "left_anti").drop("__row")
+    winners = narrow.join(losers.select("__row"), "__row", "left_anti").select("_id", F.col("d_uuid").alias("__uuid"))
+    other = losers.join(winners, "_id").where(~F.col("d_uuid").eqNullSafe(F.col("__uuid")))
+    collisions = other.select("_id").distinct().count()
+    if collisions and collisions_path is None:
+        raise ValueError(f"{collisions} index keys are shared by different documents; "
+                         "give collisions_path to write the rows that lose elsewhere")
+    if collisions_path is not None:
+        lost.drop("__row").write.mode("overwrite").parquet(_load_path(collisions_path, load))
+    write_load(meta_table(kept), meta_path, load, "_id", num_meta_shards)
+    write_load(data_table(kept), data_path, load, "_id", num_data_shards)
+    n_docs = rows.count()
     return {"documents": n_docs, "actions": 2 * n_docs, "key_collisions": collisions}

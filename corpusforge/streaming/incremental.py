@@ -1,10 +1,10 @@
 """Incremental indexing with Structured Streaming (A12 as a stream).
 
-New corpus files arriving in a folder are mapped to records and upserted
-into the two keyed tables in ``foreachBatch``. The keys are deterministic,
-so a micro-batch replayed after a failure rewrites the same rows: the sink
-is idempotent and the stream is effectively exactly-once. The streaming
-checkpoint must live on shared storage.
+New corpus files arriving in a folder are mapped to records and written as
+one load of the two keyed tables in ``foreachBatch``. A micro-batch replayed
+after a failure replaces its own load, so the stream is effectively
+exactly-once. Mappings that keep the first row of an id are read with
+``first=True``. The streaming checkpoint must live on shared storage.
 """
 
 from __future__ import annotations
@@ -14,20 +14,18 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from corpusforge.plans.mappings import CorpusMapping
-from corpusforge.plans.records import data_table, meta_table
 from corpusforge.sources import sink
 
 
 def index_batch(mapping: CorpusMapping, meta_path: str, data_path: str, bucket: str | None = None,
-                **sides):
-    """A ``foreachBatch`` function that upserts one micro-batch of documents."""
+                collisions_path: str | None = None, **sides):
+    """A ``foreachBatch`` function that writes one micro-batch of documents as a load."""
     def run(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        records = mapping.records(batch, bucket, **sides)
-        spark = batch.sparkSession
-        sink.upsert(spark, meta_path, meta_table(records), "_id", (), mapping.num_meta_shards)
-        sink.upsert(spark, data_path, data_table(records), "_id", (), mapping.num_data_shards)
+        # Loads of a stream start at 1; the load 0 is that of an empty table.
+        sink.write_index(mapping.records(batch, bucket, **sides), meta_path, data_path, mapping.num_meta_shards,
+                         mapping.num_data_shards, epoch_id + 1, collisions_path=collisions_path)
     return run
 
 

@@ -217,6 +217,10 @@ ORACLE_SQL["upsert_last_wins"] = (
     f"FROM (SELECT doc_id, text AS t, 1 AS version FROM documents UNION ALL "
     f"SELECT doc_id, text || ' (rev 2)' AS t, 2 AS version FROM documents WHERE doc_id % 5 = 0) GROUP BY doc_id)")
 
+ORACLE_SQL["collision_losers"] = (
+    "SELECT k AS _id, doc_id FROM (SELECT doc_id // 3 AS k, doc_id, row_number() OVER "
+    "(PARTITION BY doc_id // 3 ORDER BY n_chars DESC, doc_id DESC) AS r FROM documents) WHERE r > 1")
+
 _WEB_DATA = f"(SELECT {D.doc_uuid('clueweb22', 'doc_id')} AS uuid, split_part(language, '_', 1) AS lang, * FROM {WEB})"
 _sv = ["uuid", "lang"] + [f"CASE WHEN lang = {q(l)} THEN {f} END AS {f}_lang_{l}" for f in ("title", "meta_desc")
                           for l in LANGS] + ["CAST(length(main_text) AS BIGINT) AS body_length"]

@@ -108,14 +108,40 @@ def test_upsert_last_wins_and_idempotent(spark):
     path = os.path.join(_tmp(), "t")
     b1 = spark.createDataFrame([("a", 1), ("b", 1)], "_id string, v int")
     b2 = spark.createDataFrame([("b", 2), ("c", 2), ("c", 3)], "_id string, v int")
-    sink.upsert(spark, path, b1, "_id", ("v",), 2)
-    sink.upsert(spark, path, b2, "_id", ("v",), 2)
-    first = sorted(tuple(r) for r in sink.read_table(spark, path).collect())
-    assert first == [("a", 1), ("b", 2), ("c", 3)]
-    sink.upsert(spark, path, b2, "_id", ("v",), 2)
-    assert sorted(tuple(r) for r in sink.read_table(spark, path).collect()) == first
-    assert sink.current_version(path) == "v000003"
-    assert len(sink.current_manifest(path)["buckets"]) <= sink.DEFAULT_BUCKETS
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.collect())
+
+    assert rows(sink.upsert(b1, b2, "_id", ("v",))) == [("a", 1), ("b", 2), ("c", 3)]
+    assert rows(sink.upsert(b1, b2, "_id", ("v",), first=True)) == [("a", 1), ("b", 1), ("c", 2)]
+    assert rows(sink.upsert(None, b2.limit(0), "_id")) == []
+    sink.create_table(spark, path, b1.schema)
+    assert rows(sink.read_table(spark, path)) == []
+    sink.write_load(b1, path, 1, num_shards=3)
+    sink.create_table(spark, path, b1.schema)  # leaves what is there
+    for _ in range(2):  # the same load again replaces itself
+        sink.write_load(b2, path, 2, num_shards=3)
+        assert rows(sink.read_table(spark, path, order=("v",))) == [("a", 1), ("b", 2), ("c", 3)]
+    assert rows(sink.read_table(spark, path, order=("v",), first=True)) == [("a", 1), ("b", 1), ("c", 2)]
+    sink.compact(spark, path, path + "2", order=("v",))
+    assert rows(sink.read_table(spark, path + "2")) == [("a", 1), ("b", 2), ("c", 3)]
+
+
+def test_colliding_keys_fail_or_go_elsewhere(spark):
+    base = _tmp()
+    meta, data, lost = (os.path.join(base, x) for x in ("meta", "data", "lost"))
+    d = standins.plain_docs(spark.read.parquet(f"{SF}/documents.parquet"))
+    offsets = standins.plain_offsets(spark.read.parquet(f"{SF}/documents.parquet"))
+    records = mappings.dataset_mapping("msmarco-document").records(d, "b", offsets=offsets)
+    clash = records.withColumn("_id", F.concat(F.lit("k"), F.expr("CAST(m_warc_trec_id AS INT) DIV 3")))
+    with pytest.raises(ValueError, match="shared by different documents"):
+        sink.write_index(clash, meta, data, 2, 2)
+    out = sink.write_index(clash, meta, data, 2, 2, collisions_path=lost)
+    m, x = sink.read_table(spark, meta), sink.read_table(spark, data)
+    assert out["key_collisions"] > 0 and out["documents"] == m.count() + spark.read.parquet(lost).count()
+    # Both tables hold the same document under every key.
+    pairs = m.select("_id", "uuid").join(x.select("_id", F.col("uuid").alias("u")), "_id")
+    assert pairs.count() == m.count() == x.count() and pairs.where("uuid <> u").count() == 0
 
 
 def test_index_corpus_two_tables(spark):
@@ -128,10 +154,11 @@ def test_index_corpus_two_tables(spark):
     assert out["documents"] == d.count() - 20 == m.count() == x.count()
     assert out["key_collisions"] == 0
     assert sorted(r._id for r in m.select("_id").collect()) == sorted(r._id for r in x.select("_id").collect())
+    before = sorted(tuple(r) for r in m.collect())
     # Re-running the same job leaves the tables unchanged.
     jobs.index_corpus(spark, "msmarco-document", standins.plain_docs(d), meta, data, bucket="b",
                       start=10, end=-10, order_key="n", offsets=standins.plain_offsets(d))
-    assert sink.read_table(spark, meta).count() == m.count()
+    assert sorted(tuple(r) for r in sink.read_table(spark, meta).collect()) == before
 
 
 def test_document_offsets_job(spark):
