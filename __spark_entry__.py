@@ -232,8 +232,9 @@ def q_map_web(spark, sf_dir):
 def _damaged_pages(spark, sf_dir):
     p = _t(spark, sf_dir, "pages")
     kind = F.col("page_id") % 10
-    html = (F.when(kind == 1, F.regexp_replace("html", r"(?s)<body>.*$", ""))
-             .when(kind == 2, F.regexp_replace("html", "[aeiou]", text.REPLACEMENT_CHAR))
+    html = (F.when(kind == 1, F.regexp_replace("html", r"(?s)<body>.*$", "<frameset></frameset>"))
+             .when(kind == 2, F.replace("html", F.lit("</body>"), F.concat(
+                 F.repeat(F.lit(text.REPLACEMENT_CHAR), F.length("html")), F.lit("</body>"))))
              .when(kind == 3, F.regexp_replace("html", r"(?s)<article>.*</article>", "<article><p>Short.</p></article>"))
              .when(kind == 4, F.regexp_replace("html", r"(?s)<body>.*$", "<body> </body>"))
              .otherwise(F.col("html")))

@@ -9,49 +9,74 @@ chain (``STEPS`` and tables below are data, shared by both sides).
 The text is a documented near equivalent of a DOM text extractor:
 comments, ``script/style/noscript/template`` and the head are dropped,
 ``<img alt>`` texts are kept, inline tags vanish, other tags become a space,
-entities are decoded in one pass and white space is collapsed.
+all character references are decoded in one pass and white space is
+collapsed. A ``>`` inside an attribute's value ends its tag here, and an
+element of class ``title`` ends at the first end tag of its own name.
 """
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusforge.functions.text import WS_SQUASH, WS_UNICODE_CHARS, collapse_whitespace
+from corpusforge.functions.text import REPLACEMENT_CHAR, WS_SQUASH, WS_UNICODE_CHARS, collapse_whitespace
 
-# Patterns of the extraction chain.
-COMMENT_RE = r"(?s)<!--.*?-->"
+# Patterns of the extraction chain. ``\z`` closes what a page leaves open.
+COMMENT_RE = r"(?s)<!--.*?(?:-->|\z)"
 RAW_TEXT_RE = (r"(?is)<(?:script|style|noscript|template)\b[^>]*>.*?"
-               r"</(?:script|style|noscript|template)\s*>")
+               r"(?:</(?:script|style|noscript|template)\s*>|\z)")
 BODY_TAG_RE = r"(?is)<body\b[^>]*>"
+FRAMESET_RE = r"(?is)<frameset\b[^>]*>"
 BEFORE_BODY_RE = r"(?is)^.*?<body\b[^>]*>"
 HEAD_ELEMENT_RE = r"(?is)<head\b[^>]*>.*?</head\s*>"
 FROM_BODY_RE = r"(?is)<body\b.*$"
-IMG_ALT_RE = r"(?is)<img\b[^>]*\balt\s*=\s*\"([^\"]*)\"[^>]*>"
+SVG_RE = r"(?is)<svg\b[^>]*>.*?(?:</svg\s*>|\z)"
+# An attribute's value in double, single or no quotes: one of three groups.
+ATTR_VALUE_RE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+IMG_ALT_RE = r"(?is)<img\b[^>]*\salt" + ATTR_VALUE_RE + "[^>]*>"
 INLINE_TAG_RE = (r"(?i)</?(?:a|abbr|b|bdi|bdo|cite|code|data|dfn|em|font|i|kbd|mark|q|s|"
                  r"samp|small|span|strong|sub|sup|time|u|var)\b[^>]*>")
 ANY_TAG_RE = r"(?s)</?[A-Za-z!][^>]*>"
 TITLE_RE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
-H1_RE = r"(?is)<h1\b[^>]*>(.*?)</h1\s*>"
-H2_RE = r"(?is)<h2\b[^>]*>(.*?)</h2\s*>"
-TITLE_CLASS_RE = (r"(?is)<[A-Za-z][A-Za-z0-9]*\s[^>]*\bclass\s*=\s*\"(?:[^\"]*\s)?title(?:\s[^\"]*)?\""
-                  r"[^>]*>(.*?)</")
-HEADING_RE = r"(?is)<h[1-3](?:\s[^>]*)?>(.*?)</h[1-3]\s*>"
-META_DESC_TAG_RE = r"(?is)<meta\s[^>]*\bname\s*=\s*\"description\"[^>]*>"
-META_KEYWORDS_TAG_RE = r"(?is)<meta\s[^>]*\bname\s*=\s*\"keywords\"[^>]*>"
-CONTENT_ATTR_RE = r"(?is)\bcontent\s*=\s*\"([^\"]*)\""
-HTML_LANG_RE = r"(?is)<html\b[^>]*\blang\s*=\s*\"?([A-Za-z_\-]+)"
+# A heading ends at any heading's end tag, or where the next one starts (marked ``</h0>``).
+HEADING_START_RE = r"(?i)(<h[1-6][\s>])"
+HEADING_END_RE = r"(?:</h[0-6]\s*>|\z)"
+H1_RE = r"(?is)<h1(?:\s[^>]*)?>(.*?)" + HEADING_END_RE
+H2_RE = r"(?is)<h2(?:\s[^>]*)?>(.*?)" + HEADING_END_RE
+# Tag name and all that follows the first element of class ``title``.
+TITLE_CLASS_RE = (r"(?is)<([A-Za-z][A-Za-z0-9]*)(?:\s[^>]*)?\sclass\s*=\s*"
+                  r"""(?:"(?:[^"]*\s)?title(?:\s[^"]*)?"[^>]*|'(?:[^']*\s)?title(?:\s[^']*)?'[^>]*|"""
+                  r"title(?:[\s/][^>]*)?)>(.*)$")
+CONTENT_ATTR_RE = r"(?is)\scontent" + ATTR_VALUE_RE
+HTML_LANG_RE = r"""(?is)<html\b[^>]*\slang\s*=\s*["']?([A-Za-z_\-]+)"""
 ARTICLE_RE = r"(?is)<article\b[^>]*>(.*)</article\s*>"
 
-# The character references decoded (name between '&' and ';').
-ENTITIES = [
-    ("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("nbsp", "\u00a0"), ("amp", "&"),
-    ("copy", "©"), ("reg", "®"), ("middot", "·"), ("ndash", "–"), ("mdash", "—"),
-    ("hellip", "…"), ("laquo", "«"), ("raquo", "»"), ("lsquo", "‘"), ("rsquo", "’"),
-    ("ldquo", "“"), ("rdquo", "”"), ("euro", "€"), ("trade", "™"), ("#39", "'"), ("#x27", "'"),
-    ("#34", '"'), ("#38", "&"), ("#160", "\u00a0"), ("#8211", "–"), ("#8212", "—"),
-    ("#8216", "‘"), ("#8217", "’"), ("#8220", "“"), ("#8221", "”"), ("#8230", "…"),
-]
+
+def meta_tag_re(name: str) -> str:
+    """The first ``<meta>`` tag of a name, in any quoting."""
+    return (rf"(?is)<meta(?:\s[^>]*)?\sname\s*=\s*(?:\"{name}\"[^>]*|'{name}'[^>]*|"
+            rf"{name}(?:[\s/][^>]*)?)>")
+
+
+def heading_re(max_level: int) -> str:
+    return rf"(?is)<h[1-{max_level}](?:\s[^>]*)?>(.*?)" + HEADING_END_RE
+
+
+META_DESC_TAG_RE = meta_tag_re("description")
+META_KEYWORDS_TAG_RE = meta_tag_re("keywords")
+
+# Character references, from the standard library's table: names closed by a
+# semicolon, and the old ones that are also read without it (longest first).
+NAMED_REFERENCES = {n[:-1]: c for n, c in html5.items() if n.endswith(";")}
+BARE_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+# The characters that bytes 128 to 159 stand for; the five without one stay control characters.
+WESTERN_80_9F = "".join(bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0))
+NUMERIC_REF_RE = r"^#(?:0*([0-9]{1,7})|[xX]0*([0-9a-fA-F]{1,6}));?"
+NAMED_REF_RE = r"^([A-Za-z][A-Za-z0-9]*);"
+BARE_REF_RE = "^(" + "|".join(BARE_NAMES) + ")"
 
 MAX_KEYWORD_LENGTH = 80
 MAX_KEYWORDS = 30
@@ -60,33 +85,52 @@ MAX_HEADING_LEVEL = 3
 # Rewrites applied to the page before tags are stripped: (pattern, replacement).
 PRE_STEPS = [(COMMENT_RE, " "), (RAW_TEXT_RE, " ")]
 # Rewrites that turn an HTML fragment into text.
-TEXT_STEPS = [(IMG_ALT_RE, " $1 "), (INLINE_TAG_RE, ""), (ANY_TAG_RE, " ")]
+TEXT_STEPS = [(IMG_ALT_RE, " $1$2$3 "), (INLINE_TAG_RE, ""), (ANY_TAG_RE, " ")]
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _code_point(n: Column) -> Column:
+    """The character of a numeric reference, as HTML reads it: bytes 128 to 159
+    as Windows-1252, no character (zero, surrogates, too large) as U+FFFD."""
+    utf32 = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    return (F.when((n == 0) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF), F.lit(REPLACEMENT_CHAR))
+             .when(n.between(0x80, 0x9F), F.substring(F.lit(WESTERN_80_9F), n - 0x7F, F.lit(1)))
+             .otherwise(utf32))
+
+
 def unescape(c) -> Column:
     """Decode character references in one pass (a decoded '&' is never re-read).
 
-    The text is split at '&'; every piece after the first starts with a
-    candidate name, looked up in a map literal. Values without '&' are
-    returned as they are.
+    The text is split at '&'; every piece after the first may start with a
+    number, a name with a semicolon, or one of the old names without it.
+    Values without '&' are returned as they are.
     """
-    c = _col(c)
-    table = F.create_map(*[x for name, char in ENTITIES for x in (F.lit(name), F.lit(char))])
+    table = F.from_json(F.lit(json.dumps(NAMED_REFERENCES)), "map<string,string>")  # folded to a literal
+
+    def rest(s: Column, used: Column) -> Column:
+        return s.substr(used + 1, F.length(s))
 
     def piece(s: Column, i: Column) -> Column:
-        name = F.substring_index(s, ";", 1)
-        char = F.try_element_at(table, name)
+        dec, hexa = F.regexp_extract(s, NUMERIC_REF_RE, 1), F.regexp_extract(s, NUMERIC_REF_RE, 2)
+        number = F.when(dec != "", dec.cast("bigint")).otherwise(F.conv(hexa, 16, 10).cast("bigint"))
+        named = F.try_element_at(table, F.regexp_extract(s, NAMED_REF_RE, 1))
+        bare = F.regexp_extract(s, BARE_REF_RE, 1)
         return (F.when(i == 0, s)
-                 .when(F.contains(s, F.lit(";")) & char.isNotNull(),
-                       F.concat(char, s.substr(F.length(name) + 2, F.lit(1 << 30))))
+                 .when((dec != "") | (hexa != ""),
+                       F.concat(_code_point(number), rest(s, F.length(F.regexp_extract(s, NUMERIC_REF_RE, 0)))))
+                 .when(named.isNotNull(), F.concat(named, rest(s, F.length(F.substring_index(s, ";", 1)) + 1)))
+                 .when(bare != "", F.concat(F.try_element_at(table, bare), rest(s, F.length(bare))))
                  .otherwise(F.concat(F.lit("&"), s)))
 
-    decoded = F.array_join(F.transform(F.split(c, "&", -1), piece), "")
-    return F.when(F.contains(c, F.lit("&")), decoded).otherwise(c)
+    def decoded(text: Column) -> Column:
+        parts = F.transform(F.split(text, "&", -1), piece)
+        return F.when(F.contains(text, F.lit("&")), F.array_join(parts, "")).otherwise(text)
+
+    # A lambda's variable names the value, so that its expression stands in the plan once.
+    return F.element_at(F.transform(F.array(_col(c)), decoded), 1)
 
 
 def squash(c) -> Column:
@@ -111,29 +155,38 @@ def fragment_text(fragment) -> Column:
 
 
 def element_text(fragment) -> Column:
-    """Text of one element's inner HTML, collapsed as the reference does."""
-    return collapse_whitespace(unescape(_strip_tags(_col(fragment))))
+    """Text nodes of one element's inner HTML, collapsed."""
+    return collapse_whitespace(unescape(F.regexp_replace(_col(fragment), ANY_TAG_RE, "")))
+
+
+def _attr(tag: Column, pattern: str) -> Column:
+    """The value of an attribute in any quoting, undecoded."""
+    return F.concat(*[F.regexp_extract(tag, pattern, g) for g in (1, 2, 3)])
 
 
 def _nonempty(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
-def meta_keywords(content: Column) -> Column:
+def meta_keywords(content: Column, max_keyword_length: int = MAX_KEYWORD_LENGTH,
+                  max_keywords: int = MAX_KEYWORDS) -> Column:
     """Keyword list from a ``content`` attribute (C4); null attribute -> []."""
     words = F.transform(F.split(content, ",", -1),
-                        lambda k: F.lower(F.substring(collapse_whitespace(k), 1, MAX_KEYWORD_LENGTH)))
+                        lambda k: F.lower(F.substring(collapse_whitespace(k), 1, max_keyword_length)))
     return F.when(content.isNull(), F.array().cast("array<string>")).otherwise(
-        F.slice(F.array_distinct(words), 1, MAX_KEYWORDS))
+        F.slice(F.array_distinct(words), 1, max_keywords))
 
 
-def extract_html_fields(df: DataFrame, html: str = "html", prefix: str = "") -> DataFrame:
+def extract_html_fields(df: DataFrame, html: str = "html", prefix: str = "",
+                        max_keyword_length: int = MAX_KEYWORD_LENGTH, max_keywords: int = MAX_KEYWORDS,
+                        max_heading_level: int = MAX_HEADING_LEVEL) -> DataFrame:
     """Add the page fields derived from column ``html``.
 
     Adds ``has_body, title, meta_desc, meta_keywords, headings, full_text,
     main_text, html_lang`` (each name with ``prefix``). The work is staged
     in projections (cleaned page -> head/body -> raw fragments -> fields) so
-    each intermediate is evaluated once per row.
+    each intermediate is evaluated once per row. Every page has a body, with
+    or without its tag, unless it is a frameset.
     """
     p = prefix
     t = f"__h{p}"
@@ -142,46 +195,53 @@ def extract_html_fields(df: DataFrame, html: str = "html", prefix: str = "") ->
         cleaned = F.regexp_replace(cleaned, pattern, repl)
     out = df.withColumn(t + "clean", cleaned)
     c = F.col(t + "clean")
-    out = out.withColumn(t + "hasbody", c.rlike(BODY_TAG_RE))
+    out = out.withColumns({t + "hasbody": c.rlike(BODY_TAG_RE), t + "frames": c.rlike(FRAMESET_RE)})
     out = out.withColumns({
         t + "head": F.regexp_replace(c, FROM_BODY_RE, ""),
         t + "body": F.when(F.col(t + "hasbody"), F.regexp_replace(c, BEFORE_BODY_RE, ""))
-                     .otherwise(F.regexp_replace(c, HEAD_ELEMENT_RE, " ")),
+                     .otherwise(F.regexp_replace(F.regexp_replace(c, HEAD_ELEMENT_RE, " "), TITLE_RE, " ")),
     })
     head, body = F.col(t + "head"), F.col(t + "body")
+    out = out.withColumn(t + "marked", F.regexp_replace(body, HEADING_START_RE, "</h0>$1"))
+    marked = F.col(t + "marked")
     out = out.withColumns({
-        t + "title": F.regexp_extract(c, TITLE_RE, 1),
-        t + "h1": F.regexp_extract(body, H1_RE, 1),
-        t + "h2": F.regexp_extract(body, H2_RE, 1),
-        t + "tc": F.regexp_extract(body, TITLE_CLASS_RE, 1),
+        t + "title": F.regexp_extract(F.regexp_replace(c, SVG_RE, " "), TITLE_RE, 1),
+        t + "h1": F.regexp_extract(marked, H1_RE, 1),
+        t + "h2": F.regexp_extract(marked, H2_RE, 1),
+        t + "tn": F.lower(F.regexp_extract(body, TITLE_CLASS_RE, 1)),
+        t + "tr": F.regexp_extract(body, TITLE_CLASS_RE, 2),
         t + "desc": F.regexp_extract(head, META_DESC_TAG_RE, 0),
         t + "kw": F.regexp_extract(head, META_KEYWORDS_TAG_RE, 0),
         t + "article": F.regexp_extract(body, ARTICLE_RE, 1),
-        t + "headings": F.regexp_extract_all(body, F.lit(HEADING_RE), 1),
+        t + "headings": F.regexp_extract_all(marked, F.lit(heading_re(max_heading_level)), 1),
+    })
+    # The element of class title reaches to the first end tag of its name, or to the end.
+    end = F.instr(F.lower(F.col(t + "tr")), F.concat(F.lit("</"), F.col(t + "tn")))
+    title_class = F.when(end > 0, F.col(t + "tr").substr(F.lit(1), end - 1)).otherwise(F.col(t + "tr"))
+    # Texts of their own stage: each is used more than once below.
+    out = out.withColumns({
+        t + "x0": collapse_whitespace(unescape(F.col(t + "title"))),
+        t + "x1": element_text(F.col(t + "h1")),
+        t + "x2": element_text(F.col(t + "h2")),
+        t + "x3": element_text(title_class),
+        t + "xd": collapse_whitespace(unescape(_attr(F.col(t + "desc"), CONTENT_ATTR_RE))),
+        t + "xk": F.when(F.col(t + "kw") != "", unescape(_attr(F.col(t + "kw"), CONTENT_ATTR_RE))),
+        t + "full": fragment_text(body),
     })
-    title = F.coalesce(
-        _nonempty(collapse_whitespace(unescape(F.col(t + "title")))),
-        _nonempty(element_text(F.col(t + "h1"))),
-        _nonempty(element_text(F.col(t + "h2"))),
-        _nonempty(element_text(F.col(t + "tc"))), F.lit(""))
-    desc_tag, kw_tag = F.col(t + "desc"), F.col(t + "kw")
-    desc = F.when(desc_tag == "", F.lit("")).otherwise(
-        collapse_whitespace(unescape(F.regexp_extract(desc_tag, CONTENT_ATTR_RE, 1))))
-    kw_content = F.when(kw_tag == "", F.lit(None).cast("string")).otherwise(
-        unescape(F.regexp_extract(kw_tag, CONTENT_ATTR_RE, 1)))
+    title = F.coalesce(*[_nonempty(F.col(t + x)) for x in ("x0", "x1", "x2", "x3")], F.lit(""))
     headings = F.filter(F.transform(F.col(t + "headings"), lambda h: element_text(h)),
                         lambda h: h != "")
     out = out.withColumns({
-        f"{p}has_body": F.col(html).isNotNull() & F.col(t + "hasbody"),
+        f"{p}has_body": F.col(html).isNotNull() & (F.col(t + "hasbody") | ~F.col(t + "frames")),
         f"{p}title": title,
-        f"{p}meta_desc": desc,
-        f"{p}meta_keywords": meta_keywords(kw_content),
+        f"{p}meta_desc": F.col(t + "xd"),
+        f"{p}meta_keywords": meta_keywords(F.col(t + "xk"), max_keyword_length, max_keywords),
         f"{p}headings": headings,
-        f"{p}full_text": fragment_text(body),
+        f"{p}full_text": F.col(t + "full"),
         f"{p}html_lang": F.nullif(F.regexp_extract(F.col(html), HTML_LANG_RE, 1), F.lit("")),
     })
     article = F.col(t + "article")
     out = out.withColumn(f"{p}main_text", F.when(article != "", fragment_text(article))
                          .otherwise(F.col(f"{p}full_text")))
-    return out.drop(*[t + x for x in ("clean", "hasbody", "head", "body", "title", "h1", "h2", "tc",
-                                      "desc", "kw", "article", "headings")])
+    return out.drop(*[t + x for x in ("clean", "hasbody", "frames", "head", "body", "marked", "title", "h1", "h2", "tn", "tr",
+                                      "desc", "kw", "article", "headings", "x0", "x1", "x2", "x3", "xd", "xk", "full")])

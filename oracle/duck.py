@@ -23,7 +23,7 @@ def q(s: str) -> str:
 
 
 def rx(x: str, pattern: str, repl: str) -> str:
-    return f"regexp_replace({x}, {q(pattern)}, {q(repl.replace('$1', chr(92) + '1'))}, 'g')"
+    return f"regexp_replace({x}, {q(pattern)}, {q(repl.replace('$', chr(92)))}, 'g')"
 
 
 def rx_extract(x: str, pattern: str, group: int) -> str:
@@ -129,10 +129,22 @@ def url_columns(url: str, prefix: str = "") -> list[str]:
 # ---------------------------------------------------------------- html
 
 def unescape(x: str) -> str:
-    name = "split_part(s, ';', 1)"
-    char = f"CASE {name} " + " ".join(f"WHEN {q(n)} THEN {q(c)}" for n, c in H.ENTITIES) + " END"
-    piece = (f"CASE WHEN i = 1 THEN s WHEN contains(s, ';') AND ({char}) IS NOT NULL "
-             f"THEN ({char}) || substring(s, length({name}) + 2) ELSE '&' || s END")
+    from html.entities import html5
+    names = [n[:-1] for n in html5 if n.endswith(";")]
+    table = f"map([{', '.join(map(q, names))}], [{', '.join(q(html5[n + ';']) for n in names)}])"
+    bare = "^(" + "|".join(sorted((n for n in html5 if n[-1] != ";"), key=lambda n: (-len(n), n))) + ")"
+    num = r"^#(?:0*([0-9]{1,7})|[xX]0*([0-9a-fA-F]{1,6}));?"
+    code = (f"coalesce(TRY_CAST(regexp_extract(s, {q(num)}, 1) AS BIGINT), "
+            f"TRY_CAST('0x' || regexp_extract(s, {q(num)}, 2) AS BIGINT))")
+    western = " ".join(f"WHEN {n} THEN {q(bytes([n]).decode('cp1252', 'ignore') or chr(n))}" for n in range(0x80, 0xA0))
+    char = (f"CASE {code} WHEN 0 THEN chr(65533) {western} ELSE CASE WHEN {code} > 1114111 OR {code} BETWEEN 55296 AND 57343 "
+            f"THEN chr(65533) ELSE chr(CAST({code} AS INT)) END END")
+    named = "regexp_extract(s, '^([A-Za-z][A-Za-z0-9]*);', 1)"
+    old = f"regexp_extract(s, {q(bare)}, 1)"
+    piece = (f"CASE WHEN i = 1 THEN s WHEN regexp_matches(s, {q(num)}) "
+             f"THEN {char} || substring(s, length(regexp_extract(s, {q(num)}, 0)) + 1) "
+             f"WHEN {table}[{named}] IS NOT NULL THEN {table}[{named}] || substring(s, length({named}) + 2) "
+             f"WHEN {old} <> '' THEN {table}[{old}] || substring(s, length({old}) + 1) ELSE '&' || s END")
     return (f"CASE WHEN contains({x}, '&') THEN array_to_string(list_transform(string_split({x}, '&'), "
             f"lambda s, i: {piece}), '') ELSE {x} END")
 
@@ -153,7 +165,11 @@ def fragment_text(x: str) -> str:
 
 
 def element_text(x: str) -> str:
-    return collapse(unescape(_text_steps(x)))
+    return collapse(unescape(rx(x, H.ANY_TAG_RE, "")))
+
+
+def attr(tag: str) -> str:
+    return "(" + " || ".join(rx_extract(tag, H.CONTENT_ATTR_RE, g) for g in (1, 2, 3)) + ")"
 
 
 def nonempty(x: str) -> str:
@@ -174,25 +190,32 @@ def html_stage2_items() -> list[str]:
     return [f"{has} AS has_body_tag",
             f"{rx('clean', H.FROM_BODY_RE, '')} AS head_part",
             f"CASE WHEN {has} THEN {rx('clean', H.BEFORE_BODY_RE, '')} "
-            f"ELSE {rx('clean', H.HEAD_ELEMENT_RE, ' ')} END AS body_part"]
+            f"ELSE {rx(rx('clean', H.HEAD_ELEMENT_RE, ' '), H.TITLE_RE, ' ')} END AS body_part",
+            f"{rx_match('clean', H.FRAMESET_RE)} AS has_frames"]
+
+
+def marked_body() -> str:
+    return rx("body_part", H.HEADING_START_RE, "</h0>$1")
 
 
 def html_title() -> str:
-    title_tag = collapse(unescape(rx_extract("clean", H.TITLE_RE, 1)))
-    h1 = element_text(rx_extract("body_part", H.H1_RE, 1))
-    h2 = element_text(rx_extract("body_part", H.H2_RE, 1))
-    tc = element_text(rx_extract("body_part", H.TITLE_CLASS_RE, 1))
+    title_tag = collapse(unescape(rx_extract(rx("clean", H.SVG_RE, " "), H.TITLE_RE, 1)))
+    h1 = element_text(rx_extract(marked_body(), H.H1_RE, 1))
+    h2 = element_text(rx_extract(marked_body(), H.H2_RE, 1))
+    rest = rx_extract("body_part", H.TITLE_CLASS_RE, 2)
+    name = f"lower({rx_extract('body_part', H.TITLE_CLASS_RE, 1)})"
+    tc = element_text(f"split_part(replace(replace({rest}, '</' || upper({name}), '</' || {name}), '</' || {name}, chr(1)), chr(1), 1)")
     return f"coalesce({nonempty(title_tag)}, {nonempty(h1)}, {nonempty(h2)}, {nonempty(tc)}, '')"
 
 
 def html_meta_desc() -> str:
     tag = rx_extract("head_part", H.META_DESC_TAG_RE, 0)
-    return f"CASE WHEN {tag} = '' THEN '' ELSE {collapse(unescape(rx_extract(tag, H.CONTENT_ATTR_RE, 1)))} END"
+    return f"CASE WHEN {tag} = '' THEN '' ELSE {collapse(unescape(attr(tag)))} END"
 
 
 def html_keyword_content() -> str:
     tag = rx_extract("head_part", H.META_KEYWORDS_TAG_RE, 0)
-    return f"CASE WHEN {tag} = '' THEN NULL ELSE {unescape(rx_extract(tag, H.CONTENT_ATTR_RE, 1))} END"
+    return f"CASE WHEN {tag} = '' THEN NULL ELSE {unescape(attr(tag))} END"
 
 
 def keyword_words(content: str) -> str:
@@ -206,7 +229,7 @@ def distinct_in_order(lst: str) -> str:
 
 
 def html_headings() -> str:
-    return (f"list_filter(list_transform(regexp_extract_all(body_part, {q(H.HEADING_RE)}, 1), "
+    return (f"list_filter(list_transform(regexp_extract_all({marked_body()}, {q(H.heading_re(3))}, 1), "
             f"lambda h: {element_text('h')}), lambda h: h <> '')")
 
 

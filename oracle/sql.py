@@ -98,7 +98,7 @@ ALL_URLS = (f"(SELECT 'page' AS src, page_id AS id, url FROM pages UNION ALL "
 ORACLE_SQL["url_parts"] = f"SELECT src, id, {', '.join(D.url_columns('url'))} FROM {ALL_URLS}"
 
 HTML = D.html_fields_sql(D.injected_pages_sql())
-ORACLE_SQL["page_title"] = (f"SELECT page_id, {D.html_title()} AS title, (html IS NOT NULL AND has_body_tag) AS has_body, "
+ORACLE_SQL["page_title"] = (f"SELECT page_id, {D.html_title()} AS title, (html IS NOT NULL AND (has_body_tag OR NOT has_frames)) AS has_body, "
                             f"{D.html_lang('html')} AS html_lang FROM {HTML}")
 ORACLE_SQL["page_text"] = f"SELECT page_id, {D.html_full_text()} AS full_text, {D.html_main_text()} AS main_text FROM {HTML}"
 ORACLE_SQL["page_headings"] = (f"SELECT page_id, {D.join_list('hs')} AS headings, CAST(len(hs) AS BIGINT) AS n FROM "
@@ -157,8 +157,8 @@ ORACLE_SQL["map_vaswani"] = _plain_sql(_vas, D.plain_docs_sql())
 
 def _damaged_pages() -> str:
     k = "page_id % 10"
-    html = (f"CASE WHEN {k} = 1 THEN {D.rx('html', r'(?s)<body>.*$', '')} "
-            f"WHEN {k} = 2 THEN {D.rx('html', '[aeiou]', T.REPLACEMENT_CHAR)} "
+    html = (f"CASE WHEN {k} = 1 THEN {D.rx('html', r'(?s)<body>.*$', '<frameset></frameset>')} "
+            f"WHEN {k} = 2 THEN replace(html, '</body>', repeat({q(T.REPLACEMENT_CHAR)}, length(html)) || '</body>') "
             f"WHEN {k} = 3 THEN {D.rx('html', r'(?s)<article>.*</article>', '<article><p>Short.</p></article>')} "
             f"WHEN {k} = 4 THEN {D.rx('html', r'(?s)<body>.*$', '<body> </body>')} ELSE html END")
     return f"(SELECT page_id, url, {html} AS html FROM pages)"
@@ -170,7 +170,7 @@ def web_records_sql(pages: str = "pages", keep_skipped: bool = False) -> str:
     f = (f"(SELECT *, {D.html_title()} AS title, {D.html_headings()} AS headings, {D.html_full_text()} AS full_text, "
          f"{D.html_main_text()} AS main_text FROM {h})")
     k = _KW.replace("@SRC@", f)
-    reason = (f"CASE WHEN NOT coalesce(html IS NOT NULL AND has_body_tag, false) THEN {q(FL.NO_BODY)} "
+    reason = (f"CASE WHEN NOT coalesce(html IS NOT NULL AND (has_body_tag OR NOT has_frames), false) THEN {q(FL.NO_BODY)} "
               f"WHEN coalesce(length(full_text), 0) <= 0 THEN {q(FL.EMPTY_FULL_TEXT)} "
               f"WHEN {D.replacement_count('full_text')} / length(full_text) > {FL.MAX_REPLACEMENT_RATIO} "
               f"THEN {q(FL.TOO_MANY_REPLACEMENTS)} "
