@@ -284,6 +284,13 @@ def q_key_collisions(spark, sf_dir):
     return dedupe.key_collisions(d).select("_id", F.col("n_rows").cast("bigint").alias("n_rows"), F.col("n_docs").cast("bigint").alias("n_docs"))
 
 
+def q_typed_fields(spark, sf_dir):
+    d = _t(spark, sf_dir, "documents")
+    length = F.when(F.col("doc_id") % 5 == 0, F.col("source")).when(F.col("doc_id") % 5 != 1, F.col("n_chars").cast("string"))
+    raw = d.select("doc_id", "lang", length.alias("body_length"), F.col("n_chars").cast("string").alias("spam_rank"))
+    return records.typed_fields(raw).withColumn("bad_fields", _lst("bad_fields"))
+
+
 def q_parent_metadata(spark, sf_dir):
     return standins.parent_documents(_t(spark, sf_dir, "conversations"))
 
@@ -366,8 +373,8 @@ def q_field_filter(spark, sf_dir):
 
 
 def q_bm25_topk(spark, sf_dir):
-    d = _t(spark, sf_dir, "documents").filter(F.col("lang") == "en")
-    post = search.postings(search.doc_terms(d, "doc_id", "text", lang="en"))
+    d = _t(spark, sf_dir, "documents")
+    post = search.postings(_doc_terms(spark, sf_dir))
     lengths = d.select("doc_id", F.size(analyze.words(F.col("text"))).cast("bigint").alias("dl"))
     queries = _t(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("qid"), analyze.language_tokens(F.col("text"), "en").alias("tokens"))
@@ -409,6 +416,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_last_wins": q_upsert_last_wins,
     "key_collisions": q_key_collisions,
     "collision_losers": q_collision_losers,
+    "typed_fields": q_typed_fields,
     "parent_metadata": q_parent_metadata,
     "keyword_lower": q_keyword_lower,
     "stored_view": q_stored_view,

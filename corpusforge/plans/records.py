@@ -68,6 +68,24 @@ def field_kind(name: str, table: str = "data") -> str:
     return "keyword"
 
 
+# Column types of the kinds that are no strings.
+KIND_TYPES = {"long": "bigint", "byte": "tinyint", "float": "float", "date": "timestamp"}
+
+
+def typed_fields(df: DataFrame, table: str = "data") -> DataFrame:
+    """Columns cast to their field's type (K1), and ``bad_fields``: the names of
+    those that hold a value their type cannot read (the value becomes null).
+
+    No row is lost: ``bad_fields`` is empty for rows to write, and the others
+    can be set aside.
+    """
+    types = {c: KIND_TYPES.get(field_kind(c, table)) for c in df.columns}
+    bad = [F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.lit(c)) for c, t in types.items() if t]
+    bad_fields = F.filter(F.array(*bad), lambda c: c.isNotNull()) if bad else F.array().cast("array<string>")
+    return df.select(*[(F.col(c).try_cast(t) if t else F.col(c)).alias(c) for c, t in types.items()],
+                     bad_fields.alias("bad_fields"))
+
+
 def _typed(value, dtype) -> Column:
     if value is None:
         return F.lit(None).cast(dtype)

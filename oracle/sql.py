@@ -217,6 +217,11 @@ ORACLE_SQL["upsert_last_wins"] = (
     f"FROM (SELECT doc_id, text AS t, 1 AS version FROM documents UNION ALL "
     f"SELECT doc_id, text || ' (rev 2)' AS t, 2 AS version FROM documents WHERE doc_id % 5 = 0) GROUP BY doc_id)")
 
+_len = "CASE WHEN doc_id % 5 = 0 THEN source WHEN doc_id % 5 <> 1 THEN CAST(n_chars AS VARCHAR) END"
+ORACLE_SQL["typed_fields"] = (
+    f"SELECT doc_id, lang, TRY_CAST({_len} AS BIGINT) AS body_length, TRY_CAST(n_chars AS TINYINT) AS spam_rank, "
+    f"concat_ws(' | ', CASE WHEN {_len} IS NOT NULL AND TRY_CAST({_len} AS BIGINT) IS NULL THEN 'body_length' END, "
+    "CASE WHEN n_chars > 127 THEN 'spam_rank' END) AS bad_fields FROM documents")
 ORACLE_SQL["collision_losers"] = (
     "SELECT k AS _id, doc_id FROM (SELECT doc_id // 3 AS k, doc_id, row_number() OVER "
     "(PARTITION BY doc_id // 3 ORDER BY n_chars DESC, doc_id DESC) AS r FROM documents) WHERE r > 1")
@@ -257,7 +262,7 @@ ORACLE_SQL["field_filter"] = (
     f"AND length(text) <= 5000")
 _en = D.language_tokens("text", "en")
 ORACLE_SQL["bm25_topk"] = f"""
-WITH dt AS (SELECT doc_id, {_en} AS tokens FROM documents WHERE lang = 'en'),
+WITH dt AS (SELECT doc_id, {_by_lang} AS tokens FROM documents),
 post AS (SELECT term, doc_id, count(*) AS tf FROM (SELECT doc_id, unnest(tokens) AS term FROM dt) GROUP BY term, doc_id),
 dl AS (SELECT doc_id, len(tokens) AS dl FROM dt),
 cs AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM dl),

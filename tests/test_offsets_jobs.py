@@ -127,6 +127,16 @@ def test_upsert_last_wins_and_idempotent(spark):
     assert rows(sink.read_table(spark, path + "2")) == [("a", 1), ("b", 2), ("c", 3)]
 
 
+def test_typed_fields_set_bad_values_aside(spark):
+    df = spark.createDataFrame([("a", "12", "2024-01-02 03:04:05", "7"), ("b", "x", "never", "300"), ("c", None, None, None)],
+                               "uuid string, body_length string, warc_date string, spam_rank string")
+    rows = {r.uuid: r for r in records.typed_fields(df).collect()}
+    assert (rows["a"].body_length, rows["a"].spam_rank, rows["a"].bad_fields) == (12, 7, [])
+    assert rows["a"].warc_date.year == 2024
+    assert rows["b"].bad_fields == ["body_length", "warc_date", "spam_rank"] and rows["b"].body_length is None
+    assert rows["c"].bad_fields == [] and rows["c"].warc_date is None
+
+
 def test_colliding_keys_fail_or_go_elsewhere(spark):
     base = _tmp()
     meta, data, lost = (os.path.join(base, x) for x in ("meta", "data", "lost"))
