@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from corpusforge.operators.offsets import jsonl_lines
 from corpusforge.plans import jobs
 from corpusforge.session import get_session
-from corpusforge.sources.corpus import read_corpus, read_offsets, read_parent_metadata
+from corpusforge.sources.corpus import read_corpus, read_offsets, read_parent_metadata, read_web_line_offsets
 
 
 def main(argv=None) -> None:
@@ -40,6 +40,8 @@ def main(argv=None) -> None:
     ix.add_argument("--offsets", help="offsets table (doc_id, start, end)")
     ix.add_argument("--parents", help="JSON lines with original_document.{doc_id,title,url}")
     ix.add_argument("--line-offsets", help="table (stem, doc_no, html_offset, txt_offset)")
+    ix.add_argument("--html-offsets", help="instead: line offsets files of the html format (with --txt-offsets)")
+    ix.add_argument("--txt-offsets", help="line offsets files of the text format")
 
     of = sub.add_parser("offsets", help="byte offsets of every document of JSONL files")
     of.add_argument("path")
@@ -69,6 +71,8 @@ def main(argv=None) -> None:
             sides["parents"] = read_parent_metadata(spark, args.parents)
         if args.line_offsets:
             sides["line_offsets"] = spark.read.parquet(args.line_offsets)
+        elif args.html_offsets and args.txt_offsets:
+            sides["line_offsets"] = read_web_line_offsets(spark, args.html_offsets, args.txt_offsets)
         if args.text:
             sides["text_fields"] = tuple(args.text)
         out = jobs.index_corpus(spark, args.dataset, docs, args.meta, args.data, args.bucket, args.start, args.end,

@@ -76,3 +76,14 @@ def read_line_offsets(spark: SparkSession, path: str, stem_pattern: str = r"([^/
                          .alias("doc_no", "line"))
     return lines.select("stem", F.col("doc_no").cast("bigint").alias("doc_no"),
                         F.trim("line").cast("bigint").alias("offset"))
+
+
+def read_web_line_offsets(spark: SparkSession, html_path: str, txt_path: str) -> DataFrame:
+    """Offsets files of both formats of a web corpus as one table.
+
+    Returns ``(stem, doc_no, html_offset, txt_offset)``, what the web mapping
+    takes; a line that only one format has keeps a null for the other.
+    """
+    html = read_line_offsets(spark, html_path).withColumnRenamed("offset", "html_offset")
+    txt = read_line_offsets(spark, txt_path).withColumnRenamed("offset", "txt_offset")
+    return html.join(txt, ["stem", "doc_no"], "full_outer")

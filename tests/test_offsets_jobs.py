@@ -232,6 +232,27 @@ def test_offsets_dict_import_and_line_offsets(spark):
                                         ("en00/en0000/en0000-01", 2, 987)]
 
 
+def test_web_mapping_from_offsets_files(spark):
+    base = _tmp()
+    docs = standins.web_docs(standins.inject_page_features(spark.read.parquet(f"{SF}/pages.parquet")))
+    table = standins.web_line_offsets(docs)
+    # Line n of a file is the offset of document n: lines between known documents are zero.
+    files = {}
+    for r in table.collect():
+        files.setdefault(r.stem, {})[r.doc_no] = (r.html_offset, r.txt_offset)
+    for stem, lines in files.items():
+        for i, (fmt, ending) in enumerate((("html", "warc.offset"), ("txt", "json.offset"))):
+            path = os.path.join(base, fmt, *stem.split("/")) + "." + ending
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            with open(path, "w") as fh:
+                fh.writelines(f"{lines.get(n, (0, 0))[i]}\n" for n in range(max(lines) + 1))
+    back = corpus.read_web_line_offsets(spark, *(os.path.join(base, f, "*", "*", "*.offset") for f in ("html", "txt")))
+    m = mappings.dataset_mapping("clueweb22")
+    cols = ["_id", "m_source_offset", "m_plaintext_source_offset"]
+    want, got = (sorted(tuple(r) for r in m.records(docs, "b", line_offsets=t).select(cols).collect()) for t in (table, back))
+    assert want == got and len(want) > 0
+
+
 def test_streaming_incremental_index(spark):
     base = _tmp()
     src = os.path.join(base, "in")
