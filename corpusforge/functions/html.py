@@ -16,7 +16,6 @@ element of class ``title`` ends at the first end tag of its own name.
 
 from __future__ import annotations
 
-import json
 from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
@@ -108,7 +107,8 @@ def unescape(c) -> Column:
     number, a name with a semicolon, or one of the old names without it.
     Values without '&' are returned as they are.
     """
-    table = F.from_json(F.lit(json.dumps(NAMED_REFERENCES)), "map<string,string>")  # folded to a literal
+    # Both lists as one string each: Catalyst folds them to a map literal.
+    table = F.map_from_arrays(*[F.split(F.lit("\x01".join(x)), "\x01") for x in (NAMED_REFERENCES, NAMED_REFERENCES.values())])
 
     def rest(s: Column, used: Column) -> Column:
         return s.substr(used + 1, F.length(s))
