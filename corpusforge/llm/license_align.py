@@ -1,14 +1,18 @@
 """License scans by patience alignment.
 
-Regions of a text that may hold a template are found by the template's pairs
-of neighbouring words (those with a word that is not a mere function word).
-Around each such pair a window of the template's size is aligned with the
-template: words that are unique in both anchor the alignment, the longest
-increasing subsequence of anchors is kept, and the gaps between them are
-aligned the same way; gaps without anchors match what is equal at their ends.
-The share of the template's words that are aligned is the coverage; a match
-needs ``min_coverage``. Scanning goes on behind a match, so repeated licenses
-are all found.
+Only templates of whose words a text holds enough, in any order, are aligned
+with it. First, around each pair of neighbouring words of the template (with a
+word that is not a mere function word), a window of the template's size is
+aligned with the template: words that are unique in both anchor the alignment,
+the longest increasing subsequence of anchors is kept, and the gaps between
+them are aligned the same way; gaps without anchors match what is equal at
+their ends. The share of the template's words that are aligned is the coverage;
+a match needs ``min_coverage``. Scanning goes on behind a match, so repeated
+licenses are all found.
+
+The stretches between these matches are then aligned in overlapping windows of
+doubled sizes, up to the whole stretch, so a copy is found however many words
+are inserted in it; ``first`` and ``end`` of a match tell how far it spreads.
 
 Templates are a small table of fixed values, given as a parameter; work is
 per document in Arrow batches, nothing is shuffled.
@@ -106,7 +110,7 @@ def patience(a: list[str], b: list[str]) -> list[tuple[int, int]]:
 class Scanner:
     def __init__(self, templates: dict[str, str], min_coverage: float):
         self.min_coverage = min_coverage
-        self.templates = {name: words(t) for name, t in templates.items()}
+        self.templates = {name: w for name, t in templates.items() if (w := words(t))}
         self.bags = {name: Counter(t) for name, t in self.templates.items()}
         self.starts: dict[tuple[str, str], list[tuple[str, int]]] = {}
         for name, t in self.templates.items():
@@ -125,20 +129,52 @@ class Scanner:
         aligned = patience(window, t)
         return (len(aligned) / len(t), lo + aligned[0][0], lo + aligned[-1][0] + 1) if aligned and len(aligned) >= need else None
 
+    def _spread(self, name: str, text: list[str], matches: list[tuple[float, int, int]]) -> list[tuple[float, int, int]]:
+        """Matches with inserted words, in the stretches of the text between ``matches``."""
+        need = self.min_coverage * len(self.templates[name])
+        size, found = 2 * len(self.templates[name]), []
+        ends = [0, *(x for _, first, end in matches for x in (first, end)), len(text)]
+        todo = list(zip(ends[::2], ends[1::2]))
+        while todo:
+            todo = [(lo, hi) for lo, hi in todo if sum((Counter(text[lo:hi]) & self.bags[name]).values()) >= need]
+            rest = []
+            for lo, hi in todo:
+                start, behind = lo, lo
+                while start < hi:
+                    if got := self._align(name, text, start, min(hi, start + size)):
+                        found.append(got)
+                        rest.append((behind, got[1]))
+                        start = behind = got[2]
+                    elif start + size >= hi:
+                        break
+                    else:
+                        start += size // 2
+                if behind > lo or size < hi - lo:  # else it was aligned as a whole
+                    rest.append((behind, hi))
+            todo, size = rest, 2 * size
+        return found
+
     def __call__(self, text: list[str]) -> list[tuple[str, float, int, int]]:
-        found, behind = [], dict.fromkeys(self.templates, 0)
+        count = Counter(text)
+        near: dict[str, list[tuple[float, int, int]]] = {
+            name: [] for name, bag in self.bags.items()
+            if sum(min(n, count[w]) for w, n in bag.items()) >= self.min_coverage * len(self.templates[name])}
+        if not near:
+            return []
+        behind = dict.fromkeys(near, 0)
         firsts, starts = self.firsts, self.starts
         for i, w in enumerate(text):
             if w in firsts and i + 1 < len(text) and (hits := starts.get((w, text[i + 1]))):
                 for name, p in hits:
-                    if i < behind[name]:
+                    if name not in near or i < behind[name]:
                         continue
                     n = len(self.templates[name])
                     slack = n // 4 + 1
                     lo, hi = max(behind[name], i - p - slack), min(len(text), i + n - p + slack)
                     if got := self._align(name, text, lo, hi):
-                        found.append((name, *got))
+                        near[name].append(got)
                         behind[name] = got[2]
+        found = [(name, *got) for name, matches in near.items() for got in matches + self._spread(name, text, matches)]
         return sorted(found, key=lambda x: (-x[1], -len(self.templates[x[0]]), x[2], x[0]))
 
 
