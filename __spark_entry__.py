@@ -382,6 +382,17 @@ def q_bm25_topk(spark, sf_dir):
     return top.select("qid", "doc_id", "score", F.col("rank").cast("bigint").alias("rank"))
 
 
+def q_bm25_topk_by_lang(spark, sf_dir):
+    # As bm25_topk, but queries are analysed in every language; the oracle of bm25_topk analyses them as English only.
+    d = _t(spark, sf_dir, "documents")
+    post = search.postings(search.doc_terms(d, "doc_id", "text", lang_col="lang", languages=LANGS, keep_lang=True))
+    lengths = d.select("doc_id", search.analysed_lang(F.col("lang"), LANGS).alias("lang"),
+                       F.coalesce(F.size(analyze.words(F.col("text"))), F.lit(0)).cast("bigint").alias("dl"))
+    queries = search.query_terms(_t(spark, sf_dir, "benchmark"), "item_id", "text", LANGS)
+    top = search.bm25_topk(queries, post, lengths, k=TOPK, by_lang=True)
+    return top.select("qid", "doc_id", "score", F.col("rank").cast("bigint").alias("rank"))
+
+
 # ------------------------------------------------------------------ registry
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -433,6 +444,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "host_facets": q_host_facets,
     "field_filter": q_field_filter,
     "bm25_topk": q_bm25_topk,
+    "bm25_topk_by_lang": q_bm25_topk_by_lang,
 }
 
 

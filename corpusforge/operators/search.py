@@ -12,7 +12,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusforge.functions import analyze
@@ -24,8 +24,9 @@ B = 0.75
 
 def doc_terms(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
               lang: str | None = None, lang_col: str | None = None,
-              languages=("en", "fr", "de", "es")) -> DataFrame:
-    """``(doc_id, dl, term)``: one row per token occurrence.
+              languages=("en", "fr", "de", "es"), keep_lang: bool = False) -> DataFrame:
+    """``(doc_id, dl, term)``: one row per token occurrence; with ``keep_lang``
+    also ``lang``, the language that ``lang_col`` has the text analysed in.
 
     Words are exploded first and the language filters run as plain column
     expressions on the exploded word (generated code, no lambdas). ``dl``
@@ -45,6 +46,8 @@ def doc_terms(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
     w = ws.select("doc_id", *keep, "dl", F.explode_outer("ws").alias("word")).filter(F.col("word").isNotNull())
     if lang_col:
         term = analyze.term_for_language(F.col("word"), F.col(lang_col), languages)
+        if keep_lang:
+            return w.select("doc_id", analysed_lang(F.col(lang_col), languages).alias("lang"), "dl", term.alias("term"))
     else:
         term = analyze.language_term(F.col("word"), lang or "default")
     # Terms are never empty: a word's apostrophe is always followed by a
@@ -52,12 +55,26 @@ def doc_terms(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
     return w.select("doc_id", "dl", term.alias("term"))
 
 
+def analysed_lang(lang: Column, languages=("en", "fr", "de", "es")) -> Column:
+    """The language whose analyzer a row gets: its own, or ``default`` beyond ``languages``."""
+    return F.when(lang.isin(*languages), lang).otherwise(F.lit("default"))
+
+
+def query_terms(queries: DataFrame, query_col: str = "qid", text_col: str = "text",
+                languages=("en", "fr", "de", "es")) -> DataFrame:
+    """``(qid, lang, tokens)``: every query analysed once per language, and by the default analyzer."""
+    by = [F.struct(F.lit(l).alias("lang"), analyze.language_tokens(F.col(text_col), l).alias("tokens"))
+          for l in (*languages, "default")]
+    return queries.select(F.col(query_col).alias("qid"), F.inline(F.array(*by)))
+
+
 def postings(terms: DataFrame) -> DataFrame:
-    """``(term, doc_id, tf, dl)`` for every term of every document (K8).
+    """``(term, doc_id, tf, dl)`` for every term of every document (K8), and ``lang`` if ``terms`` has it.
 
     A partial aggregate keyed by the (term, document) pair.
     """
-    return terms.groupBy("term", "doc_id", "dl").agg(F.count(F.lit(1)).alias("tf"))
+    lang = ["lang"] if "lang" in terms.columns else []
+    return terms.groupBy(*lang, "term", "doc_id", "dl").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def postings_from_tokens(tokens: DataFrame, doc_col: str = "doc_id", tokens_col: str = "tokens") -> DataFrame:
@@ -73,7 +90,7 @@ def term_stats(post: DataFrame) -> DataFrame:
 
 
 def bm25_topk(query_tokens: DataFrame, post: DataFrame, doc_lengths: DataFrame, k: int = 10,
-              k1: float = K1, b: float = B, precision: int = 6) -> DataFrame:
+              k1: float = K1, b: float = B, precision: int = 6, by_lang: bool = False) -> DataFrame:
     """Top-``k`` documents per query by BM25 (K9).
 
     ``query_tokens``: ``(qid, tokens)``; ``post``: ``(term, doc_id, tf, dl)``;
@@ -84,18 +101,31 @@ def bm25_topk(query_tokens: DataFrame, post: DataFrame, doc_lengths: DataFrame,
     the summation order of floating-point terms cannot reorder equal scores;
     ties go to the smaller ``doc_id``. A term repeated in a query counts
     once per occurrence.
+
+    With ``by_lang`` all three inputs have a ``lang``, and each language is a
+    field of its own: terms meet only within a language, and N, the average
+    length and document frequencies are the language's. The ranking is over
+    the documents of all languages.
     """
-    # One scalar subquery (a single scan) yields both collection statistics.
-    stats = doc_lengths.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))).scalar()
-    n_docs, avgdl = stats["n"], stats["avgdl"]
-    qterms = (query_tokens.select("qid", F.explode("tokens").alias("term"))
-              .groupBy("qid", "term").agg(F.count(F.lit(1)).alias("qtf")))
-    terms = qterms.select("term").distinct()
-    post_q = post.join(terms, "term", "left_semi")
-    dfs = post_q.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    weighted = qterms.join(dfs, "term").withColumn(
+    key = ["lang", "term"] if by_lang else ["term"]
+    if not by_lang:
+        # One scalar subquery (a single scan) yields both collection statistics.
+        stats = doc_lengths.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))).scalar()
+        n_docs, avgdl = stats["n"], stats["avgdl"]
+    qterms = (query_tokens.select("qid", *key[:-1], F.explode("tokens").alias("term"))
+              .groupBy("qid", *key).agg(F.count(F.lit(1)).alias("qtf")))
+    terms = qterms.select(*key).distinct()
+    post_q = post.join(terms, key, "left_semi")
+    dfs = post_q.groupBy(*key).agg(F.count(F.lit(1)).alias("df"))
+    weighted = qterms.join(dfs, key)
+    if by_lang:
+        # One row per analyzed language, so the broadcast is bounded.
+        weighted = weighted.join(F.broadcast(doc_lengths.groupBy("lang").agg(
+            F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))), "lang")
+        n_docs, avgdl = F.col("n"), F.col("avgdl")
+    weighted = weighted.withColumn(
         "idf", F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5)))
-    hits = post_q.join(weighted, "term")
+    hits = post_q.join(weighted, key)
     norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("dl") / avgdl)
     part = F.col("qtf") * F.col("idf") * F.col("tf") / (F.col("tf") + norm)
     scores = hits.groupBy("qid", "doc_id").agg(F.round(F.sum(part), precision).alias("score"))
