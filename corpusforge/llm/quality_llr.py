@@ -9,11 +9,10 @@ counts in the trusted one and as large a share of the raw total in the raw
 one, so buckets that are too rare to tell weigh next to nothing.
 Nothing is drawn at random, and every document is judged by its whole text.
 
-DataFrame functions only. The raw counts cover all documents; the trusted
-counts come from at most ``max_trusted`` documents (those of smallest id
-hash), so the set of their ids has a proven size bound and is broadcast, and
-texts are never shuffled. The model is one array of ``buckets`` doubles,
-read as a scalar subquery.
+DataFrame functions only. The raw counts cover all documents, the trusted
+counts all trusted ones: as their ids have no bound they are not broadcast,
+ids and texts are shuffled once for a merge join. The model is one array of
+``buckets`` doubles, read as a scalar subquery.
 
 Defined cases: a null text has no words; a document of no words fails the
 base rules and has score 0; a null id is judged like any other but is never
@@ -32,7 +31,6 @@ from .common import words
 
 BUCKETS = 1 << 16
 SMOOTHING = 10.0
-MAX_TRUSTED = 50_000
 THRESHOLD = -0.13
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -53,21 +51,19 @@ def _rest(h: Column, start: int) -> Column:
     return F.slice(h, F.lit(start + 1), F.greatest(F.size(h) - start, F.lit(0)))
 
 
-def trusted_ids(docs: DataFrame, trusted: DataFrame, id_col: str, most: int) -> DataFrame:
-    """The ids of ``trusted``, at most ``most`` of them: those of smallest hash."""
-    ids = trusted.select(F.col(id_col).alias("__t")).where("__t is not null").distinct()
-    return ids.orderBy(F.xxhash64("__t"), "__t").limit(most)
+def trusted_ids(trusted: DataFrame, id_col: str) -> DataFrame:
+    """The ids of ``trusted``, each once."""
+    return trusted.select(F.col(id_col).alias("__t")).where("__t is not null").distinct()
 
 
 def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        buckets: int = BUCKETS, smoothing: float = SMOOTHING, max_trusted: int = MAX_TRUSTED) -> DataFrame:
+        buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> DataFrame:
     """One row ``weights``: log p_trusted - log p_raw of each bucket (null without trusted documents).
 
     ``trusted`` is a DataFrame with the ids of trusted documents.
     """
     d = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
-    ids = F.broadcast(trusted_ids(docs, trusted, id_col, max_trusted))
-    d = d.join(ids, F.col("__id") == F.col("__t"), "left")
+    d = d.join(trusted_ids(trusted, id_col).hint("merge"), F.col("__id") == F.col("__t"), "left")
     d = d.select(F.col("__t").isNotNull().cast("int").alias("__in"), _hashes(words(F.col("__text"))).alias("__h"))
     # Not explode: Catalyst would then filter by the array's size below, and
     # compute the array anew there, word by word.
