@@ -8,7 +8,10 @@ least).
 
 The histogram has one bin for each length up to 256 and 128 bins for each
 doubling beyond, so it has at most a few thousand rows whatever the corpus;
-it alone reaches the driver. A bucket may hold any share of the documents:
+it alone reaches the driver. A bin's edge is its longest document, so every
+bucket is as long as its longest document; the choice counts documents by
+their bin's edge, so the padded tokens exceed the least possible by less than
+1/128. A bucket may hold any share of the documents:
 their numbers come from counts over slices of the hash order
 (``running_start``), never from one task per bucket.
 
@@ -72,7 +75,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bu
     """Per row of ``docs``: id, n_tokens, bucket_len, batch (from 0 in each bucket) and slot (from 0 in each batch)."""
     rows = cut(docs.select(F.col(id_col).alias("id"), n_words(F.col(text_col)).alias("n_tokens"),
                            order_hash(F.lit(seed), F.col(id_col), F.col(text_col)).alias("order")))
-    histogram = rows.groupBy(edge(F.col("n_tokens")).alias("edge")).agg(F.count("*").alias("n")).orderBy("edge").collect()
+    longest = F.greatest(F.max("n_tokens"), F.lit(1).cast("long"))
+    histogram = rows.groupBy(edge(F.col("n_tokens")).alias("bin")).agg(longest.alias("edge"), F.count("*").alias("n")).orderBy("bin").collect()
     lengths = best_edges([r.edge for r in histogram], [r.n for r in histogram], max_buckets)
     ends = F.array(*[F.lit(x).cast("long") for x in lengths]) if lengths else F.array(F.lit(1).cast("long"))
     bucketed = rows.withColumn("bucket_len", F.array_min(F.filter(ends, lambda x: x >= F.col("n_tokens"))))
