@@ -4,7 +4,7 @@ Running sums over a whole corpus are computed in two levels so no single
 task ever sees all rows:
 
 1. rows are assigned to *buckets* that follow the scan order (an input split
-   of a file, or a quantile range of a sortable key);
+   of a file, or a range of a sortable key, stored with the row);
 2. a window per bucket gives the running sum inside the bucket (one shuffle
    on the bucket key, balanced by construction);
 3. bucket totals (one row per bucket) are prefix-summed in a tiny window and
@@ -32,43 +32,17 @@ def _cols(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-SAMPLE_PER_BUCKET = 64
+def in_ranges(df: DataFrame, keys: Sequence[str], num_buckets: int | None = None, bucket_col: str = "__bucket") -> DataFrame:
+    """``df`` dealt into ranges of the *whole* order key, with each row's range number stored beside it.
 
-
-def range_buckets(df: DataFrame, keys: Sequence[str], num_buckets: int | None = None) -> Column:
-    """A bucket number that grows with the order of ``keys``, of any orderable types.
-
-    A sample of the keys (about ``SAMPLE_PER_BUCKET`` for each bucket) is
-    sorted by Spark and gives ``num_buckets - 1`` bounds over the *whole*
-    order key, so a first key that most rows share is split by the next ones.
-    The bounds are literals: every branch of a plan sees the same buckets.
-    Rows of equal keys share a bucket. The bucket is found by binary search.
+    Spark samples the bounds itself while it shuffles, so they reach neither
+    this process nor the plan, however many ranges there are; a first key
+    that most rows share is split by the next ones, and rows of equal keys
+    share a range. The rows are written to the checkpoint folder, so every
+    branch of a plan, and a repeated task, sees the same ranges.
     """
-    n = max(1, num_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    if n == 1:
-        return F.lit(0)
-    narrow = df.select(*keys)
-    total = narrow.count()
-    want = n * SAMPLE_PER_BUCKET
-    sample = narrow if total <= want else narrow.sample(min(1.0, 1.2 * want / total), seed=42)
-    rows = sample.orderBy(*keys).limit(4 * want).collect()
-    if not rows:
-        return F.lit(0)
-    bounds = list(dict.fromkeys(rows[len(rows) * i // n] for i in range(1, n)))
-    types = [df.schema[k].dataType for k in keys]
-    if len(keys) == 1:  # plain comparisons; nulls come first
-        bounds = [b for b in bounds if b[0] is not None]
-    key = F.struct(*[F.col(k) for k in keys]) if len(keys) > 1 else F.col(keys[0])
-
-    def bucket(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        parts = [F.lit(v).cast(t).alias(k) for v, t, k in zip(bounds[mid], types, keys)]
-        bound = F.struct(*parts) if len(keys) > 1 else parts[0]
-        return F.when(key < bound, bucket(lo, mid)).otherwise(bucket(mid + 1, hi))
-    found = bucket(0, len(bounds))
-    return found if len(keys) > 1 else F.when(key.isNull(), F.lit(0)).otherwise(found)
+    dealt = df.repartitionByRange(num_buckets, *keys) if num_buckets else df.repartitionByRange(*keys)
+    return cut(dealt.withColumn(bucket_col, F.spark_partition_id()))
 
 
 def running_sum(df: DataFrame, value, order_cols: Sequence, bucket_cols: Sequence[str],
@@ -103,15 +77,15 @@ def ordered_running_sum(df: DataFrame, value, order_key, num_buckets: int | None
     """Running sum of ``value`` in the order of a sortable key.
 
     ``order_key`` is a column name or a list of names, of any orderable
-    types; buckets are ranges of the full key.
+    types; buckets are ranges of the full key. All columns of ``df`` are
+    written once on the way: give narrow rows.
     """
     keys = [order_key] if isinstance(order_key, str) else list(order_key)
-    bucketed = df.withColumn("__bucket", range_buckets(df, keys, num_buckets))
-    return running_sum(bucketed, value, keys, ["__bucket"], start_col=start_col,
+    return running_sum(in_ranges(df, keys, num_buckets), value, keys, ["__bucket"], start_col=start_col,
                        end_col=end_col).drop("__bucket")
 
 
-def positions(df: DataFrame, order_key: str, num_buckets: int | None = None,
+def positions(df: DataFrame, order_key, num_buckets: int | None = None,
               col: str = "position") -> DataFrame:
     """0-based position of each row in the order of ``order_key`` (H2)."""
     return (ordered_running_sum(df, F.lit(1), order_key, num_buckets, start_col=col,
@@ -124,19 +98,21 @@ def resolve_slice(total: int, start: int | None, end: int | None) -> tuple[int,
     return s, max(s, e)
 
 
-def corpus_slice(df: DataFrame, order_key: str, start: int | None = None,
+def _slice_bounds(df: DataFrame, start: int | None, end: int | None) -> tuple[int, int | None]:
+    """The slice from the front; rows are counted only for a negative bound."""
+    if (start is not None and start < 0) or (end is not None and end < 0):
+        return resolve_slice(df.count(), start, end)
+    return start or 0, end
+
+
+def corpus_slice(df: DataFrame, order_key, start: int | None = None,
                  end: int | None = None, num_buckets: int | None = None) -> DataFrame:
-    """Rows ``[start:end)`` of the corpus in ``order_key`` order (A3).
+    """Rows ``[start:end)`` of the corpus in ``order_key`` order, with their ``position`` (A3).
 
-    Python slice semantics, negatives included. The row count is computed
-    only when a bound is negative or missing at the end.
+    Python slice semantics, negatives included. For narrow rows, as all of
+    them are dealt by the key; ``slice_by_key`` takes whole documents.
     """
-    need_total = (start is not None and start < 0) or (end is not None and end < 0)
-    if need_total:
-        s, e = resolve_slice(df.count(), start, end)
-    else:
-        s = start or 0
-        e = end
+    s, e = _slice_bounds(df, start, end)
     pos = positions(df, order_key, num_buckets, col="position")
     cond = F.col("position") >= F.lit(s)
     if e is not None:
@@ -144,6 +120,48 @@ def corpus_slice(df: DataFrame, order_key: str, start: int | None = None,
     return pos.filter(cond)
 
 
+def slice_by_key(df: DataFrame, order_key, start: int | None = None, end: int | None = None,
+                 num_buckets: int | None = None) -> DataFrame:
+    """Rows ``[start:end)`` in ``order_key`` order (A3), whole documents unmoved.
+
+    Only the keys are ranked. The keys at the two bounds (one row each)
+    become a filter on the corpus, which Spark pushes into the scan. The key
+    must tell rows apart: bounds on a repeated or null key are an error.
+    """
+    keys = [order_key] if isinstance(order_key, str) else list(order_key)
+    s, e = _slice_bounds(df, start, end)
+    if e is not None and e <= s:
+        return df.limit(0)
+    at = [p for p in (s or None, e) if p is not None]
+    if not at:
+        return df
+    # A bound's neighbour has another key, or equal rows would be parted.
+    wanted = [p for b in at for p in (b - 1, b)]
+    found = positions(df.select(*keys), keys, num_buckets).where(F.col("position").isin(wanted)).collect()
+    key_of = {r["position"]: tuple(r[k] for k in keys) for r in found}
+    for b in at:
+        if b in key_of and (key_of[b] == key_of[b - 1] or any(v is None for v in key_of[b])):
+            raise ValueError(f"The order key {keys} does not tell the rows at position {b} apart")
+
+    def literal(key):
+        return [F.lit(v).cast(df.schema[k].dataType) for v, k in zip(key, keys)]
+
+    def from_on(key):
+        """Rows whose key is not before ``key``; the first column's part can be pushed down."""
+        whole = F.struct(*[F.col(k) for k in keys]) >= F.struct(*[v.alias(k) for v, k in zip(literal(key), keys)])
+        return (F.col(keys[0]) >= literal(key)[0]) & whole if len(keys) > 1 else F.col(keys[0]) >= literal(key)[0]
+
+    def before(key):
+        whole = F.struct(*[F.col(k) for k in keys]) < F.struct(*[v.alias(k) for v, k in zip(literal(key), keys)])
+        head = F.col(keys[0]).isNull() | (F.col(keys[0]) <= literal(key)[0])
+        return head & whole if len(keys) > 1 else F.col(keys[0]).isNull() | (F.col(keys[0]) < literal(key)[0])
+    if s:
+        df = df.where(from_on(key_of[s])) if s in key_of else df.limit(0)
+    if e is not None and e in key_of:
+        df = df.where(before(key_of[e]))
+    return df
+
+
 _RARE_CONTROL_RE = r"[\x00-\x07\x0b\x0e-\x1f]"
 
 
@@ -201,8 +219,9 @@ def read_lines_with_offsets(spark, path: str, id_field: str = "docno") -> DataFr
     """Byte ranges of the lines of JSONL files, computed from a distributed read.
 
     Every input split of a file is a bucket: rows of a split arrive in file
-    order, and ``_metadata.file_block_start`` orders the splits. Only narrow
-    columns (id, length) are shuffled. Lines end at ``\\n`` (a preceding
+    order, and ``_metadata.file_block_start`` orders the splits. The lines are
+    read and parsed once, into narrow rows (id, length) that are written to the
+    checkpoint folder; only these are shuffled. Lines end at ``\\n`` (a preceding
     ``\\r`` counts as part of the line); the last line ends at the file size.
     """
     # lineSep='\n': a '\r' before the newline stays in the value, so
@@ -219,7 +238,7 @@ def read_lines_with_offsets(spark, path: str, id_field: str = "docno") -> DataFr
                    F.when(F.lower("file_path").rlike(COMPRESSED), F.raise_error(F.concat(
                        F.lit("Byte offsets need uncompressed files: "), F.col("file_path"))).cast("int"))
                     .otherwise(F.octet_length("value") + 1).alias("__bytes"))
-    out = running_sum(x, "__bytes", ["row_in_split"], ["file_path", "block_start"],
+    out = running_sum(cut(x), "__bytes", ["row_in_split"], ["file_path", "block_start"],
                       bucket_order=["block_start"], reset_cols=["file_path"])
     return out.select("file_path", "doc_id", "start",
                       F.least(F.col("end"), F.col("file_size")).alias("end"))

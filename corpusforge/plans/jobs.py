@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusforge.operators.offsets import check_unique_ids, corpus_slice, json_path, read_lines_with_offsets
+from corpusforge.operators.offsets import check_unique_ids, json_path, read_lines_with_offsets, slice_by_key
 from corpusforge.plans.mappings import dataset_mapping
 from corpusforge.sources import gzip_members, sink
 from corpusforge.sources.corpus import require_documents
@@ -37,7 +37,7 @@ def index_corpus(spark: SparkSession, dataset_id: str, docs: DataFrame, meta_pat
     if start is not None or end is not None:
         if order_key is None:
             raise ValueError("A slice needs an order key (the corpus has no intrinsic order)")
-        docs = corpus_slice(docs, order_key, start, end).drop("position")
+        docs = slice_by_key(docs, order_key, start, end)
     if mapping.first_wins and order_key is not None:
         sides.setdefault("order_col", order_key)
     records = mapping.records(docs, bucket, **sides)

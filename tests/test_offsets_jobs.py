@@ -67,6 +67,38 @@ def test_corpus_slice_string_keys(spark):
     assert got == ids[5:-5]
 
 
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_plan_of_running_sums_does_not_grow_with_the_buckets(spark):
+    df = spark.range(2000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    few, many = (offsets.ordered_running_sum(df, "v", "k", num_buckets=n) for n in (2, 600))
+    strip = lambda p: len("".join(c for c in p if not c.isdigit()))
+    assert strip(_plan(few)) == strip(_plan(many))  # no bounds in the plan
+    assert {r.k: r.start for r in many.collect()} == {i: i for i in range(2000)}
+
+
+@pytest.mark.parametrize("start,end", [(None, None), (3, 10), (-20, None), (5, -5), (0, 7), (50, 10), (None, 500), (400, None), (119, 120)])
+def test_slice_by_key_moves_no_documents(spark, start, end):
+    rows = [(i // 7, f"t{i % 7}", "body") for i in range(120)]
+    df = spark.createDataFrame(rows, "conv long, turn string, text string").repartition(5)
+    got = offsets.slice_by_key(df, ["conv", "turn"], start, end, num_buckets=4)
+    assert sorted(tuple(r) for r in got.collect()) == rows[start:end]
+    assert "Window" not in _plan(got) and "Join" not in _plan(got)
+
+
+def test_slice_by_key_pushes_its_bounds_and_needs_a_total_order(spark, tmp_path):
+    spark.range(100).withColumn("x", F.lit("body")).write.parquet(str(tmp_path / "d"))
+    cut = offsets.slice_by_key(spark.read.parquet(str(tmp_path / "d")), "id", 10, 20)
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,10)" in plan and "LessThan(id,20)" in plan
+    twice = spark.createDataFrame([(i // 2,) for i in range(10)], "k int")
+    assert offsets.slice_by_key(twice, "k", 2, 4).count() == 2
+    with pytest.raises(ValueError, match="apart"):
+        offsets.slice_by_key(twice, "k", 3, None)
+
+
 def test_duplicate_ids_raise(spark):
     df = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "doc_id string")
     assert {tuple(r) for r in offsets.duplicate_ids(df, "doc_id").collect()} == {("a", 2), (None, 1)}
@@ -339,8 +371,8 @@ def test_running_sum_of_string_keys_with_payload(spark):
 def test_running_sum_splits_a_hot_first_key(spark):
     rows = [(7 if i % 10 else i, i, i % 13, "x") for i in range(20_000)]
     df = spark.createDataFrame(rows, "conv long, turn long, v long, payload string")
-    bucket = offsets.range_buckets(df, ["conv", "turn"], 16)
-    sizes = [r["count"] for r in df.groupBy(bucket.alias("b")).count().collect()]
+    dealt = offsets.in_ranges(df, ["conv", "turn"], 16)
+    sizes = [r["count"] for r in dealt.groupBy("__bucket").count().collect()]
     assert len(sizes) >= 12 and max(sizes) < 4 * 20_000 / 16
     got = offsets.ordered_running_sum(df, "v", ["conv", "turn"], num_buckets=16).collect()
     assert {(r.conv, r.turn): r.start for r in got} == _sequential(rows, lambda r: r[:2])
