@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -38,6 +39,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to a new folder in the shared one and read back, for tables read column by column."""
+    at = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return df.sparkSession.read.parquet(at)
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array; null gives none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE, -1), lambda w: w != "")

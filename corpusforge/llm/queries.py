@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import block_ann, length_buckets, license_align, line_dedup, quality_llr, simhash_bits, temperature_mix, token_counts, url_rules, weak_toxicity
+from . import (block_ann, length_buckets, license_align, line_dedup, periodic_runs, quality_llr, simhash_bits, sorted_passes, temperature_mix,
+               token_counts, token_windows, url_rules, weak_toxicity)
 from .common import table
 
 
@@ -58,9 +59,23 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_bits.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.find_runs(table(spark, sf_dir, "documents"), rewrite=periodic_runs.planted))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as files
+    return token_windows.align_tokens(table(spark, sf_dir, "documents"), files.path("byte_bpe_50k.json"), files.path("piece_bpe_32k.model"), files.PATTERN)
+
+
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sorted_passes.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_nearest_neighbours, op2_token_counts, op3_source_mixing, op4_simhash_near_dedup, op5_toxicity,
-    op6_packing, op7_url_filters, op8_license_scans, op9_quality_rules, op10_line_dedup)}
+    op6_packing, op7_url_filters, op8_license_scans, op9_quality_rules, op10_line_dedup,
+    op11_periodic_runs, op12_token_alignment, op13_embedding_near_dedup)}
 
 OP7_SQL = r"""
 with p as (select page_id,
