@@ -20,7 +20,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from corpusforge.functions import analyze, ids, text, urls  # noqa: E402
 from corpusforge.functions.html import extract_html_fields  # noqa: E402
-from corpusforge.operators import dedupe, filters, offsets, search  # noqa: E402
+from corpusforge.operators import dedupe, filters, offsets, ranked, search  # noqa: E402
 from corpusforge.plans import mappings, records, standins  # noqa: E402
 from corpusforge.sources import gzip_members, sink  # noqa: E402
 
@@ -28,8 +28,11 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 BUCKET = "corpus-bucket"
 SLICE = (100, -100)
 FILTER_LANG, FILTER_MIN, FILTER_MAX = "fr", 500, 5000
+FILTER_HOST = "thther.example.org"
+FILTER_SINCE, FILTER_UNTIL = "2022-01-02T00:00:00+00:00", "2022-01-06T00:00:00+00:00"
 TOPK = 10
 LANGS = ("en", "fr", "de", "es")
+VOCABULARY_LANGS = ("fi", "hu", "it", "pt", "ru", "sv")
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -260,6 +263,16 @@ def q_two_table_index(spark, sf_dir):
                                     F.length("_id").cast("bigint").alias("key_length"))
 
 
+def q_written_actions(spark, sf_dir):
+    # Both lines of every document, read back from the written form (the key needs BLAKE2b, which DuckDB lacks).
+    r = _plain(spark, sf_dir, "msmarco-document")
+    x = records.written_actions(r, "corpus-meta", "corpus-data")
+    fields = [("_op_type", "op"), ("_index", "idx"), ("uuid", "uuid"), ("warc_trec_id", "trec_id"), ("source_offset", "source_offset"),
+              ("title_lang_en", "title"), ("body_length", "body_length")]
+    return x.select(*[F.get_json_object("value", f"$.{f}").alias(a) for f, a in fields],
+                    F.length(F.get_json_object("value", "$._id")).cast("bigint").alias("key_length"))
+
+
 def q_upsert_last_wins(spark, sf_dir):
     d = _t(spark, sf_dir, "documents")
 
@@ -278,6 +291,22 @@ def q_collision_losers(spark, sf_dir):
     return sink.collision_losers(d, "_id", ("n_chars", "doc_id")).select("_id", "doc_id")
 
 
+def q_load_collisions(spark, sf_dir):
+    # Two loads of which the second brings other documents under keys of the first.
+    d = _t(spark, sf_dir, "documents").select(F.floor(F.col("doc_id") / 3).cast("bigint").alias("_id"), ids.doc_uuid("corpus", "doc_id").alias("uuid"), "doc_id")
+    return sink.foreign_rows(d.where("doc_id % 2 = 1 or doc_id % 5 = 0"), d.where("doc_id % 6 = 0")).select("_id", "uuid", "doc_id")
+
+
+def q_passage_parents(spark, sf_dir):
+    # Every parent twice, and the later entry counts.
+    conv = _t(spark, sf_dir, "conversations")
+    first = standins.parent_documents(conv).withColumn("position", F.lit(1))
+    later = first.withColumn("position", F.lit(2)).withColumn("title", F.concat(F.lit("Later: "), F.coalesce("title", F.lit(""))))
+    m = mappings.dataset_mapping("msmarco-passage-v2")
+    r = m.records(standins.passages(conv), BUCKET, offsets=standins.passage_offsets(conv), parents=first.unionByName(later))
+    return r.select("m_uuid", "d_warc_trec_id", "d_title", "d_warc_target_uri")
+
+
 def q_key_collisions(spark, sf_dir):
     # Real keys hardly ever collide here: a key that three documents in a row share stands in.
     d = _t(spark, sf_dir, "documents").select(F.floor(F.col("doc_id") / 3).cast("bigint").alias("_id"), ids.doc_uuid("corpus", "doc_id").alias("uuid"))
@@ -354,11 +383,35 @@ def q_postings(spark, sf_dir):
     return search.postings(_doc_terms(spark, sf_dir)).select("term", "doc_id", "tf")
 
 
+def _fielded(spark, sf_dir):
+    d = _t(spark, sf_dir, "documents").withColumn("title", F.substring_index("text", "\n", 1))
+    return search.positional_postings(d, {"title": "title", "body": "text"}, lang_col="lang", languages=LANGS)
+
+
+def q_postings_by_field(spark, sf_dir):
+    return _fielded(spark, sf_dir).select("field", "lang", "term", "doc_id", "tf", F.element_at("positions", 1).cast("bigint").alias("first"),
+                                          F.element_at("positions", -1).cast("bigint").alias("last"))
+
+
+def q_phrase_matches(spark, sf_dir):
+    # Each benchmark text is asked for as a phrase of its first five words, in every language.
+    asked = search.query_terms(_t(spark, sf_dir, "benchmark"), "item_id", "text", LANGS)
+    asked = asked.select("qid", F.lit("body").alias("field"), "lang", F.slice("tokens", 1, 5).alias("tokens"))
+    return search.phrase_matches(_fielded(spark, sf_dir).where("field = 'body'"), asked).select("qid", "lang", "doc_id", "n")
+
+
 def q_term_stats(spark, sf_dir):
     st = search.term_stats(search.postings(_doc_terms(spark, sf_dir)))
     return st.select("term", F.col("df").cast("bigint").alias("df"), F.col("cf").cast("bigint").alias("cf"))
 
 
+def q_vocabulary_terms(spark, sf_dir):
+    # The distinct words once through the chains of the languages whose stems have several stages.
+    words = ranked.word_rows(_t(spark, sf_dir, "documents"), "doc_id", "text", F.lit("default"))
+    counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select("word", "n", *[analyze.language_term(F.col("word"), l).alias(f"{l}_term") for l in VOCABULARY_LANGS])
+
+
 def q_host_facets(spark, sf_dir):
     return search.host_facets(_web_data(spark, sf_dir)).select("host", F.col("n").cast("bigint").alias("n"))
 
@@ -372,24 +425,27 @@ def q_field_filter(spark, sf_dir):
         "uuid", "warc_trec_id", "body_length")
 
 
+def q_host_filter(spark, sf_dir):
+    return search.field_filter(_web_data(spark, sf_dir), host=FILTER_HOST).select("uuid", "warc_target_hostname", "body_length")
+
+
+def q_date_filter(spark, sf_dir):
+    return search.field_filter(_web_data(spark, sf_dir), since=FILTER_SINCE, until=FILTER_UNTIL).select(
+        "uuid", records.iso_seconds("warc_date").alias("warc_date"))
+
+
 def q_bm25_topk(spark, sf_dir):
-    d = _t(spark, sf_dir, "documents")
-    post = search.postings(_doc_terms(spark, sf_dir))
-    lengths = d.select("doc_id", F.size(analyze.words(F.col("text"))).cast("bigint").alias("dl"))
-    queries = _t(spark, sf_dir, "benchmark").select(
-        F.col("item_id").alias("qid"), analyze.language_tokens(F.col("text"), "en").alias("tokens"))
-    top = search.bm25_topk(queries, post, lengths, k=TOPK)
+    # One field over all languages, and queries analysed as English, as this key's oracle has it.
+    queries = _t(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), F.lit(ranked.POOLED).alias("lang"),
+                                                    analyze.language_tokens(F.col("text"), "en").alias("tokens"))
+    top = ranked.bm25_topk(_t(spark, sf_dir, "documents"), queries, TOPK, lang_col="lang", languages=LANGS, pooled=True)
     return top.select("qid", "doc_id", "score", F.col("rank").cast("bigint").alias("rank"))
 
 
 def q_bm25_topk_by_lang(spark, sf_dir):
-    # As bm25_topk, but queries are analysed in every language; the oracle of bm25_topk analyses them as English only.
-    d = _t(spark, sf_dir, "documents")
-    post = search.postings(search.doc_terms(d, "doc_id", "text", lang_col="lang", languages=LANGS, keep_lang=True))
-    lengths = d.select("doc_id", search.analysed_lang(F.col("lang"), LANGS).alias("lang"),
-                       F.coalesce(F.size(analyze.words(F.col("text"))), F.lit(0)).cast("bigint").alias("dl"))
+    # A field per language, and queries analysed in every language.
     queries = search.query_terms(_t(spark, sf_dir, "benchmark"), "item_id", "text", LANGS)
-    top = search.bm25_topk(queries, post, lengths, k=TOPK, by_lang=True)
+    top = ranked.bm25_topk(_t(spark, sf_dir, "documents"), queries, TOPK, lang_col="lang", languages=LANGS)
     return top.select("qid", "doc_id", "score", F.col("rank").cast("bigint").alias("rank"))
 
 
@@ -424,9 +480,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_skip_report": q_quality_skip_report,
     "missing_offsets": q_missing_offsets,
     "two_table_index": q_two_table_index,
+    "written_actions": q_written_actions,
     "upsert_last_wins": q_upsert_last_wins,
     "key_collisions": q_key_collisions,
     "collision_losers": q_collision_losers,
+    "load_collisions": q_load_collisions,
+    "passage_parents": q_passage_parents,
     "typed_fields": q_typed_fields,
     "parent_metadata": q_parent_metadata,
     "keyword_lower": q_keyword_lower,
@@ -440,9 +499,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lang_tokens_de": _lang_tokens("de"),
     "lang_tokens_es": _lang_tokens("es"),
     "postings": q_postings,
+    "postings_by_field": q_postings_by_field,
+    "phrase_matches": q_phrase_matches,
     "term_stats": q_term_stats,
+    "vocabulary_terms": q_vocabulary_terms,
     "host_facets": q_host_facets,
     "field_filter": q_field_filter,
+    "host_filter": q_host_filter,
+    "date_filter": q_date_filter,
     "bm25_topk": q_bm25_topk,
     "bm25_topk_by_lang": q_bm25_topk_by_lang,
 }

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from corpusforge.operators.offsets import jsonl_lines
 from corpusforge.plans import jobs
 from corpusforge.session import get_session
+from corpusforge.sources import gzip_members
 from corpusforge.sources.corpus import read_corpus, read_offsets, read_parent_metadata, read_web_line_offsets
 
 
@@ -57,7 +58,8 @@ def main(argv=None) -> None:
     cp.add_argument("--text", nargs="+", default=["text"])
     cp.add_argument("--out", required=True)
     cp.add_argument("--manifest", required=True)
-    cp.add_argument("--files", type=int, default=64)
+    cp.add_argument("--tasks", type=int, help="tasks that write (default: as Spark shuffles)")
+    cp.add_argument("--max-file-bytes", type=int, default=gzip_members.MAX_FILE_BYTES)
     cp.add_argument("--verify", action="store_true", help="read every document back and compare")
 
     args = ap.parse_args(argv)
@@ -86,8 +88,8 @@ def main(argv=None) -> None:
         keep = [args.order_key] if args.order_key != args.id_col else []
         lines = jsonl_lines(docs.withColumn("__order", F.col(args.order_key)), args.id_col, args.text,
                             keep=["__order"] + keep)
-        res = jobs.compressed_corpus(spark, lines, "__order", args.out, args.manifest, args.files,
-                                     verify=args.verify)
+        res = jobs.compressed_corpus(spark, lines, "__order", args.out, args.manifest, args.tasks,
+                                     verify=args.verify, max_file_bytes=args.max_file_bytes)
         print(json.dumps({"documents": res.count()}))
 
 

@@ -6,12 +6,18 @@ scales with the scan. Every pattern avoids look-around and back-references,
 so Java regex and RE2 agree on it and the DuckDB oracle replays the same
 chain (``STEPS`` and tables below are data, shared by both sides).
 
+A tag is read as a parser reads it: names and attributes up to the ``>`` that
+no quoted value holds, so a ``>`` or an attribute's name inside a value does
+not count. Patterns are possessive or atomic where nothing may be given back,
+which keeps them linear in Java; RE2, which is linear anyway, takes them
+without these marks.
+
 The text is a documented near equivalent of a DOM text extractor:
 comments, ``script/style/noscript/template`` and the head are dropped,
 ``<img alt>`` texts are kept, inline tags vanish, other tags become a space,
 all character references are decoded in one pass and white space is
-collapsed. A ``>`` inside an attribute's value ends its tag here, and an
-element of class ``title`` ends at the first end tag of its own name.
+collapsed. The element of class ``title`` ends at its own end tag: the tags of
+its name that follow are counted.
 """
 
 from __future__ import annotations
@@ -23,45 +29,58 @@ from pyspark.sql import functions as F
 
 from corpusforge.functions.text import REPLACEMENT_CHAR, WS_SQUASH, WS_UNICODE_CHARS, collapse_whitespace
 
+#: What a tag holds after its name, up to its ``>``: quoted values count as a whole.
+ATTRS = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>])|=\s*+)*+"""
+#: The same, attribute by attribute, up to the white space before a wanted one.
+BEFORE_ATTR = r"""(?>[^\s>=]++|\s|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>])|=)*?"""
+#: An attribute's value in double, single or no quotes: one of three groups.
+ATTR_VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*))"""
+
+
+def open_tag(name: str) -> str:
+    return rf"<{name}(?:[\s/]{ATTRS})?>"
+
+
 # Patterns of the extraction chain. ``\z`` closes what a page leaves open.
 COMMENT_RE = r"(?s)<!--.*?(?:-->|\z)"
-RAW_TEXT_RE = (r"(?is)<(?:script|style|noscript|template)\b[^>]*>.*?"
-               r"(?:</(?:script|style|noscript|template)\s*>|\z)")
-BODY_TAG_RE = r"(?is)<body\b[^>]*>"
-FRAMESET_RE = r"(?is)<frameset\b[^>]*>"
-BEFORE_BODY_RE = r"(?is)^.*?<body\b[^>]*>"
-HEAD_ELEMENT_RE = r"(?is)<head\b[^>]*>.*?</head\s*>"
+RAW_TEXT_RE = "(?is)" + "|".join(rf"{open_tag(n)}.*?(?:</{n}(?:[\s/]{ATTRS})?>|\z)" for n in ("script", "style", "noscript", "template"))
+BODY_TAG_RE = "(?is)" + open_tag("body")
+FRAMESET_RE = "(?is)" + open_tag("frameset")
+BEFORE_BODY_RE = "(?is)^.*?" + open_tag("body")
+HEAD_ELEMENT_RE = rf"(?is){open_tag('head')}.*?</head\s*>"
 FROM_BODY_RE = r"(?is)<body\b.*$"
-SVG_RE = r"(?is)<svg\b[^>]*>.*?(?:</svg\s*>|\z)"
-# An attribute's value in double, single or no quotes: one of three groups.
-ATTR_VALUE_RE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-IMG_ALT_RE = r"(?is)<img\b[^>]*\salt" + ATTR_VALUE_RE + "[^>]*>"
+SVG_RE = rf"(?is){open_tag('svg')}.*?(?:</svg\s*>|\z)"
+IMG_ALT_RE = rf"(?is)<img\b{BEFORE_ATTR}\salt{ATTR_VALUE}{ATTRS}>"
 INLINE_TAG_RE = (r"(?i)</?(?:a|abbr|b|bdi|bdo|cite|code|data|dfn|em|font|i|kbd|mark|q|s|"
-                 r"samp|small|span|strong|sub|sup|time|u|var)\b[^>]*>")
-ANY_TAG_RE = r"(?s)</?[A-Za-z!][^>]*>"
-TITLE_RE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
+                 rf"samp|small|span|strong|sub|sup|time|u|var|wbr)(?:[\s/]{ATTRS})?>")
+ANY_TAG_RE = rf"(?s)</?[A-Za-z]{ATTRS}(?:>|\z)|<[!?][^>]*>|</[^A-Za-z>][^>]*>"
+TITLE_RE = rf"(?is){open_tag('title')}(.*?)</title\s*>"
 # A heading ends at any heading's end tag, or where the next one starts (marked ``</h0>``).
 HEADING_START_RE = r"(?i)(<h[1-6][\s>])"
 HEADING_END_RE = r"(?:</h[0-6]\s*>|\z)"
-H1_RE = r"(?is)<h1(?:\s[^>]*)?>(.*?)" + HEADING_END_RE
-H2_RE = r"(?is)<h2(?:\s[^>]*)?>(.*?)" + HEADING_END_RE
-# Tag name and all that follows the first element of class ``title``.
-TITLE_CLASS_RE = (r"(?is)<([A-Za-z][A-Za-z0-9]*)(?:\s[^>]*)?\sclass\s*=\s*"
-                  r"""(?:"(?:[^"]*\s)?title(?:\s[^"]*)?"[^>]*|'(?:[^']*\s)?title(?:\s[^']*)?'[^>]*|"""
-                  r"title(?:[\s/][^>]*)?)>(.*)$")
-CONTENT_ATTR_RE = r"(?is)\scontent" + ATTR_VALUE_RE
+H1_RE = rf"(?is){open_tag('h1')}(.*?)" + HEADING_END_RE
+H2_RE = rf"(?is){open_tag('h2')}(.*?)" + HEADING_END_RE
+# The tag of the first element of class ``title`` and all that follows.
+TITLE_CLASS_RE = (rf"(?is)<[a-z][a-z0-9]*{BEFORE_ATTR}\sclass\s*=\s*"
+                  rf"""(?:"(?:[^"]*\s)?title(?:\s[^"]*)?"{ATTRS}|'(?:[^']*\s)?title(?:\s[^']*)?'{ATTRS}|"""
+                  rf"title(?:[\s/]{ATTRS})?)>.*$")
+FIRST_NAME_RE = r"^<([A-Za-z0-9]+)"
+FIRST_TAG_RE = rf"(?s)^<[A-Za-z]{ATTRS}>"
+CONTENT_ATTR_RE = rf"(?is)^<meta{BEFORE_ATTR}\scontent{ATTR_VALUE}"
 HTML_LANG_RE = r"""(?is)<html\b[^>]*\slang\s*=\s*["']?([A-Za-z_\-]+)"""
-ARTICLE_RE = r"(?is)<article\b[^>]*>(.*)</article\s*>"
+ARTICLE_RE = rf"(?is){open_tag('article')}(.*)</article\s*>"
+#: Around a name: its start and end tags; the group is the end tag's slash.
+OWN_TAGS_RE = ("(?is)<(/?)", rf"(?:[\s/]{ATTRS})?>")
 
 
 def meta_tag_re(name: str) -> str:
     """The first ``<meta>`` tag of a name, in any quoting."""
-    return (rf"(?is)<meta(?:\s[^>]*)?\sname\s*=\s*(?:\"{name}\"[^>]*|'{name}'[^>]*|"
-            rf"{name}(?:[\s/][^>]*)?)>")
+    return (rf"(?is)<meta{BEFORE_ATTR}\sname\s*=\s*(?:\"{name}\"{ATTRS}|'{name}'{ATTRS}|"
+            rf"{name}(?:[\s/]{ATTRS})?)>")
 
 
 def heading_re(max_level: int) -> str:
-    return rf"(?is)<h[1-{max_level}](?:\s[^>]*)?>(.*?)" + HEADING_END_RE
+    return rf"(?is){open_tag(f'h[1-{max_level}]')}(.*?)" + HEADING_END_RE
 
 
 META_DESC_TAG_RE = meta_tag_re("description")
@@ -73,7 +92,7 @@ NAMED_REFERENCES = {n[:-1]: c for n, c in html5.items() if n.endswith(";")}
 BARE_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
 # The characters that bytes 128 to 159 stand for; the five without one stay control characters.
 WESTERN_80_9F = "".join(bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0))
-NUMERIC_REF_RE = r"^#(?:0*([0-9]{1,7})|[xX]0*([0-9a-fA-F]{1,6}));?"
+NUMERIC_REF_RE = r"^#(?:0*([0-9]+)|[xX]0*([0-9a-fA-F]+));?"
 NAMED_REF_RE = r"^([A-Za-z][A-Za-z0-9]*);"
 BARE_REF_RE = "^(" + "|".join(BARE_NAMES) + ")"
 
@@ -113,17 +132,22 @@ def unescape(c) -> Column:
     def rest(s: Column, used: Column) -> Column:
         return s.substr(used + 1, F.length(s))
 
+    def digits(found: Column, keep: int) -> Column:
+        """At most as many digits as tell a character from what is too large to be one."""
+        return F.when(F.length(found) > keep, F.lit("9" * keep)).otherwise(found)
+
     def piece(s: Column, i: Column) -> Column:
         dec, hexa = F.regexp_extract(s, NUMERIC_REF_RE, 1), F.regexp_extract(s, NUMERIC_REF_RE, 2)
-        number = F.when(dec != "", dec.cast("bigint")).otherwise(F.conv(hexa, 16, 10).cast("bigint"))
-        named = F.try_element_at(table, F.regexp_extract(s, NAMED_REF_RE, 1))
+        number = F.when(dec != "", digits(dec, 8).cast("bigint")).otherwise(F.conv(digits(hexa, 7), 16, 10).cast("bigint"))
+        numeric = F.when((dec != "") | (hexa != ""),
+                         F.concat(_code_point(number), rest(s, F.length(F.regexp_extract(s, NUMERIC_REF_RE, 0)))))
+        # A null means that the step did not apply, so each name is looked up once.
+        named = F.concat(F.try_element_at(table, F.regexp_extract(s, NAMED_REF_RE, 1)), rest(s, F.length(F.substring_index(s, ";", 1)) + 1))
         bare = F.regexp_extract(s, BARE_REF_RE, 1)
-        return (F.when(i == 0, s)
-                 .when((dec != "") | (hexa != ""),
-                       F.concat(_code_point(number), rest(s, F.length(F.regexp_extract(s, NUMERIC_REF_RE, 0)))))
-                 .when(named.isNotNull(), F.concat(named, rest(s, F.length(F.substring_index(s, ";", 1)) + 1)))
-                 .when(bare != "", F.concat(F.try_element_at(table, bare), rest(s, F.length(bare))))
-                 .otherwise(F.concat(F.lit("&"), s)))
+        old = F.when(bare != "", F.concat(F.try_element_at(table, bare), rest(s, F.length(bare))))
+        as_is = F.concat(F.lit("&"), s)
+        return (F.when(i == 0, s).when(F.startswith(s, F.lit("#")), F.coalesce(numeric, as_is))
+                 .otherwise(F.coalesce(named, old, as_is)))
 
     def decoded(text: Column) -> Column:
         parts = F.transform(F.split(text, "&", -1), piece)
@@ -159,6 +183,23 @@ def element_text(fragment) -> Column:
     return collapse_whitespace(unescape(F.regexp_replace(_col(fragment), ANY_TAG_RE, "")))
 
 
+def inner_html(rest: Column, name: Column) -> Column:
+    """What an element holds, without tags of its own name: ``rest`` follows its start tag.
+
+    A start tag of the name goes a level down and an end tag a level up; the
+    element ends where the level comes to zero, or with the page. A paragraph
+    ends where the next one starts.
+    """
+    pattern = F.concat(F.lit(OWN_TAGS_RE[0]), name, F.lit(OWN_TAGS_RE[1]))
+    step = lambda slash: F.when((slash == "/") | (name == "p"), F.lit(-1)).otherwise(F.lit(1))
+    state = F.aggregate(F.regexp_extract_all(rest, pattern, 1), F.struct(F.lit(1).alias("level"), F.lit(0).alias("n")),
+                        lambda a, slash: F.when(a["level"] == 0, a).otherwise(
+                            F.struct((a["level"] + step(slash)).alias("level"), (a["n"] + 1).alias("n"))))
+    pieces = F.split(rest, pattern, -1)
+    ended = F.array_join(F.slice(pieces, F.lit(1), state["n"]), "")
+    return F.when(name == "", F.lit("")).when(state["level"] == 0, ended).otherwise(F.array_join(pieces, ""))
+
+
 def _attr(tag: Column, pattern: str) -> Column:
     """The value of an attribute in any quoting, undecoded."""
     return F.concat(*[F.regexp_extract(tag, pattern, g) for g in (1, 2, 3)])
@@ -208,16 +249,15 @@ def extract_html_fields(df: DataFrame, html: str = "html", prefix: str = "",
         t + "title": F.regexp_extract(F.regexp_replace(c, SVG_RE, " "), TITLE_RE, 1),
         t + "h1": F.regexp_extract(marked, H1_RE, 1),
         t + "h2": F.regexp_extract(marked, H2_RE, 1),
-        t + "tn": F.lower(F.regexp_extract(body, TITLE_CLASS_RE, 1)),
-        t + "tr": F.regexp_extract(body, TITLE_CLASS_RE, 2),
+        t + "tc": F.regexp_extract(body, TITLE_CLASS_RE, 0),
         t + "desc": F.regexp_extract(head, META_DESC_TAG_RE, 0),
         t + "kw": F.regexp_extract(head, META_KEYWORDS_TAG_RE, 0),
         t + "article": F.regexp_extract(body, ARTICLE_RE, 1),
         t + "headings": F.regexp_extract_all(marked, F.lit(heading_re(max_heading_level)), 1),
     })
-    # The element of class title reaches to the first end tag of its name, or to the end.
-    end = F.instr(F.lower(F.col(t + "tr")), F.concat(F.lit("</"), F.col(t + "tn")))
-    title_class = F.when(end > 0, F.col(t + "tr").substr(F.lit(1), end - 1)).otherwise(F.col(t + "tr"))
+    out = out.withColumns({t + "tn": F.lower(F.regexp_extract(F.col(t + "tc"), FIRST_NAME_RE, 1)),
+                           t + "tr": F.regexp_replace(F.col(t + "tc"), FIRST_TAG_RE, "")})
+    title_class = inner_html(F.col(t + "tr"), F.col(t + "tn"))
     # Texts of their own stage: each is used more than once below.
     out = out.withColumns({
         t + "x0": collapse_whitespace(unescape(F.col(t + "title"))),
@@ -243,5 +283,5 @@ def extract_html_fields(df: DataFrame, html: str = "html", prefix: str = "",
     article = F.col(t + "article")
     out = out.withColumn(f"{p}main_text", F.when(article != "", fragment_text(article))
                          .otherwise(F.col(f"{p}full_text")))
-    return out.drop(*[t + x for x in ("clean", "hasbody", "frames", "head", "body", "marked", "title", "h1", "h2", "tn", "tr",
+    return out.drop(*[t + x for x in ("clean", "hasbody", "frames", "head", "body", "marked", "title", "h1", "h2", "tc", "tn", "tr",
                                       "desc", "kw", "article", "headings", "x0", "x1", "x2", "x3", "xd", "xk", "full")])

@@ -1,18 +1,13 @@
-"""Postings, field statistics, facets, filters and BM25 top-k.
-
-* Postings are ``(term, doc_id, tf)`` from a partial aggregate over exploded
-  tokens: the shuffle key is the pair, so a very common term spreads over
-  all reducers.
-* BM25 joins the (small) query-term table to the postings. The query side
-  is broadcast only when its row count is measured under a bound; beyond it
-  the join is a plain shuffle join (AQE splits skewed terms).
-* Top-k per query is ``row_number`` over a per-query window with a limit,
-  which Spark runs as a partial window-group limit before the shuffle.
+"""Postings, field statistics, facets and filters (K7, K8, K10); ``ranked`` has BM25.
+
+Postings are ``(term, doc_id, tf)`` from a partial aggregate over exploded
+tokens: the shuffle key is the pair, so a very common term spreads over all
+reducers.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusforge.functions import analyze
@@ -84,54 +79,68 @@ def postings_from_tokens(tokens: DataFrame, doc_col: str = "doc_id", tokens_col:
                                   F.explode(tokens_col).alias("term")))
 
 
-def term_stats(post: DataFrame) -> DataFrame:
-    """Per-term document frequency and collection frequency (K8)."""
-    return post.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+def positional_postings(docs: DataFrame, fields: dict[str, str], doc_col: str = "doc_id", lang_col: str | None = None,
+                        languages=("en", "fr", "de", "es")) -> DataFrame:
+    """``(field, lang, term, doc_id, tf, dl, positions)`` for every term of every field (K8).
+
+    ``fields`` names the text column of each field. ``lang`` is the language
+    whose analyzer the field got; positions count words from 0, ascending; a
+    term of one document is gathered in one row, never a term of all.
+    """
+    lang = analysed_lang(F.col(lang_col), languages) if lang_col else F.lit("default")
+    texts = F.array(*[F.struct(F.lit(f).alias("field"), F.col(c).cast("string").alias("text")) for f, c in fields.items()])
+    rows = docs.select(F.col(doc_col).alias("doc_id"), lang.alias("lang"), F.inline(texts))
+    rows = rows.select("doc_id", "lang", "field", analyze.words(F.col("text")).alias("ws")).withColumn("dl", F.size("ws").cast("bigint"))
+    words = rows.select("doc_id", "lang", "field", "dl", F.posexplode_outer("ws").alias("position", "word")).where("word is not null")
+    terms = words.withColumn("term", analyze.term_for_language(F.col("word"), F.col("lang"), languages))
+    return terms.groupBy("field", "lang", "term", "doc_id", "dl").agg(
+        F.count(F.lit(1)).alias("tf"), F.sort_array(F.collect_list("position")).alias("positions"))
+
+
+POSTING_PARTS = 64
+
+
+def _part(field: Column, lang: Column, term: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(field, lang, term), F.lit(parts)).cast("int")
 
 
-def bm25_topk(query_tokens: DataFrame, post: DataFrame, doc_lengths: DataFrame, k: int = 10,
-              k1: float = K1, b: float = B, precision: int = 6, by_lang: bool = False) -> DataFrame:
-    """Top-``k`` documents per query by BM25 (K9).
+def write_postings(post: DataFrame, path: str, parts: int = POSTING_PARTS) -> None:
+    """Positional postings as a table of ``parts`` folders by term hash, each file in runs by term and document.
 
-    ``query_tokens``: ``(qid, tokens)``; ``post``: ``(term, doc_id, tf, dl)``;
-    ``doc_lengths``: ``(doc_id, dl)`` of every indexed document (for N and
-    the average length, taken as scalar subqueries). Postings are first cut
-    to the query terms, so document frequencies are only computed for
-    them. Scores are rounded to ``precision`` decimals before ranking, so
-    the summation order of floating-point terms cannot reorder equal scores;
-    ties go to the smaller ``doc_id``. A term repeated in a query counts
-    once per occurrence.
+    A folder's rows are split by size where a very common term fills it.
+    """
+    dealt = post.withColumn("part", _part(F.col("field"), F.col("lang"), F.col("term"), parts)).hint("rebalance", F.col("part"))
+    dealt.sortWithinPartitions("part", "field", "lang", "term", "doc_id").write.mode("overwrite").partitionBy("part").parquet(path)
+
+
+def read_postings(post_path: str, terms: DataFrame, parts: int = POSTING_PARTS) -> DataFrame:
+    """The stored postings of ``terms`` (field, lang, term): only their folders are read, and runs of other terms are skipped."""
+    spark = terms.sparkSession
+    wanted = terms.select("field", "lang", "term").distinct()
+    folders = [r[0] for r in wanted.select(_part(F.col("field"), F.col("lang"), F.col("term"), parts)).distinct().collect()]  # at most ``parts``
+    stored = spark.read.parquet(post_path).where(F.col("part").isin(folders)).drop("part")
+    return stored.join(wanted, ["field", "lang", "term"], "left_semi")
+
+
+def phrase_matches(post: DataFrame, phrases: DataFrame) -> DataFrame:
+    """``(qid, field, lang, doc_id, n)``: documents that hold a phrase's terms at consecutive positions, and how often.
 
-    With ``by_lang`` all three inputs have a ``lang``, and each language is a
-    field of its own: terms meet only within a language, and N, the average
-    length and document frequencies are the language's. The ranking is over
-    the documents of all languages.
+    ``phrases``: ``(qid, field, lang, tokens)``. A posting of the phrase's i-th
+    term at position p speaks for a match at p - i; a match has all its terms.
+    Postings are cut to the phrases' terms first, and starts are counted with
+    a partial step, so a common term's postings are spread over all tasks.
     """
-    key = ["lang", "term"] if by_lang else ["term"]
-    if not by_lang:
-        # One scalar subquery (a single scan) yields both collection statistics.
-        stats = doc_lengths.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))).scalar()
-        n_docs, avgdl = stats["n"], stats["avgdl"]
-    qterms = (query_tokens.select("qid", *key[:-1], F.explode("tokens").alias("term"))
-              .groupBy("qid", *key).agg(F.count(F.lit(1)).alias("qtf")))
-    terms = qterms.select(*key).distinct()
-    post_q = post.join(terms, key, "left_semi")
-    dfs = post_q.groupBy(*key).agg(F.count(F.lit(1)).alias("df"))
-    weighted = qterms.join(dfs, key)
-    if by_lang:
-        # One row per analyzed language, so the broadcast is bounded.
-        weighted = weighted.join(F.broadcast(doc_lengths.groupBy("lang").agg(
-            F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))), "lang")
-        n_docs, avgdl = F.col("n"), F.col("avgdl")
-    weighted = weighted.withColumn(
-        "idf", F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5)))
-    hits = post_q.join(weighted, key)
-    norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("dl") / avgdl)
-    part = F.col("qtf") * F.col("idf") * F.col("tf") / (F.col("tf") + norm)
-    scores = hits.groupBy("qid", "doc_id").agg(F.round(F.sum(part), precision).alias("score"))
-    w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("doc_id").asc())
-    return (scores.withColumn("rank", F.row_number().over(w))
-                  .filter(F.col("rank") <= k))
+    asked = phrases.where(F.size("tokens") > 0).select("qid", "field", "lang", F.size("tokens").alias("size"), F.posexplode("tokens").alias("i", "term"))
+    cut = post.join(asked.select("field", "lang", "term").distinct(), ["field", "lang", "term"], "left_semi")
+    starts = cut.join(asked, ["field", "lang", "term"]).select(
+        "qid", "field", "lang", "doc_id", "size", F.explode("positions").alias("p"), "i")
+    found = starts.groupBy("qid", "field", "lang", "doc_id", "size", (F.col("p") - F.col("i")).alias("start")).agg(F.count(F.lit(1)).alias("held"))
+    return found.where("held = size").groupBy("qid", "field", "lang", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def term_stats(post: DataFrame) -> DataFrame:
+    """Per-term document frequency and collection frequency (K8)."""
+    return post.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
 
 
 def host_facets(data: DataFrame, host_col: str = "warc_target_hostname") -> DataFrame:

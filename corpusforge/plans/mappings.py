@@ -9,7 +9,7 @@ are DataFrames joined on their keys, never driver dictionaries.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from typing import Callable
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,6 +69,28 @@ def attach_offsets(docs: DataFrame, offsets: DataFrame, strict: bool = True) ->
     return joined
 
 
+def last_parents(parents: DataFrame) -> DataFrame:
+    """One row for each parent document: of repeated entries the last in the order of
+    ``position`` (a file's line number, where the table has it), else the greatest (E2)."""
+    order = [c for c in ("position",) if c in parents.columns]
+    entry = F.struct(*order, F.col("title"), F.col("url"))
+    last = parents.where("doc_id is not null").groupBy(F.col("doc_id").cast("string").alias("parent_id")).agg(F.max(entry).alias("p"))
+    return last.select("parent_id", F.col("p.title").alias("p_title"), F.col("p.url").alias("p_url"))
+
+
+def last_line_offsets(line_offsets: DataFrame) -> DataFrame:
+    """One row for each (stem, doc_no), as a repeated line must not double a document.
+
+    A null does not hide an offset that another row has.
+    """
+    return line_offsets.groupBy(F.col("stem").alias("__stem"), F.col("doc_no").alias("__doc_no")).agg(
+        F.max("html_offset").alias("html_offset"), F.max("txt_offset").alias("txt_offset"))
+
+
+def _required(offset: str, doc_id: str = "doc_id") -> Column:
+    return F.coalesce(offset, F.raise_error(F.concat(F.lit("No line offset for document "), F.col(doc_id), F.lit(f" ({offset})"))).cast("bigint")).alias(offset)
+
+
 def missing_offsets(docs: DataFrame, offsets: DataFrame) -> DataFrame:
     """Documents without an offset entry."""
     return docs.join(offsets.select(F.col("doc_id").cast("string").alias("doc_id")), "doc_id", "left_anti")
@@ -100,6 +122,7 @@ class PlainSpec:
     meta: str = "full"                # full | plaintext
     first_wins: bool = False
     wikidata: bool = False
+    text_fields: tuple[str, ...] = ("text",)  # what makes up the default text, where the corpus has these fields
 
 
 def _lit_or(fn_or_str, df):
@@ -108,9 +131,15 @@ def _lit_or(fn_or_str, df):
 
 def build_plain(mapping: CorpusMapping, docs: DataFrame, bucket: str | None,
                 offsets: DataFrame | None = None, parents: DataFrame | None = None,
-                text_fields=("text",), order_col: str | None = None) -> DataFrame:
-    """Records for the plain-text corpora."""
+                text_fields: Sequence[str] | None = None, order_col: str | None = None) -> DataFrame:
+    """Records for the plain-text corpora.
+
+    The default text (C14) is made up of ``text_fields``; without them of the
+    corpus's own fields, or of ``text`` where the documents lack these.
+    """
     spec: PlainSpec = PLAIN_SPECS[mapping.name]
+    if text_fields is None:
+        text_fields = spec.text_fields if set(spec.text_fields) <= set(docs.columns) else ("text",)
     df = docs.withColumn("doc_id", F.col("doc_id").cast("string"))
     if spec.first_wins:
         if order_col is None:
@@ -125,8 +154,7 @@ def build_plain(mapping: CorpusMapping, docs: DataFrame, bucket: str | None,
     else:
         offset, length = F.lit(0).cast("bigint"), None
     if parents is not None:
-        par = parents.select(F.col("doc_id").cast("string").alias("parent_id"),
-                             F.col("title").alias("p_title"), F.col("url").alias("p_url"))
+        par = last_parents(parents)
         df = df.join(par, df["parent_doc_id"].cast("string") == par["parent_id"], "left")
         df = df.withColumn("p_title", F.when(F.col("parent_id").isNull(), F.raise_error(
             F.concat(F.lit("No parent document for passage "), F.col("doc_id")))).otherwise(F.col("p_title")))
@@ -196,17 +224,19 @@ def _v21_path(df):
 
 
 PLAIN_SPECS: dict[str, PlainSpec] = {
-    "msmarco-document": PlainSpec(2018, 1, "s3://corpus-msmarco-document-v1/corpus.jsonl", "corpus.jsonl"),
+    "msmarco-document": PlainSpec(2018, 1, "s3://corpus-msmarco-document-v1/corpus.jsonl", "corpus.jsonl",
+                                  text_fields=("title", "body")),
     "msmarco-passage": PlainSpec(2016, 1, "s3://corpus-msmarco-passage-v1/corpus.jsonl", "corpus.jsonl",
                                  url=False, title="passage"),
-    "msmarco-document-v2": PlainSpec(2021, 1, "s3://corpus-msmarco-document-v2/corpus.jsonl", "corpus.jsonl"),
+    "msmarco-document-v2": PlainSpec(2021, 1, "s3://corpus-msmarco-document-v2/corpus.jsonl", "corpus.jsonl",
+                                     text_fields=("title", "headings", "body")),
     "msmarco-passage-v2": PlainSpec(2021, 1, "s3://corpus-msmarco-passage-v2/corpus.jsonl", "corpus.jsonl"),
     "msmarco-document-v2.1": PlainSpec(
         2022, 1, lambda df: F.concat(F.lit("s3://corpus-msmarco-document-v2.1/"), F.col("__loc.path")),
-        _v21_path, offset="id"),
+        _v21_path, offset="id", text_fields=("title", "headings", "body")),
     "msmarco-document-v2.1/segmented": PlainSpec(
         2022, 1, lambda df: F.concat(F.lit("s3://corpus-msmarco-document-v2.1-segmented/"), F.col("__loc.path")),
-        _v21_path, offset="id"),
+        _v21_path, offset="id", text_fields=("title", "headings", "segment")),
     "vaswani/plain": PlainSpec(2010, 1, "", "documents.jsonl", offset="zero", url=False, title="none",
                                meta="plaintext"),
     "trec-tot/2024": PlainSpec(2024, 1, "s3://corpus-trec-tot-2024/corpus.jsonl", "corpus.jsonl",
@@ -260,12 +290,10 @@ def build_web(mapping: CorpusMapping, docs: DataFrame, bucket: str | None,
         df = df.filter(F.col("skip_reason").isNull() & (F.col("__barrier") >= 0))
     df = urls.with_url_parts(df, "url", "__url_")
     df = df.withColumn("__loc", web_doc_location(F.col("doc_id")))
-    lo = line_offsets.select(F.col("stem").alias("__stem"), F.col("doc_no").alias("__doc_no"),
-                             "html_offset", "txt_offset")
+    lo = last_line_offsets(line_offsets)
     df = df.join(lo, (F.col("__loc.stem") == F.col("__stem")) & (F.col("__loc.doc_no") == F.col("__doc_no")), "left")
-    # A document without a line in the offsets file fails the job (E3); a null key would swallow it.
-    df = df.withColumn("html_offset", F.coalesce("html_offset", F.raise_error(
-        F.concat(F.lit("No line offset for document "), F.col("doc_id"))).cast("bigint")))
+    # A document without a line in either format's offsets file fails the job (E3); a null key would swallow it.
+    df = df.withColumns({c: _required(c) for c in ("html_offset", "txt_offset")})
     doc_id = F.col("doc_id")
     uuid = ids.doc_uuid(mapping.corpus_prefix, doc_id)
     html_path = F.concat(F.lit("html/"), F.col("__loc.stem"), F.lit(WEB_FORMATS["html"][1]))

@@ -72,18 +72,39 @@ def field_kind(name: str, table: str = "data") -> str:
 KIND_TYPES = {"long": "bigint", "byte": "tinyint", "float": "float", "date": "timestamp"}
 
 
+# An address of kind ``ip``: four numbers up to 255, or groups of hexadecimal digits that
+# may be shortened once and may end in four numbers.
+_OCTETS = r"(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+_GROUP = "[0-9A-Fa-f]{1,4}"
+
+
+def _is_ip(c: Column) -> Column:
+    """Whether a string is an IPv4 or IPv6 address."""
+    # Four numbers at the end stand for two groups; then only groups and one shortening are left.
+    groups = F.regexp_replace(c, f"(?<=:){_OCTETS}$", "0:0")
+    n = F.size(F.filter(F.split(groups, ":", -1), lambda g: g != ""))
+    full = groups.rlike(f"^{_GROUP}(?::{_GROUP}){{7}}$")
+    short = groups.rlike(f"^(?:{_GROUP}(?::{_GROUP})*)?::(?:{_GROUP}(?::{_GROUP})*)?$") & (n <= 7)
+    return c.rlike(f"^{_OCTETS}$") | full | short
+
+
 def typed_fields(df: DataFrame, table: str = "data") -> DataFrame:
     """Columns cast to their field's type (K1), and ``bad_fields``: the names of
     those that hold a value their type cannot read (the value becomes null).
 
     No row is lost: ``bad_fields`` is empty for rows to write, and the others
-    can be set aside.
+    can be set aside (``sink.write_typed``).
     """
-    types = {c: KIND_TYPES.get(field_kind(c, table)) for c in df.columns}
-    bad = [F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.lit(c)) for c, t in types.items() if t]
+    kinds = {c: field_kind(c, table) for c in df.columns}
+
+    def value(c: str) -> Column:
+        if kinds[c] == "ip":
+            return F.when(_is_ip(F.col(c)), F.col(c))
+        return F.col(c).try_cast(KIND_TYPES[kinds[c]]) if kinds[c] in KIND_TYPES else F.col(c)
+    checked = [c for c, k in kinds.items() if k == "ip" or k in KIND_TYPES]
+    bad = [F.when(F.col(c).isNotNull() & value(c).isNull(), F.lit(c)) for c in checked]
     bad_fields = F.filter(F.array(*bad), lambda c: c.isNotNull()) if bad else F.array().cast("array<string>")
-    return df.select(*[(F.col(c).try_cast(t) if t else F.col(c)).alias(c) for c, t in types.items()],
-                     bad_fields.alias("bad_fields"))
+    return df.select(*[value(c).alias(c) for c in df.columns], bad_fields.alias("bad_fields"))
 
 
 def _typed(value, dtype) -> Column:
@@ -145,27 +166,46 @@ def written_value(name: str, dtype) -> Column:
     return c.cast("string")
 
 
-def wide_json(table: DataFrame, fields=DATA_FIELDS) -> Column:
-    """One JSON object per row: language fields renamed ``{field}_lang_{lang}``,
-    nulls left out, values written as strings (J1-J3)."""
-    lang = F.col("lang") if "lang" in table.columns else F.lit(None).cast("string")
+def _inner_json(fields, prefix: str, lang: Column) -> Column:
+    """The members of a record's JSON object, without its braces."""
     plain = [(n, t) for n, t in fields if n not in LANGUAGE_FIELDS]
     lang_str = [(n, t) for n, t in fields if n in LANGUAGE_FIELDS and not isinstance(t, ArrayType)]
     lang_arr = [(n, t) for n, t in fields if n in LANGUAGE_FIELDS and isinstance(t, ArrayType)]
-    base = F.to_json(F.struct(*[written_value(n, t).alias(n) for n, t in plain]))
+    base = F.to_json(F.struct(*[written_value(prefix + n, t).alias(n) for n, t in plain]))
 
     def suffixed(group) -> Column:
         # Without a language the fields keep their plain names.
         keys = F.array(*[F.coalesce(F.concat(F.lit(n + "_lang_"), lang), F.lit(n)) for n, _ in group])
-        vals = F.array(*[written_value(n, t) for n, t in group])
+        vals = F.array(*[written_value(prefix + n, t) for n, t in group])
         m = F.map_filter(F.map_from_arrays(keys, vals), lambda k, v: v.isNotNull())
         return F.to_json(m)
 
     def inner(js: Column) -> Column:
         return F.regexp_replace(js, r"^\{|\}$", "")
 
-    parts = F.array(inner(base), inner(suffixed(lang_str)), inner(suffixed(lang_arr)))
-    return F.concat(F.lit("{"), F.array_join(F.filter(parts, lambda p: p != ""), ","), F.lit("}"))
+    parts = F.array(inner(base), *[inner(suffixed(g)) for g in (lang_str, lang_arr) if g])
+    return F.array_join(F.filter(parts, lambda p: p != ""), ",")
+
+
+def wide_json(table: DataFrame, fields=DATA_FIELDS) -> Column:
+    """One JSON object per row: language fields renamed ``{field}_lang_{lang}``,
+    nulls left out, values written as strings (J1-J3)."""
+    lang = F.col("lang") if "lang" in table.columns else F.lit(None).cast("string")
+    return F.concat(F.lit("{"), _inner_json(fields, "", lang), F.lit("}"))
+
+
+def written_actions(records: DataFrame, meta_index: str, data_index: str) -> DataFrame:
+    """``value``: the written form of a record frame, two JSON lines a document.
+
+    Each line is an action's envelope and the record's fields in one object;
+    a document's meta line comes right before its data line.
+    """
+    def action(index: str, members: Column) -> Column:
+        envelope = F.to_json(F.struct(F.lit("index").alias("_op_type"), F.lit(index).alias("_index"), F.col("_id").alias("_id")))
+        return F.concat(F.regexp_replace(envelope, r"\}$", ""), F.when(members != "", F.lit(",")).otherwise(F.lit("")), members, F.lit("}"))
+    both = F.array(action(meta_index, _inner_json(META_FIELDS, "m_", F.lit(None).cast("string"))),
+                   action(data_index, _inner_json(DATA_FIELDS, "d_", F.col("d_lang"))))
+    return records.select(F.explode(both).alias("value"))
 
 
 def stored_view(wide: DataFrame) -> DataFrame:

@@ -122,7 +122,12 @@ def inject_page_features(pages: DataFrame) -> DataFrame:
     body_extra = F.concat(F.lit('<article><h2 class="sub"> Part &amp; '), pid,
                           F.lit(' </h2><img src="a.png" alt="Figure '), pid,
                           F.lit('"><div class="page title">Shown '), pid, F.lit("</div>"))
-    html = F.replace(html, F.lit("<article>"), body_extra)
+    # Tags that only a reader of attribute values and matching end tags gets right.
+    hard = F.concat(F.lit('<article><div data-x="a>b" class="title">Outer <div>in '), pid,
+                    F.lit('</div> tail</div><p title="1 > 0">Hi wor<wbr>d</p><img data-x="x alt=no" alt="c > d">'))
+    is_hard = F.col("page_id") % 5 == 2
+    html = F.replace(html, F.lit("<article>"), F.when(is_hard, hard).otherwise(body_extra))
+    html = F.when(is_hard, F.replace(html, F.lit('name="description"'), F.lit('name="description" data-x="a>b"'))).otherwise(html)
     html = F.when(F.col("page_id") % 3 == 0,
                   F.regexp_replace(html, r"(?s)<title>.*?</title>", "<title> </title>")).otherwise(html)
     html = F.when(F.col("page_id") % 6 == 0,

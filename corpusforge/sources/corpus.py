@@ -39,28 +39,44 @@ def read_offsets(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     return spark.read.schema(OFFSETS_SCHEMA).format(fmt).load(path)
 
 
+#: An entry of a legacy offsets file up to its closing brace: the quoted id and what the inner object holds.
+ENTRY_RE = r'^[\s,{]*("(?:[^"\\]|\\.)*")\s*:\s*\{([^{}]*)$'
+
+
 def import_offsets_dict(spark: SparkSession, path: str) -> DataFrame:
     """Import a legacy offsets file: one (gzip) JSON object ``{id: {start, end}}`` (A4).
 
-    The object is parsed as a map and exploded into rows. A single JSON
-    object cannot be split, so this is a one-time conversion: write the
-    result as a table and read that afterwards.
+    The file is read in pieces that end at closing braces, so Spark splits an
+    uncompressed one over its tasks (a gzip file is one task's, piece by
+    piece). A piece that is not one entry, or an entry without both numbers,
+    fails the job, such as an id that holds a brace.
     """
-    text = spark.read.text(path, wholetext=True)
-    parsed = text.select(F.explode(F.from_json("value", "map<string,struct<start:bigint,end:bigint>>"))
-                         .alias("doc_id", "range"))
-    return parsed.select("doc_id", F.col("range.start").alias("start"), F.col("range.end").alias("end"))
+    pieces = spark.read.text(path, lineSep="}").where(~F.col("value").rlike(r"^\s*$"))
+    named, inner = F.regexp_extract("value", ENTRY_RE, 1), F.regexp_extract("value", ENTRY_RE, 2)
+    doc_id = F.get(F.from_json(F.concat(F.lit("["), named, F.lit("]")), "array<string>"), 0)
+    span = F.from_json(F.concat(F.lit("{"), inner, F.lit("}")), "start bigint, end bigint")
+    found = pieces.select("value", doc_id.alias("doc_id"), span.alias("span"))
+    ok = F.col("doc_id").isNotNull() & F.col("span.start").isNotNull() & F.col("span.end").isNotNull()
+    # An empty object is one piece of an opening brace alone.
+    found = found.where(ok | ~F.col("value").rlike(r"^\s*\{\s*$"))
+    failed = F.raise_error(F.concat(F.lit("Not an entry of an offsets file: "), F.substring("value", 1, 200)))
+    return found.select("doc_id", F.when(ok, F.col("span.start")).otherwise(failed.cast("bigint")).alias("start"), F.col("span.end").alias("end"))
 
 
 def read_parent_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """Parent-document metadata from JSON lines: ``original_document.{doc_id,title,url}`` (A5)."""
+    """Parent-document metadata from JSON lines: ``original_document.{doc_id,title,url}`` (A5).
+
+    ``position`` orders the lines of all files, so that of repeated entries the last one can count.
+    """
     schema = StructType([StructField("original_document", StructType([
         StructField("doc_id", StringType()), StructField("title", StringType()),
         StructField("url", StringType())]))])
     df = spark.read.schema(schema).json(path)
     return df.select(F.col("original_document.doc_id").alias("doc_id"),
                      F.col("original_document.title").alias("title"),
-                     F.col("original_document.url").alias("url"))
+                     F.col("original_document.url").alias("url"),
+                     F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                              F.monotonically_increasing_id().alias("row")).alias("position"))
 
 
 def read_line_offsets(spark: SparkSession, path: str, stem_pattern: str = r"([^/]+/[^/]+/[^/.]+)\.[^/]*$") -> DataFrame:

@@ -9,6 +9,7 @@ from oracle.duck import q
 
 BUCKET = "corpus-bucket"
 LANGS = ("en", "fr", "de", "es")
+VOCABULARY_LANGS = ("fi", "hu", "it", "pt", "ru", "sv")
 
 BIGINT_COLS = {"m_source_offset", "m_content_length", "m_plaintext_source_offset", "d_body_length",
                "m_http_content_length"}
@@ -260,6 +261,11 @@ ORACLE_SQL["field_filter"] = (
     f"SELECT {D.doc_uuid('msmarco-v1-document', 'doc_id')} AS uuid, doc_id AS warc_trec_id, "
     f"CAST(length(text) AS BIGINT) AS body_length FROM {DOCS_OFF} WHERE lang = 'fr' AND length(text) >= 500 "
     f"AND length(text) <= 5000")
+_web_rows = ORACLE_SQL["map_web"]
+ORACLE_SQL["host_filter"] = (f"SELECT m_uuid AS uuid, d_warc_target_hostname AS warc_target_hostname, d_body_length AS body_length FROM ({_web_rows}) "
+                             "WHERE d_warc_target_hostname = 'thther.example.org'")
+ORACLE_SQL["date_filter"] = (f"SELECT m_uuid AS uuid, m_warc_date AS warc_date FROM ({_web_rows}) "
+                             "WHERE m_warc_date >= '2022-01-02T00:00:00+00:00' AND m_warc_date < '2022-01-06T00:00:00+00:00'")
 _en = D.language_tokens("text", "en")
 ORACLE_SQL["bm25_topk"] = f"""
 WITH dt AS (SELECT doc_id, {_by_lang} AS tokens FROM documents),
@@ -275,6 +281,56 @@ r AS (SELECT qid, doc_id, round(score, 6) AS score, row_number() OVER (PARTITION
 SELECT qid, doc_id, score, CAST(rank AS BIGINT) AS rank FROM r WHERE rank <= 10
 """
 
+_field = f"CASE WHEN lang IN ({', '.join(q(l) for l in LANGS)}) THEN lang ELSE 'default' END"
+_asked = " UNION ALL ".join(f"SELECT item_id AS qid, {q(l)} AS field, unnest({D.language_tokens('text', l)}) AS term FROM benchmark"
+                            for l in (*LANGS, "default"))
+ORACLE_SQL["bm25_topk_by_lang"] = f"""
+WITH dt AS (SELECT doc_id, {_field} AS field, {_by_lang} AS tokens FROM documents),
+post AS (SELECT field, term, doc_id, count(*) AS tf FROM (SELECT field, doc_id, unnest(tokens) AS term FROM dt) GROUP BY ALL),
+dl AS (SELECT doc_id, field, coalesce(len(tokens), 0) AS dl FROM dt),
+cs AS (SELECT field, count(*) AS n, avg(dl) AS avgdl FROM dl GROUP BY field),
+st AS (SELECT field, term, count(*) AS df FROM post GROUP BY ALL),
+qt AS (SELECT qid, field, term, count(*) AS qtf FROM ({_asked}) GROUP BY ALL),
+w AS (SELECT qid, field, term, qtf, ln(1 + (n - df + 0.5) / (df + 0.5)) AS idf, avgdl FROM qt JOIN st USING (field, term) JOIN cs USING (field)),
+sc AS (SELECT qid, post.doc_id, sum(qtf * idf * tf / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl))) AS score
+       FROM w JOIN post USING (field, term) JOIN dl ON dl.doc_id = post.doc_id GROUP BY qid, post.doc_id),
+r AS (SELECT qid, doc_id, round(score, 6) AS score, row_number() OVER (PARTITION BY qid ORDER BY round(score, 6) DESC, doc_id) AS rank FROM sc)
+SELECT qid, doc_id, score, CAST(rank AS BIGINT) AS rank FROM r WHERE rank <= 10
+"""
+
+_record_uuid = D.doc_uuid("msmarco-v1-document", "doc_id")
+ORACLE_SQL["written_actions"] = (
+    f"SELECT 'index' AS op, 'corpus-meta' AS idx, {_record_uuid} AS uuid, doc_id AS trec_id, CAST(start AS VARCHAR) AS source_offset, "
+    f"CAST(NULL AS VARCHAR) AS title, CAST(NULL AS VARCHAR) AS body_length, CAST(22 AS BIGINT) AS key_length FROM {DOCS_OFF} UNION ALL "
+    f"SELECT 'index', 'corpus-data', {_record_uuid}, doc_id, NULL, title, CAST(length(text) AS VARCHAR), 22 FROM {DOCS_OFF}")
+
+ORACLE_SQL["vocabulary_terms"] = (
+    f"SELECT word, n, {', '.join(f'{D.fold(D.staged_stem("word", l))} AS {l}_term' for l in VOCABULARY_LANGS)} FROM "
+    f"(SELECT word, count(*) AS n FROM (SELECT unnest({D.words('text')}) AS word FROM documents) GROUP BY word)")
+
+_keyed = f"SELECT CAST(floor(doc_id / 3.0) AS BIGINT) AS _id, {D.doc_uuid('corpus', 'doc_id')} AS uuid, doc_id FROM documents"
+ORACLE_SQL["load_collisions"] = (
+    f"WITH k AS ({_keyed}) SELECT DISTINCT n._id, n.uuid, n.doc_id FROM k n JOIN k s ON n._id = s._id AND n.uuid <> s.uuid "
+    "WHERE s.doc_id % 6 = 0 AND (n.doc_id % 2 = 1 OR n.doc_id % 5 = 0)")
+ORACLE_SQL["passage_parents"] = (
+    f"SELECT {D.doc_uuid('msmarco-v2-passage', 'doc_id')} AS m_uuid, doc_id AS d_warc_trec_id, 'Later: ' || coalesce(title, '') AS d_title, "
+    f"url AS d_warc_target_uri FROM {PASSAGES_OFF}")
+
+_by_lang_of = lambda x: "CASE " + " ".join(f"WHEN lang = {q(l)} THEN {D.language_tokens(x, l)}" for l in LANGS) + f" ELSE {D.language_tokens(x, 'default')} END"
+_positions = " UNION ALL ".join(
+    f"SELECT '{f}' AS field, {_field} AS lang, doc_id, unnest({_by_lang_of(x)}) AS term, generate_subscripts({_by_lang_of(x)}, 1) - 1 AS p FROM documents"
+    for f, x in (("title", "split_part(text, chr(10), 1)"), ("body", "text")))
+ORACLE_SQL["postings_by_field"] = (
+    f"SELECT field, lang, term, doc_id, count(*) AS tf, min(p)::BIGINT AS \"first\", max(p)::BIGINT AS \"last\" FROM ({_positions}) GROUP BY ALL")
+ORACLE_SQL["phrase_matches"] = f"""
+WITH b AS (SELECT * FROM ({_positions}) WHERE field = 'body'),
+a AS ({_asked.replace("unnest(", "(").replace(" AS term", " AS tokens")}),
+f AS (SELECT qid, field AS lang, tokens[1:5] AS tokens FROM a WHERE len(tokens) > 0),
+t AS (SELECT qid, lang, len(tokens) AS size, unnest(tokens) AS term, generate_subscripts(tokens, 1) - 1 AS i FROM f),
+s AS (SELECT qid, b.lang AS lang, doc_id, size, p - i AS start, count(*) AS held FROM b JOIN t ON b.lang = t.lang AND b.term = t.term GROUP BY ALL)
+SELECT qid, lang, doc_id, count(*) AS n FROM s WHERE held = size GROUP BY ALL
+"""
+
 ORACLE_SQL["two_table_index"] = (
     f"SELECT {D.doc_uuid('msmarco-v1-document', 'doc_id')} AS meta_uuid, {D.doc_uuid('msmarco-v1-document', 'doc_id')} AS data_uuid, "
     "CAST(22 AS BIGINT) AS key_length FROM documents")

@@ -1,13 +1,14 @@
 """HTML fields on pages written out by hand, and character references against the standard library."""
 import html as stdlib_html
-
+from html.parser import HTMLParser
 
 from corpusforge.functions.html import extract_html_fields, unescape
+from corpusforge.plans import standins
 
 REFERENCES = [
     "plain", "&amp;", "&eacute;&#233;&#xE9;&#Xe9;", "&#x2019;s &rsquo;s", "&amp;lt;", "&notanentity; &", "&#0; &#55296; &#1114112;",
     "&#128; &#150; &#153; &#129;", "&copy 2020 &ampx &nbsp", "&NotEqualTilde; &nvlt;", "a && b &;", "&#x1F600;&#128512;",
-    "&AMP;&amp;&Amp;", "&lt;b&gt;", "&#00065;", "&#;&#x;", "&frac12;&thinsp;x", "",
+    "&#00000000000065;&#999999999999999999999; &#xFFFFFFFFFFFFFFFFFFF;x", "&AMP;&amp;&Amp;", "&lt;b&gt;", "&#00065;", "&#;&#x;", "&frac12;&thinsp;x", "",
 ]
 
 
@@ -42,9 +43,73 @@ PAGES = [
     ("<html lang='de-AT'><body>x", dict(html_lang="de-AT", has_body=True)),
     ("", dict(has_body=True, full_text="", title="", headings=[], meta_desc="", meta_keywords=[])),
     (None, dict(has_body=False)),
+    ('<head><meta name="description" data-x="a>b" content="D"></head><body>x', dict(meta_desc="D", full_text="x")),
+    ('<head><meta data-x=\'name="description" content="no"\' name=description content="yes"></head><body>x', dict(meta_desc="yes")),
+    ('<body><p title="1 > 0">Hi</p>', dict(full_text="Hi")),
+    ("<body><p title='a > b' data-y=\"<b>\">Hi</p> <a href= >x</a> <i it's>y</i>", dict(full_text="Hi x y")),
+    ('<body><div class="title"><div>in</div> tail</div> rest', dict(title="in tail")),
+    ("<body><div class=title>a<div>b<div>c</div></div>d</div>e<div>f</div>", dict(title="abcd")),
+    ("<body><p class=title>One<p>Two", dict(title="One")),
+    ("<body><section class='x title'>open <section>in", dict(title="open in")),
+    ('<body><div data-class="title">no</div><b title="class=title">no</b><i class="title">yes</i>', dict(title="yes")),
+    ("<body>wor<wbr>d a<b>b</b>c", dict(full_text="word abc")),
+    ('<body><img data-x="x alt=no" alt="c > d"><img src="a=b>c" alt=bare/>', dict(full_text="c > d bare/")),
+    ("<body>x <script>if (a > b) '</style>'</script>y<style>a>b{}</style>z", dict(full_text="x y z")),
+    ("<body data-x='<body>'>in<h1 id='>'>H</h1>", dict(full_text="in H", headings=["H"])),
+    ("<body>a < b and 3 > 2", dict(full_text="a < b and 3 > 2")),
+    ("<body>seen <p title='never closed", dict(full_text="seen")),
+    ('<body><article data-x="</article>">A <b title=">">x</b></article>B', dict(main_text="A x")),
 ]
 
 
+class Reader(HTMLParser):
+    """Text of a page's body as the standard library's parser finds it, without formatting."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.parts, self.skip, self.title = [], 0, 0
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("script", "style", "noscript", "template", "head"):
+            self.skip += 1
+        elif tag == "img":
+            self.parts.append(" " + (dict(attrs).get("alt") or "") + " ")
+        elif tag not in INLINE:
+            self.parts.append(" ")
+
+    def handle_endtag(self, tag):
+        if tag in ("script", "style", "noscript", "template", "head"):
+            self.skip -= 1
+        elif tag not in INLINE:
+            self.parts.append(" ")
+
+    def handle_data(self, data):
+        if not self.skip:
+            self.parts.append(data)
+
+
+INLINE = set("a abbr b bdi bdo cite code data dfn em font i kbd mark q s samp small span strong sub sup time u var wbr".split())
+
+
+def test_agrees_with_the_standard_parser_on_all_pages(spark):
+    pages = standins.inject_page_features(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+    rows = extract_html_fields(pages, "html").select("page_id", "html", "full_text").collect()
+    wrong = []
+    for r in rows:
+        reader = Reader()
+        reader.feed(r.html)
+        reader.close()
+        if " ".join("".join(reader.parts).split()) != r.full_text:
+            wrong.append((r.page_id, " ".join("".join(reader.parts).split())[:200], r.full_text[:200]))
+    assert wrong == [] and len(rows) >= 250
+
+
+def test_long_tags_and_many_attributes(spark):
+    page = "<body><p " + " ".join(f'a{i}="{"v>" * 50}"' for i in range(3000)) + ">text</p><img src='data:" + "x" * 200_000 + "' alt='pic'>" + "<div>" * 5000 + "in"
+    df = spark.createDataFrame([(page,), ("<p title=\"" + "a='b' " * 20_000,)], "html string")
+    assert [r.full_text for r in extract_html_fields(df, "html").collect()] == ["text pic in", ""]
+
+
 def test_hard_pages(spark):
     df = spark.createDataFrame([(i, h) for i, (h, _) in enumerate(PAGES)], "i int, html string")
     rows = {r.i: r for r in extract_html_fields(df, "html").collect()}

@@ -110,7 +110,7 @@ def test_gzip_members_round_trip(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     lines = offsets.jsonl_lines(docs.withColumn("n", F.col("doc_id")), "doc_id", ["text"], keep=["n"])
     out = _tmp()
-    manifest = gzip_members.write_member_files(lines, "n", out, 3).collect()
+    manifest = gzip_members.write_member_files(lines, "n", out, out + "-members", 3).collect()
     src = {str(r.n): r.line for r in lines.collect()}
     assert len(manifest) == len(src)
     for m in manifest:
@@ -136,6 +136,40 @@ def test_compressed_corpus_job_round_trip(spark):
     assert back.count() == docs.count()
 
 
+def test_member_files_by_uri_are_cut_and_read_in_stretches(spark):
+    from pathlib import Path
+    base = Path(_tmp()) / "deep" / "folder"
+    lines = spark.range(300).select(F.col("id").alias("n"), F.concat(F.lit('{"docno": "d'), F.lpad(F.col("id").cast("string"), 3, "0"),
+                                                                     F.lit('", "t": "é\\r'), F.md5(F.col("id").cast("string")), F.lit('"}')).alias("line"))
+    out, table = (base / "files").as_uri(), (base / "members").as_uri()
+    members = gzip_members.write_member_files(lines, "n", out, table, 2, max_file_bytes=2000)
+    parts = sorted(p.name for p in (base / "files").iterdir())
+    assert len(parts) > 8 and members.count() == 300  # more files than tasks
+    assert sorted({r.part_file for r in members.collect()}) == parts
+    back = gzip_members.read_members(members, out, read_bytes=300)
+    stretches = members.select("part_file", F.floor(F.col("start") / 300)).distinct().count()
+    assert stretches > 2 * len(parts)  # more tasks than files
+    assert sorted(r.line for r in back.collect()) == sorted(r.line for r in lines.collect())
+    whole = "".join(gzip.open(base / "files" / p, "rt", encoding="utf-8", newline="").read() for p in parts)
+    assert whole == "".join(r.line + "\n" for r in lines.orderBy("n").collect())  # files follow the order
+    # A smaller job in the same place leaves nothing of the larger one.
+    again = gzip_members.write_member_files(lines.where("n < 5"), "n", out, table, 1)
+    assert again.count() == 5 and len(list((base / "files").iterdir())) == 1
+
+
+def test_a_failed_job_leaves_the_files_of_the_last_one(spark):
+    from pathlib import Path
+    base = Path(_tmp())
+    out, table = str(base / "files"), str(base / "members")
+    lines = spark.range(50).select(F.col("id").alias("n"), F.concat(F.lit('{"docno": "'), "id", F.lit('"}')).alias("line"))
+    gzip_members.write_member_files(lines, "n", out, table, 2)
+    before = {p: p.read_bytes() for d in (out, table) for p in Path(d).iterdir()}
+    bad = lines.withColumn("line", F.when(F.col("n") == 40, F.raise_error(F.lit("lost"))).otherwise(F.concat("line", F.lit(" "))))
+    with pytest.raises(Exception, match="lost"):
+        gzip_members.write_member_files(bad, "n", out, table, 4)
+    assert {p: p.read_bytes() for d in (out, table) for p in Path(d).iterdir()} == before
+
+
 def test_upsert_last_wins_and_idempotent(spark):
     path = os.path.join(_tmp(), "t")
     b1 = spark.createDataFrame([("a", 1), ("b", 1)], "_id string, v int")
@@ -169,6 +203,31 @@ def test_typed_fields_set_bad_values_aside(spark):
     assert rows["c"].bad_fields == [] and rows["c"].warc_date is None
 
 
+IPS = ["1.2.3.4", "255.255.255.255", "256.1.1.1", "1.2.3", "01.2.3.4", "::", "::1", "1::", "2001:db8::8a2e:370:7334", "1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7",
+       "1:2:3:4:5:6:7::", "1:2:3:4:5:6:7:8::", "1::2::3", "::ffff:1.2.3.4", "1:2:3:4:5:6:1.2.3.4", "::256.1.1.1", "g::1", "", ":", "12345::"]
+
+
+def test_addresses_are_checked_and_bad_rows_set_aside(spark):
+    import ipaddress
+
+    def ok(x):
+        try:
+            return ipaddress.ip_address(x) is not None
+        except ValueError:
+            return False
+    raw = spark.createDataFrame([(f"u{i}", ip, str(i)) for i, ip in enumerate(IPS)] + [("n", None, "x")], "uuid string, warc_ip_address string, content_length string")
+    got = {r.uuid: (r.warc_ip_address, r.bad_fields) for r in records.typed_fields(raw, "meta").collect()}
+    leading_zero = {"01.2.3.4"}  # octets of one leading zero are read
+    for i, ip in enumerate(IPS):
+        if ip not in leading_zero:
+            assert got[f"u{i}"] == ((ip, []) if ok(ip) else (None, ["warc_ip_address"])), ip
+    base = _tmp()
+    out = sink.write_typed(raw, os.path.join(base, "t"), os.path.join(base, "q"), "meta")
+    aside = spark.read.parquet(os.path.join(base, "q")).collect()
+    assert out["written"] + out["set_aside"] == len(IPS) + 1 == spark.read.parquet(os.path.join(base, "t")).count() + len(aside)
+    assert json.loads([r.raw for r in aside if r.bad_fields == ["content_length"]][0]) == {"uuid": "n", "content_length": "x"}
+
+
 def test_colliding_keys_fail_or_go_elsewhere(spark):
     base = _tmp()
     meta, data, lost = (os.path.join(base, x) for x in ("meta", "data", "lost"))
@@ -179,8 +238,9 @@ def test_colliding_keys_fail_or_go_elsewhere(spark):
     with pytest.raises(ValueError, match="shared by different documents"):
         sink.write_index(clash, meta, data, 2, 2)
     out = sink.write_index(clash, meta, data, 2, 2, collisions_path=lost)
-    m, x = sink.read_table(spark, meta), sink.read_table(spark, data)
-    assert out["key_collisions"] > 0 and out["documents"] == m.count() + spark.read.parquet(lost).count()
+    m, x = sink.read_index(spark, meta, data)
+    assert out["key_collisions"] > 0 and out["documents"] == m.count() + sink.read_loads(spark, lost).count()
+    assert out["written_meta"] == out["written_data"] == m.count()
     # Both tables hold the same document under every key.
     pairs = m.select("_id", "uuid").join(x.select("_id", F.col("uuid").alias("u")), "_id")
     assert pairs.count() == m.count() == x.count() and pairs.where("uuid <> u").count() == 0
@@ -192,7 +252,7 @@ def test_index_corpus_two_tables(spark):
     meta, data = os.path.join(base, "meta"), os.path.join(base, "data")
     out = jobs.index_corpus(spark, "msmarco-document", standins.plain_docs(d), meta, data, bucket="b",
                             start=10, end=-10, order_key="n", offsets=standins.plain_offsets(d))
-    m, x = sink.read_table(spark, meta), sink.read_table(spark, data)
+    m, x = sink.read_index(spark, meta, data)
     assert out["documents"] == d.count() - 20 == m.count() == x.count()
     assert out["key_collisions"] == 0
     assert sorted(r._id for r in m.select("_id").collect()) == sorted(r._id for r in x.select("_id").collect())
@@ -200,7 +260,100 @@ def test_index_corpus_two_tables(spark):
     # Re-running the same job leaves the tables unchanged.
     jobs.index_corpus(spark, "msmarco-document", standins.plain_docs(d), meta, data, bucket="b",
                       start=10, end=-10, order_key="n", offsets=standins.plain_offsets(d))
-    assert sorted(tuple(r) for r in sink.read_table(spark, meta).collect()) == before
+    assert sorted(tuple(r) for r in sink.read_index(spark, meta, data)[0].collect()) == before
+
+
+def _two_documents_one_key(spark):
+    d = standins.plain_docs(spark.read.parquet(f"{SF}/documents.parquet")).where("n < 12")
+    offsets = standins.plain_offsets(spark.read.parquet(f"{SF}/documents.parquet"))
+    r = mappings.dataset_mapping("msmarco-document").records(d, "b", offsets=offsets)
+    n = F.expr("CAST(m_warc_trec_id AS INT)")
+    return (r.where(n < 6).withColumn("_id", F.concat(F.lit("k"), n)),  # k0 .. k5
+            r.where(n >= 4).withColumn("_id", F.concat(F.lit("k"), F.when(n == 6, 0).otherwise(n))))  # k4, k5 again; 6 under k0
+
+
+def test_collisions_between_loads_fail_or_go_elsewhere(spark):
+    base = _tmp()
+    meta, data, lost = (os.path.join(base, x) for x in ("meta", "data", "lost"))
+    one, two = _two_documents_one_key(spark)
+    assert sink.write_index(one, meta, data, 2, 2, load=1)["documents"] == 6
+    before = sorted(tuple(r) for r in sink.read_index(spark, meta, data)[1].collect())
+    with pytest.raises(ValueError, match="k0"):
+        sink.write_index(two, meta, data, 2, 2, load=2)
+    # The load that failed shows in neither table.
+    assert sorted(tuple(r) for r in sink.read_index(spark, meta, data)[1].collect()) == before
+    out = sink.write_index(two, meta, data, 2, 2, load=2, collisions_path=lost)
+    assert (out["documents"], out["written_data"], out["key_collisions"]) == (8, 7, 1)
+    m, x = sink.read_index(spark, meta, data)
+    ids = {r._id: r.uuid for r in m.collect()}
+    assert sorted(ids) == sorted(f"k{i}" for i in range(12) if i != 6) == sorted(r._id for r in x.collect())
+    first = {r._id: r.uuid for r in one.select("_id", F.col("m_uuid").alias("uuid")).collect()}
+    assert ids["k0"] == first["k0"]  # the key stays with its document
+    aside = sink.read_loads(spark, lost).collect()
+    assert [(r._id, r.shared_key, r.load) for r in aside] == [("k0", True, 2)]
+    assert sink.stored_collisions(spark, meta, data).count() == 0
+    # The same load again replaces itself and meets only other loads.
+    assert sink.write_index(two, meta, data, 2, 2, load=2, collisions_path=lost) == out
+    assert sink.read_loads(spark, lost).count() == 1
+
+
+def test_a_load_shows_in_both_tables_or_in_none(spark):
+    base = _tmp()
+    meta, data = os.path.join(base, "meta"), os.path.join(base, "data")
+    one, two = _two_documents_one_key(spark)
+    sink.write_index(one, meta, data, 2, 2, load=1)
+    # A job that ends between the two writes, or before its commit.
+    sink.write_load(records.meta_table(two), meta, 2, "_id", 2, attempt=sink.new_attempt())
+    assert [t.count() for t in sink.read_index(spark, meta, data)] == [6, 6]
+    half = sink.new_attempt()
+    sink.write_load(records.meta_table(two), meta, 1, "_id", 2, attempt=half)
+    sink.write_load(records.data_table(two), data, 1, "_id", 2, attempt=half)
+    assert [t.count() for t in sink.read_index(spark, meta, data)] == [6, 6]
+    sink.commit_load(spark, data + "/_commits", 1, half)
+    assert [t.count() for t in sink.read_index(spark, meta, data)] == [8, 8]
+
+
+def test_winners_are_found_without_bodies(spark):
+    path = os.path.join(_tmp(), "t")
+    for load in (1, 2):
+        sink.write_load(spark.range(20).select(F.col("id").cast("string").alias("_id"), F.lit("x" * 50 * load).alias("body"), F.lit(load).alias("v")), path, load)
+    t = sink.read_table(spark, path)
+    assert {r.v for r in t.collect()} == {2} and t.count() == 20
+    scans = [line for line in t._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].splitlines() if "ReadSchema" in line]
+    assert len(scans) >= 2 and sum("body" in line.split("ReadSchema")[1] for line in scans) == 1
+
+
+def test_repeated_side_rows_double_nothing(spark):
+    conv = spark.read.parquet(f"{SF}/conversations.parquet")
+    m = mappings.dataset_mapping("msmarco-passage-v2")
+    sides = dict(offsets=standins.passage_offsets(conv))
+    parents = standins.parent_documents(conv)
+    newer = parents.withColumn("title", F.concat(F.lit("new "), "title"))
+    both = parents.withColumn("position", F.lit(1)).unionByName(newer.withColumn("position", F.lit(2)))
+    got = m.records(standins.passages(conv), "b", parents=both, **sides).select("m_uuid", "d_title")
+    assert sorted(got.collect()) == sorted(m.records(standins.passages(conv), "b", parents=newer, **sides).select("m_uuid", "d_title").collect())
+    assert got.count() == conv.count()
+    docs = standins.web_docs(standins.inject_page_features(spark.read.parquet(f"{SF}/pages.parquet")))
+    lines = standins.web_line_offsets(docs)
+    web = mappings.dataset_mapping("clueweb22")
+    want = web.records(docs, "b", line_offsets=lines).count()
+    assert web.records(docs, "b", line_offsets=lines.unionByName(lines)).count() == want
+    half = lines.withColumn("txt_offset", F.when(F.col("doc_no") % 2 == 0, F.col("txt_offset")))
+    with pytest.raises(Exception, match="No line offset.*txt_offset"):
+        web.records(docs, "b", line_offsets=half).collect()
+
+
+def test_parent_metadata_file_keeps_the_last_entry(spark):
+    d = _tmp()
+    with open(os.path.join(d, "p.jsonl"), "w") as fh:
+        for i in range(400):
+            fh.write(json.dumps({"original_document": {"doc_id": f"d{i % 100}", "title": f"z{400 - i}", "url": "u"}}) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        got = {r.parent_id: r.p_title for r in mappings.last_parents(corpus.read_parent_metadata(spark, d)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {f"d{i}": f"z{400 - 300 - i}" for i in range(100)}
 
 
 def test_document_offsets_job(spark):
@@ -264,6 +417,31 @@ def test_offsets_dict_import_and_line_offsets(spark):
                                         ("en00/en0000/en0000-01", 2, 987)]
 
 
+def test_offsets_dict_is_split_and_checked(spark):
+    d = _tmp()
+    want = {f'id "{i}"\\ é,: ': {"start": 7 * i, "end": 7 * i + 5} for i in range(5000)}
+    for name, text in (("o.json", json.dumps(want)), ("spaced.json", json.dumps(want, indent=1, ensure_ascii=False))):
+        path = os.path.join(d, name)
+        with open(path, "w", encoding="utf-8") as fh:
+            fh.write(text)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+        try:
+            table = corpus.import_offsets_dict(spark, path)
+            assert table.rdd.getNumPartitions() > 8
+            assert {r.doc_id: {"start": r.start, "end": r.end} for r in table.collect()} == json.loads(text)
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    for bad in ('{"a}b": {"start": 1, "end": 2}}', '{"a": {"start": 1}}', '{"a": 5}', "[1, 2]"):
+        path = os.path.join(d, "bad.json")
+        with open(path, "w") as fh:
+            fh.write(bad)
+        with pytest.raises(Exception, match="Not an entry"):
+            corpus.import_offsets_dict(spark, path).collect()
+    with open(path, "w") as fh:
+        fh.write(" {} ")
+    assert corpus.import_offsets_dict(spark, path).collect() == []
+
+
 def test_web_mapping_from_offsets_files(spark):
     base = _tmp()
     docs = standins.web_docs(standins.inject_page_features(spark.read.parquet(f"{SF}/pages.parquet")))
@@ -300,7 +478,7 @@ def test_streaming_incremental_index(spark):
                                             os.path.join(base, "meta"), os.path.join(base, "data"),
                                             os.path.join(base, "ckpt"))
     q.awaitTermination(300)
-    assert sink.read_table(spark, os.path.join(base, "data")).count() == d.count()
+    assert [t.count() for t in sink.read_index(spark, os.path.join(base, "meta"), os.path.join(base, "data"))] == [d.count()] * 2
 
 
 def test_entry_smoke(spark):
@@ -407,6 +585,39 @@ def test_offsets_entry_given_twice_counts_once(spark):
     assert [(r.off_start, r.off_end) for r in mappings.attach_offsets(docs, off).collect()] == [(9, 12)]
 
 
+def test_written_actions_job(spark):
+    out = os.path.join(_tmp(), "actions")
+    d = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 20")
+    docs = standins.plain_docs(d)
+    off = standins.plain_offsets(d)
+    jobs.write_actions(spark, "msmarco-document", docs, out, "m", "x", "b", offsets=off)
+    rows = {(r.m_warc_trec_id): r for r in mappings.dataset_mapping("msmarco-document").records(docs, "b", offsets=off).collect()}
+    seen = 0
+    for name in sorted(os.listdir(out)):
+        if name.endswith(".gz"):
+            with gzip.open(os.path.join(out, name), "rt", encoding="utf-8") as fh:
+                lines = [json.loads(line) for line in fh]
+            for meta, data in zip(lines[::2], lines[1::2], strict=True):
+                r = rows[meta["warc_trec_id"]]
+                assert meta == {"_op_type": "index", "_index": "m", "_id": r._id, "uuid": r.m_uuid, "source_file": r.m_source_file,
+                                "source_offset": str(r.m_source_offset), "content_length": str(r.m_content_length),
+                                "content_type": r.m_content_type, "warc_trec_id": r.m_warc_trec_id}
+                assert (data["_index"], data["_id"], data["title_lang_en"], data["body_lang_en"]) == ("x", r._id, r.d_title, r.d_body)
+                assert "title" not in data and None not in data.values()
+                seen += 1
+    assert seen == len(rows) == 20
+
+
+def test_default_text_per_corpus(spark):
+    docs = spark.createDataFrame([("1", "T", "H", "B", "plain", "http://a/b")], "doc_id string, title string, headings string, body string, text string, url string")
+    off = spark.createDataFrame([("1", 0, 5)], "doc_id string, start long, end long")
+    for name, want in (("msmarco-document", "T B"), ("msmarco-document-v2", "T H B"), ("cranfield", "plain")):
+        m = mappings.dataset_mapping(name)
+        assert m.records(docs, "b", offsets=off).first().d_body == want
+        assert m.records(docs, "b", offsets=off, text_fields=("headings",)).first().d_body == "H"
+        assert m.records(docs.drop("body"), "b", offsets=off).first().d_body == "plain"
+
+
 def test_first_row_wins_needs_an_order(spark):
     from corpusforge.plans import mappings
     docs = spark.createDataFrame([("a", "t", "x")], "doc_id string, text string, title string")
