@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 #: What separates words in every operator here: ASCII white space.
 SPACE = r"[\x20\x09-\x0D]+"
+SPACES = " \t\n\x0b\x0c\r"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,13 +49,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def words(text: Column) -> Column:
     """The words of a text as an array; null gives none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE, -1), lambda w: w != "")
+    bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE, -1))
 
 
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+def lengths_of(text_col: str, tokens_col: str | None) -> Column:
+    """Lengths of texts: their words, or what a column says (null: 0)."""
+    return n_words(F.col(text_col)) if tokens_col is None else F.greatest(F.coalesce(F.col(tokens_col).cast("long"), F.lit(0).cast("long")), F.lit(0).cast("long"))
+
+
 def running_start(df: DataFrame, group: Sequence[str], order: str, value: str | None, out: str, slices: int = 1024) -> DataFrame:
     """Adds ``out``: the sum of ``value`` over the rows before this one in its group.
 

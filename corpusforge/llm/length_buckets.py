@@ -15,9 +15,16 @@ their bin's edge, so the padded tokens exceed the least possible by less than
 their numbers come from counts over slices of the hash order
 (``running_start``), never from one task per bucket.
 
-Defined cases: null and empty texts have 0 tokens and take a place of length
-1 at least; rows alike get places of their own; null ids are kept; an empty
-table gives an empty result. Only the id and the text are read.
+Lengths are white-space words of the text, unless a column of lengths is given
+(``tokens_col``, from ``token_counts`` say): a text without spaces is one word
+however long it is, so a token budget that has to hold for a tokenizer needs
+that tokenizer's counts.
+
+Defined cases: null and empty texts (and null lengths) have 0 tokens and take a
+place of length 1 at least; very long texts make a bucket's length and a batch
+of their own; rows alike get places of their own; null ids are kept; an empty
+table gives an empty result. Only the id, the text and the lengths are read, so
+other columns may have any name.
 """
 
 from __future__ import annotations
@@ -26,7 +33,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, n_words, order_hash, running_start
+from .common import cut, lengths_of, order_hash, running_start
 
 MAX_BUCKETS = 16
 BATCH_TOKENS = 1 << 16
@@ -71,9 +78,9 @@ def best_edges(edges: list[int], counts: list[int], most: int) -> list[int]:
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_buckets: int = MAX_BUCKETS,
-         batch_tokens: int = BATCH_TOKENS, seed: int = SEED) -> DataFrame:
-    """Per row of ``docs``: id, n_tokens, bucket_len, batch (from 0 in each bucket) and slot (from 0 in each batch)."""
-    rows = cut(docs.select(F.col(id_col).alias("id"), n_words(F.col(text_col)).alias("n_tokens"),
+         batch_tokens: int = BATCH_TOKENS, seed: int = SEED, tokens_col: str | None = None) -> DataFrame:
+    """Per row of ``docs``: id, n_tokens (words, or ``tokens_col``), bucket_len, batch (from 0 in each bucket) and slot (from 0 in each batch)."""
+    rows = cut(docs.select(F.col(id_col).alias("id"), lengths_of(text_col, tokens_col).alias("n_tokens"),
                            order_hash(F.lit(seed), F.col(id_col), F.col(text_col)).alias("order")))
     longest = F.greatest(F.max("n_tokens"), F.lit(1).cast("long"))
     histogram = rows.groupBy(edge(F.col("n_tokens")).alias("bin")).agg(longest.alias("edge"), F.count("*").alias("n")).orderBy("bin").collect()

@@ -12,16 +12,22 @@ licenses are all found.
 
 The stretches between these matches are then aligned in overlapping windows of
 doubled sizes, up to the whole stretch, so a copy is found however many words
-are inserted in it; ``first`` and ``end`` of a match tell how far it spreads.
+are inserted in it. Words of a short notice may also be scattered over a text
+by chance, so a match has a ``density``, its aligned words over the words it
+spreads over: matches of at least ``min_density`` come first, and only these
+name the license of a text; the others are listed beside them.
 
-Templates are a small table of fixed values, given as a parameter; work is
-per document in Arrow batches, nothing is shuffled.
+Templates are a table of names and texts, given as a dict or a DataFrame of at
+most ``MAX_TEMPLATES`` rows; work is per document in Arrow batches, nothing is
+shuffled.
 
-Defined cases: null and empty texts have no words and no matches; rows of one
-id each get a row; null ids are kept; overlapping matches of several
-templates are all returned, best coverage first, then the longer template,
-then by place and name; an empty table gives an empty result. Only the id and
-the text are read.
+Defined cases: null and empty texts have no words and no matches; very long
+texts are scanned whole, in memory proportional to the text; rows of one id
+each get a row; null ids are kept; overlapping matches of several templates are
+all returned, dense ones first, then by best coverage, longer template,
+greater density, place and name; an empty table gives an empty result, as do
+templates without words. Only the id and the text are read, so other columns
+may have any name.
 """
 
 from __future__ import annotations
@@ -51,10 +57,47 @@ TEMPLATES = {
     "bsd-conditions": "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
                       "that the following conditions are met:",
     "apache-2.0-header": "you may not use this file except in compliance with the License. You may obtain a copy of the License at",
+    "mit-notice-licensed": "Licensed under the MIT License",
+    "mit-notice-short": "Released under MIT license",
+    "bsd-notice": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+    "boost-1.0-notice": "Distributed under the Boost Software License, Version 1.0.",
+    "gpl-2.0-or-later-header": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+                               "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+                               "option) any later version.",
+    "gpl-3.0-or-later-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
+                               "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+                               "option) any later version.",
+    "lgpl-2.1-or-later-header": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                                "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+                                "(at your option) any later version.",
+    "agpl-3.0-or-later-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+                                "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+                                "(at your option) any later version.",
+    "mpl-2.0-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+                      "distributed with this file, You can obtain one at",
+    "epl-2.0-header": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+    "bsd-source-clause": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "bsd-binary-clause": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+                         "disclaimer in the documentation and/or other materials provided with the distribution.",
+    "bsd-names-clause": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+                        "derived from this software without specific prior written permission.",
+    "zlib-body": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for "
+                 "any damages arising from the use of this software.",
+    "unlicense-body": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+                      "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
+                      "commercial or non-commercial, and by any means.",
+    "cc0-1.0-notice": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
+    "cc-by-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "cc-by-sa-4.0-notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "cc-by-nc-4.0-sentence": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "cc-by-nd-4.0-notice": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "cc-by-4.0-short": "Licensed under CC BY 4.0.",
+    "cc-by-sa-4.0-short": "Licensed under CC BY-SA 4.0.",
 }
 # Function words, too common to start a window.
 FUNCTION_WORDS = frozenset("a above all an and any are as at be by for from in is it may not of on or shall that the this to use with without you".split())
-MIN_COVERAGE = 0.9
+MIN_COVERAGE, MIN_DENSITY = 0.9, 0.5
+MAX_TEMPLATES = 4096
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -108,8 +151,8 @@ def patience(a: list[str], b: list[str]) -> list[tuple[int, int]]:
 
 
 class Scanner:
-    def __init__(self, templates: dict[str, str], min_coverage: float):
-        self.min_coverage = min_coverage
+    def __init__(self, templates: dict[str, str], min_coverage: float, min_density: float = MIN_DENSITY):
+        self.min_coverage, self.min_density = min_coverage, min_density
         self.templates = {name: w for name, t in templates.items() if (w := words(t))}
         self.bags = {name: Counter(t) for name, t in self.templates.items()}
         self.starts: dict[tuple[str, str], list[tuple[str, int]]] = {}
@@ -175,29 +218,47 @@ class Scanner:
                         near[name].append(got)
                         behind[name] = got[2]
         found = [(name, *got) for name, matches in near.items() for got in matches + self._spread(name, text, matches)]
-        return sorted(found, key=lambda x: (-x[1], -len(self.templates[x[0]]), x[2], x[0]))
+        return sorted(found, key=lambda x: (self.density(x) < self.min_density, -x[1], -len(self.templates[x[0]]), -self.density(x), x[2], x[0]))
 
+    def density(self, match: tuple[str, float, int, int]) -> float:
+        """Aligned words of a match over the words it spreads over."""
+        name, coverage, first, end = match
+        return round(coverage * len(self.templates[name])) / (end - first)
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None,
-         min_coverage: float = MIN_COVERAGE) -> DataFrame:
-    """Per row of ``docs``: id, n_words, n_matches, license (the best match's, else null), coverage and all
-    ``matches`` (license, coverage, and the words from ``first`` up to ``end``)."""
-    given = templates if templates is not None else TEMPLATES
-    match = pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("first", pa.int64()), ("end", pa.int64())])
-    keys = [f.name for f in match]
+
+def _given(templates: dict[str, str] | DataFrame | None) -> dict[str, str]:
+    if isinstance(templates, DataFrame):
+        rows = templates.select("license", "text").where("license is not null").limit(MAX_TEMPLATES + 1).collect()
+        if len(rows) > MAX_TEMPLATES:
+            raise ValueError(f"more than {MAX_TEMPLATES} templates")
+        return {r["license"]: r["text"] or "" for r in rows}
+    return templates if templates is not None else TEMPLATES
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | DataFrame | None = None,
+         min_coverage: float = MIN_COVERAGE, min_density: float = MIN_DENSITY) -> DataFrame:
+    """Per row of ``docs``: id, n_words, n_matches, license (the best dense match's, else null) with its coverage and
+    density, and all ``matches`` (license, coverage, density, and the words from ``first`` up to ``end``).
+
+    ``templates``: names and texts, as a dict or a DataFrame (license, text).
+    """
+    given = _given(templates)
+    match = pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("density", pa.float64()), ("first", pa.int64()), ("end", pa.int64())])
 
     def run(batches):
-        scanner = Scanner(given, min_coverage)
+        scanner = Scanner(given, min_coverage, min_density)
         for batch in batches:
             texts = [words(t) for t in batch.column(1).to_pylist()]
-            found = [scanner(t) for t in texts]
+            found = [[(name, cov, scanner.density((name, cov, a, b)), a, b) for name, cov, a, b in scanner(t)] for t in texts]
+            best = [f[0] if f and f[0][2] >= min_density else (None,) * 3 for f in found]
             yield pa.record_batch([
                 batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array([len(f) for f in found], pa.int64()),
-                pa.array([f[0][0] if f else None for f in found], pa.string()), pa.array([f[0][1] if f else None for f in found], pa.float64()),
-                pa.array([[dict(zip(keys, m)) for m in f] for f in found], pa.list_(match))],
-                names=["id", "n_words", "n_matches", "license", "coverage", "matches"])
+                *(pa.array([b[k] for b in best], kind) for k, kind in enumerate((pa.string(), pa.float64(), pa.float64()))),
+                pa.array([[dict(zip([f.name for f in match], m)) for m in f] for f in found], pa.list_(match))],
+                names=["id", "n_words", "n_matches", "license", "coverage", "density", "matches"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, f"id {kind}, n_words long, n_matches long, license string, coverage double, matches array<struct<license: string, coverage: double, first: long, end: long>>")
+        run, f"id {kind}, n_words long, n_matches long, license string, coverage double, density double, "
+             "matches array<struct<license: string, coverage: double, density: double, first: long, end: long>>")
     return out.withColumnRenamed("id", id_col)

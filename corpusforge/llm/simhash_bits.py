@@ -42,6 +42,8 @@ SHINGLE = 4
 RADIUS = 4
 SEED = 42
 TILE = 8192
+#: Tasks over which the rows of one node or component are dealt where they meet its name.
+SPLIT = 8
 #: Shingle hashes of a long text that are counted at a time.
 PART = 1 << 16
 
@@ -285,14 +287,24 @@ def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     return dealt.mapInArrow(_block_links(radius), "u long, v long").distinct()
 
 
+def _split_join(rows: DataFrame, per_key: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined with the one row that ``per_key`` has of each key, a key's rows dealt over SPLIT tasks."""
+    dealt = rows.withColumn("__deal", F.pmod(F.xxhash64(*rows.columns), F.lit(SPLIT)).cast("int"))
+    copies = per_key.withColumn("__deal", F.explode(F.sequence(F.lit(0), F.lit(SPLIT - 1))))
+    return dealt.join(copies, [key, "__deal"]).drop("__deal")
+
+
 def _star(edges: DataFrame) -> DataFrame:
-    """One round of large-star, then small-star, over edges (u, v)."""
+    """One round of large-star, then small-star, over edges (u, v).
+
+    A node of very many edges is reduced map-side, and its edges meet the result in SPLIT tasks.
+    """
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    large = _split_join(both.where("v > u"), least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
     down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    small = down.join(least, "u")
+    small = _split_join(down, least, "u")
     return small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
@@ -340,6 +352,8 @@ def _components_of(docs: DataFrame, id_col: str, text_col: str, size: int, radiu
     marked = cut(fingerprints(docs, id_col, text_col, size))
     nodes = marked.groupBy("fp").agg(F.min("id").alias("least"))
     roots = components(links(nodes.select("fp"), radius, tile))
-    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return marked, rooted.join(names, "root").select(F.col("fp").alias("f"), "root", "component_id")
+    linked = nodes.join(roots, nodes["fp"] == roots["node"]).select("fp", "least", "root")
+    names = linked.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = _split_join(linked, names, "root").select(F.col("fp").alias("f"), "root", "component_id")
+    alone = nodes.join(roots, nodes["fp"] == roots["node"], "left_anti")
+    return marked, named.unionByName(alone.select(F.col("fp").alias("f"), F.col("fp").alias("root"), F.col("least").alias("component_id")))

@@ -18,10 +18,16 @@ of the hash order (``running_start``), never from one task per source. The
 table of sources (at most ``max_sources`` rows, an error beyond) is all that
 reaches the driver, and all that is broadcast.
 
+Tokens are white-space words of the text, unless a column of lengths is given
+(``tokens_col``, from ``token_counts`` say): a text without spaces is one word
+however long it is.
+
 Defined cases: null sources are a source; null and empty texts have no tokens
 and no weight, and are dealt with their neighbours (a source of no tokens:
-once); rows alike in id and text are dealt together; an empty table gives an
-empty result. The operator reads only id, text and source.
+once); a very long text is dealt whole, in a block that it may overfill; rows
+alike in id and text are dealt together; an empty table gives an empty result.
+The operator reads only id, text, source and lengths, so other columns may have
+any name (``apply`` keeps them; names beginning with ``__m_`` are its own).
 """
 
 from __future__ import annotations
@@ -32,7 +38,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, n_words, order_hash, running_start
+from .common import cut, lengths_of, order_hash, running_start
 
 MAX_REPEATS = 2.0
 ENTROPY_SHARE = 0.95
@@ -91,9 +97,9 @@ class Mixture:
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         entropy_share: float | None = ENTROPY_SHARE, max_repeats: float | None = MAX_REPEATS,
-        budget_tokens: int | None = None, block_tokens: int = BLOCK_TOKENS, max_sources: int = MAX_SOURCES, seed: int = SEED) -> Mixture:
+        budget_tokens: int | None = None, block_tokens: int = BLOCK_TOKENS, max_sources: int = MAX_SOURCES, seed: int = SEED, tokens_col: str | None = None) -> Mixture:
     """``entropy_share``: the target entropy as a part of the largest possible, log of the number of sources."""
-    rows = cut(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("n_tokens"),
+    rows = cut(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), lengths_of(text_col, tokens_col).alias("n_tokens"),
                            F.xxhash64(id_col, text_col).alias("key")))
     found = rows.groupBy("source").agg(F.sum("n_tokens").alias("tokens")).orderBy(F.col("source").asc_nulls_first()).limit(max_sources + 1).collect()
     if len(found) > max_sources:
@@ -138,8 +144,8 @@ def apply(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     """
     mixture = mix(docs, id_col, text_col, source_col, seed=seed, **how)
     kind = docs.schema[source_col].dataType.simpleString()
-    tops = mixture.dealt.groupBy("source", "epoch").agg(F.max("order").alias("top")).collect()  # a row for each source and epoch
-    top = {(r.source, r.epoch): r.top for r in tops}
+    tops = mixture.dealt.groupBy("source").agg(F.max(F.struct("epoch", "order")).alias("top")).collect()  # a row for each source
+    top = {(r.source, r.top.epoch): r.top.order for r in tops}
     plan = [(s, e, top.get((s, e), -1) if rest else -1) for s, _, _, _, e, rest in mixture.sources]
     table = docs.sparkSession.createDataFrame(plan, f"__m_source {kind}, __m_epochs long, __m_top long")
     joined = docs.join(F.broadcast(table), F.col(source_col).eqNullSafe(F.col("__m_source")))

@@ -128,12 +128,25 @@ def _pieces(path: str, chunk: int):
     return run
 
 
+def _cut_text(chunk: int, overlap: int):
+    """Rows (row, text) to overlapping pieces; a text is decoded once and each piece copied from its place."""
+    schema = pa.schema([("row", pa.int64()), ("no", pa.int64()), ("overlap", pa.int32()), ("piece", pa.string())])
+
+    def run(batches):
+        for batch in batches:
+            for row, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                text = value.as_py()
+                n = max(1, -(-(len(text) - overlap) // chunk))
+                for at in range(0, n, 32):
+                    numbers = range(at, min(at + 32, n))
+                    yield pa.record_batch([pa.array([row] * len(numbers), pa.int64()), pa.array(numbers, pa.int64()), pa.array([overlap] * len(numbers), pa.int32()),
+                                           pa.array([text[k * chunk:(k + 1) * chunk + overlap] for k in numbers], pa.string())], schema=schema)
+    return run
+
+
 def _spliced(huge: DataFrame, path: str, chunk: int, overlap: int) -> DataFrame:
     """(row, tokens) of huge texts; tokens are null where two chunks share no stable start."""
-    n = F.ceil((F.col("chars") - overlap) / chunk)
-    pieces = huge.withColumn("no", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(n, F.lit(1)).cast("long") - 1)))
-    pieces = pieces.select("row", "no", F.lit(overlap).alias("overlap"),
-                           F.substring("text", (F.col("no") * chunk + 1).cast("int"), F.lit(chunk + overlap)).alias("piece"))
+    pieces = huge.select("row", "text").mapInArrow(_cut_text(chunk, overlap), "row long, no long, overlap int, piece string")
     coded = pieces.repartition("row", "no").mapInArrow(_pieces(path, chunk), "row long, no long, tokens long, head array<long>, head_n array<long>, tail array<long>, tail_n array<long>")
     coded = coded.dropDuplicates(["row", "no"])
     order = Window.partitionBy("row").orderBy("no")
@@ -158,7 +171,7 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     short = short.mapInArrow(_whole(path, by_word), f"id {kind}, n_bytes long, tokens long")
     # Rows that look alike get the same key and the same count.
     huge = rows.where(F.length("text") > chunk_chars).withColumn("row", F.xxhash64("id", "text"))
-    texts = huge.select("row", "text", F.length("text").alias("chars"))
+    texts = huge.select("row", "text")
     done = cut(_spliced(texts, path, chunk_chars, overlap))
     found, wide = done.where("tokens is not null"), overlap
     left = done.where("tokens is null").select("row")

@@ -104,10 +104,10 @@ class ByteLevel:
         model = self.own.model
         return all([t.id for t in model.tokenize(e)] == [i] for e, i in vocab.items() if e not in special)
 
-    def __call__(self, text: str) -> list[int]:
+    def __call__(self, text: str) -> np.ndarray:
         if self.fast is not None and PLAIN.fullmatch(text):
-            return self.fast.encode_ordinary(text)
-        return self.own.encode(text, add_special_tokens=False).ids
+            return self.fast.encode_to_numpy(text).astype(np.int32)
+        return np.array(self.own.encode(text, add_special_tokens=False).ids, dtype=np.int32)
 
 
 class Pieces:
@@ -122,8 +122,8 @@ class Pieces:
         #: Whether a space mark can only begin a piece, so that a text may be cut before spaces.
         self.cuttable = not any("▁" in p.lstrip("▁") for p in names)
 
-    def __call__(self, text: str) -> list[int]:
-        return self.model.encode(text)
+    def __call__(self, text: str) -> np.ndarray:
+        return np.array(self.model.encode(text), dtype=np.int32)
 
 
 class Side:
@@ -146,8 +146,8 @@ def load(path_a: str, path_b: str, pattern: str | None) -> tuple[Side, Side]:
     return _LOADED[key]
 
 
-def encode_both(a: Side, b: Side, text: str, piece_chars: int = PIECE_CHARS) -> tuple[list[int], list[int]] | None:
-    """Ids of both sides, or None where their bytes are not a space and the text."""
+def encode_both(a: Side, b: Side, text: str, piece_chars: int = PIECE_CHARS) -> tuple[np.ndarray, np.ndarray] | None:
+    """Ids of both sides, or None where their byte lengths are not that of a space and the text."""
     pieces, at = [], 0
     if len(text) > piece_chars and b.encode.cuttable:
         for cut in SAFE_CUT.finditer(text):
@@ -155,27 +155,43 @@ def encode_both(a: Side, b: Side, text: str, piece_chars: int = PIECE_CHARS) ->
                 pieces.append(text[at:cut.start()])
                 at = cut.end()
     pieces.append(text[at:])
-    ids_a: list[int] = []
-    ids_b: list[int] = []
+    x, y = [], []
     for piece in pieces:  # each lacks the space before it, as the whole text does
-        raw = b" " + piece.encode()
-        x, y = a.encode(" " + piece), b.encode(piece)
-        if b"".join(map(a.bytes.__getitem__, x)) != raw or b"".join(map(b.bytes.__getitem__, y)) != raw:
-            return None
-        ids_a += x
-        ids_b += y
-    return ids_a, ids_b
+        x.append(a.encode(" " + piece))
+        y.append(b.encode(piece))
+    x, y = (v[0] if len(v) == 1 else np.concatenate(v) for v in (x, y))
+    size = 1 + len(text.encode())
+    return (x, y) if a.length[x].sum() == b.length[y].sum() == size else None
+
+
+def _between(first: int | None, middle: np.ndarray, last: int | None = None) -> np.ndarray:
+    """The values with one before and one behind them, where given."""
+    out = np.empty(len(middle) + (first is not None) + (last is not None), dtype=np.int64)
+    lo = int(first is not None)
+    out[lo:lo + len(middle)] = middle
+    if first is not None:
+        out[0] = first
+    if last is not None:
+        out[-1] = last
+    return out
 
 
 def cuts(a: Side, b: Side, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Token numbers of both sides at which windows begin, and the ends: the anchors."""
+    """Token numbers of both sides at which windows begin, and the ends: the anchors.
+
+    Both sides have the same length in bytes; that they are the same bytes is
+    verified window by window (``Block``).
+    """
     end_a, end_b = np.cumsum(a.length[x]), np.cumsum(b.length[y])
     here = np.zeros(int(end_a[-1]) + 1, dtype=np.int8)
     here[end_a] = 1
     here[end_b] += 2
-    at_a = np.flatnonzero((here[end_a[:-1]] == 3) & a.marked[x[1:]]) + 1
-    at_b = np.flatnonzero((here[end_b[:-1]] == 3) & b.marked[y[1:]]) + 1
-    return np.r_[0, at_a, len(x)], np.r_[0, at_b, len(y)]
+    shared_a, shared_b = here[end_a[:-1]] == 3, here[end_b[:-1]] == 3
+    # The k-th shared end is the same place on both sides.
+    mark_a, mark_b = a.marked[x[1:]][shared_a], b.marked[y[1:]][shared_b]
+    both = mark_a & mark_b
+    at_a, at_b = np.flatnonzero(shared_a)[both] + 1, np.flatnonzero(shared_b)[both] + 1
+    return _between(0, at_a, len(x)), _between(0, at_b, len(y))
 
 
 def id_names(x: np.ndarray, y: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> list[bytes]:
@@ -189,14 +205,15 @@ def id_names(x: np.ndarray, y: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -
 
 
 class Aligner:
-    """Alignments of windows: groups, their digest text, and the linked (a, b) as a << 32 | b, one for each link."""
+    """Alignments of windows: groups, their digest text, the linked (a, b) as a << 32 | b, one for each link,
+    and the window's bytes (None where the sides differ)."""
 
     def __init__(self, a: Side, b: Side):
         self.a, self.b = a, b
         self.ids = max(len(a.bytes), len(b.bytes))
         self.text = [f"{sep}{i}".encode() for sep in ("", ",", "|", ";") for i in range(self.ids)]
 
-    def __call__(self, x: np.ndarray, y: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> list[tuple[int, bytes, list[int]]]:
+    def __call__(self, x: np.ndarray, y: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> list[tuple[int, bytes, list[int], bytes | None]]:
         """Of windows laid end to end, which begin at tokens ``at_a`` and ``at_b`` (the ends included)."""
         end_a, end_b = np.cumsum(self.a.length[x]), np.cumsum(self.b.length[y])
         here = np.zeros(int(end_a[-1]) + 1, dtype=np.int8)
@@ -205,10 +222,12 @@ class Aligner:
         ends = np.flatnonzero(here)  # a link for each stretch between neighbouring ends of either side
         of_a, of_b, shared = here[ends] & 1, here[ends] >> 1, here[ends] == 3
         links = x[np.cumsum(of_a) - of_a].astype(np.int64) << 32 | y[np.cumsum(of_b) - of_b]
-        link_at = np.r_[0, np.searchsorted(ends, end_a[at_a[1:] - 1]) + 1]
-        group_at = np.r_[0, np.cumsum(shared)][link_at].tolist()
-        first_a = np.r_[0, np.flatnonzero(here[end_a] == 3) + 1]
-        first_b = np.r_[0, np.flatnonzero(here[end_b] == 3) + 1]
+        window_end = end_a[at_a[1:] - 1]
+        link_at = _between(0, np.searchsorted(ends, window_end) + 1)
+        group_at = _between(0, np.cumsum(shared))[link_at].tolist()
+        first_a = _between(0, np.flatnonzero(here[end_a] == 3) + 1)
+        first_b = _between(0, np.flatnonzero(here[end_b] == 3) + 1)
+        x, y = x.astype(np.int64), y.astype(np.int64)
         code_a, code_b = x + self.ids, y + self.ids  # a comma before each, but
         code_a[first_a[:-1]] = x[first_a[:-1]] + 3 * self.ids
         code_a[at_a[:-1]] = x[at_a[:-1]]
@@ -218,14 +237,21 @@ class Aligner:
         code[np.arange(len(y)) + np.repeat(first_a[1:], np.diff(first_b))] = code_b
         parts, pairs, text = code.tolist(), links.tolist(), self.text.__getitem__
         token_at, link_at = (at_a + at_b).tolist(), link_at.tolist()
-        return [(group_at[k + 1] - group_at[k], b"".join(map(text, parts[token_at[k]:token_at[k + 1]])), pairs[link_at[k]:link_at[k + 1]])
+        raw_a, raw_b = (b"".join(map(side.bytes.__getitem__, v.tolist())) for side, v in ((self.a, x), (self.b, y)))
+        edge = _between(0, window_end).tolist()
+        alike = raw_a == raw_b
+        raw = [raw_a[i:j] if alike or raw_a[i:j] == raw_b[i:j] else None for i, j in zip(edge, edge[1:])]
+        return [(group_at[k + 1] - group_at[k], b"".join(map(text, parts[token_at[k]:token_at[k + 1]])), pairs[link_at[k]:link_at[k + 1]], raw[k])
                 for k in range(len(at_a) - 1)]
 
-    def some(self, x: np.ndarray, y: np.ndarray, at_a: np.ndarray, at_b: np.ndarray, wanted: list[int]) -> list[tuple[int, bytes, list[int]]]:
+    def some(self, x: np.ndarray, y: np.ndarray, at_a: np.ndarray, at_b: np.ndarray, wanted: list[int]) -> list[tuple[int, bytes, list[int], bytes | None]]:
         """Of the windows ``wanted`` of a document."""
+        wanted = np.array(wanted, dtype=np.int64)
+
         def gather(v, at):
-            lo, n = at[wanted], at[np.array(wanted) + 1] - at[wanted]
-            edge = np.r_[0, np.cumsum(n)]
+            lo = at[wanted]
+            n = at[wanted + 1] - lo
+            edge = _between(0, np.cumsum(n))
             return v[np.arange(edge[-1]) + np.repeat(lo - edge[:-1], n)], edge
         (x, at_a), (y, at_b) = gather(x, at_a), gather(y, at_b)
         return self(x, y, at_a, at_b)
@@ -239,15 +265,21 @@ class Block:
         self.groups: list[int] = []
         self.texts: list[bytes] = []
         self.links: list[list[int]] = []
+        self.bytes: list[bytes | None] = []
         self.docs: list[tuple] = []
         self.held = 0
 
-    def number(self, name: bytes, window: tuple[int, bytes, list[int]]) -> int:
-        self.numbers[name] = at = len(self.groups)
+    def number(self, name: bytes, window: tuple[int, bytes, list[int], bytes | None]) -> None:
+        self.numbers[name] = len(self.groups)
         self.groups.append(window[0])
         self.texts.append(window[1])
         self.links.append(window[2])
-        return at
+        self.bytes.append(window[3])
+
+    def holds(self, found: list[int], text: str) -> bool:
+        """Whether the windows' bytes, alike on both sides, are a space and the text."""
+        raw = list(map(self.bytes.__getitem__, found))
+        return None not in raw and b"".join(raw) == b" " + text.encode()
 
     def add(self, key, n_a: int, n_b: int, found: list[int]) -> None:
         sha = hashlib.sha256(b";".join(map(self.texts.__getitem__, found))).hexdigest() if found else ""
@@ -300,8 +332,7 @@ def _blocks(path_a: str, path_b: str, pattern: str | None, id_type: pa.DataType,
                 if both is None:
                     block.add(key, 0, 0, [])
                 else:
-                    ids_a, ids_b = both
-                    x, y = np.array(ids_a, dtype=np.int32), np.array(ids_b, dtype=np.int32)
+                    x, y = both
                     at_a, at_b = cuts(a, b, x, y)
                     names = id_names(x, y, at_a, at_b)
                     found = list(map(block.numbers.get, names))
@@ -319,7 +350,7 @@ def _blocks(path_a: str, path_b: str, pattern: str | None, id_type: pa.DataType,
                         for name in first:
                             block.number(name, memo[name])
                         found = list(map(block.numbers.__getitem__, names))
-                    block.add(key, len(ids_a), len(ids_b), found)
+                    block.add(key, len(x), len(y), found) if block.holds(found, s) else block.add(key, 0, 0, [])
                 if block.held >= block_windows:
                     yield from block.rows(part << 32 | made, id_type)
                     block, made = Block(), made + 1

@@ -69,14 +69,15 @@ def test_byte_table_and_fast_library(sides, spark):
     texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     texts += [f"{x}{chr(c)}{y}" for c in range(0x180) for x, y in (("", ""), ("a", "a"), (" ", " "), ("  ", "b"), ("1", "1"), (".", "."), ("'", "s"))]
     for t in texts:
-        assert a.encode(" " + t) == a.encode.own.encode(" " + t, add_special_tokens=False).ids
+        assert a.encode(" " + t).tolist() == a.encode.own.encode(" " + t, add_special_tokens=False).ids
 
 
 def test_pieces_of_long_texts_give_the_tokens_of_the_whole(sides, spark):
     texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect() if r.text]
     texts += ["漢字 kana  two   three \n four\t five", " lead", "x" * 999 + " y " * 50, "a  b 　c d"]
     for t in texts:
-        assert T.encode_both(*sides, t, 40) == T.encode_both(*sides, t)
+        cut, whole = T.encode_both(*sides, t, 40), T.encode_both(*sides, t)
+        assert cut is whole is None or all((p == q).all() for p, q in zip(cut, whole, strict=True))
 
 
 def test_windows_cover_and_agree(sides):
