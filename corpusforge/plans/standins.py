@@ -127,7 +127,8 @@ def inject_page_features(pages: DataFrame) -> DataFrame:
                     F.lit('</div> tail</div><p title="1 > 0">Hi wor<wbr>d</p><img data-x="x alt=no" alt="c > d">'))
     is_hard = F.col("page_id") % 5 == 2
     html = F.replace(html, F.lit("<article>"), F.when(is_hard, hard).otherwise(body_extra))
-    html = F.when(is_hard, F.replace(html, F.lit('name="description"'), F.lit('name="description" data-x="a>b"'))).otherwise(html)
+    plain = 'name="description"'
+    html = F.replace(html, F.lit(plain), F.when(is_hard, F.lit(plain + ' data-x="a>b"')).otherwise(F.lit(plain)))
     html = F.when(F.col("page_id") % 3 == 0,
                   F.regexp_replace(html, r"(?s)<title>.*?</title>", "<title> </title>")).otherwise(html)
     html = F.when(F.col("page_id") % 6 == 0,

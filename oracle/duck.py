@@ -208,7 +208,7 @@ def html_title() -> str:
     h1 = element_text(rx_extract(marked_body(), H.H1_RE, 1))
     h2 = element_text(rx_extract(marked_body(), H.H2_RE, 1))
     found = rx_extract("body_part", H.TITLE_CLASS_RE, 0)
-    tc = (f"(SELECT {element_text('inner')} FROM (SELECT array_to_string(regexp_split_to_array(rest, pat)[1:coalesce(list_position(levels, 0), len(levels) + 1)], '') AS inner FROM "
+    tc = (f"(SELECT {element_text('held_html')} FROM (SELECT array_to_string(regexp_split_to_array(rest, pat)[1:coalesce(list_position(levels, 0), len(levels) + 1)], '') AS held_html FROM "
           f"(SELECT rest, pat, list_transform(range(1, len(steps) + 1), lambda i: 1 + list_sum(steps[1:i])) AS levels FROM "
           f"(SELECT rest, pat, list_transform(regexp_extract_all(rest, pat, 1), lambda z: CASE WHEN z = '/' OR tag = 'p' THEN -1 ELSE 1 END) AS steps FROM "
           f"(SELECT tag, {rx('found', H.FIRST_TAG_RE, '')} AS rest, {q(re2(H.OWN_TAGS_RE[0]))} || tag || {q(re2(H.OWN_TAGS_RE[1]))} AS pat FROM "
@@ -237,7 +237,7 @@ def distinct_in_order(lst: str) -> str:
 
 
 def html_headings() -> str:
-    return (f"list_filter(list_transform(regexp_extract_all({marked_body()}, {q(H.heading_re(3))}, 1), "
+    return (f"list_filter(list_transform(regexp_extract_all({marked_body()}, {q(re2(H.heading_re(3)))}, 1), "
             f"lambda h: {element_text('h')}), lambda h: h <> '')")
 
 
