@@ -38,7 +38,7 @@ import gc
 import hashlib
 import json
 import re
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 from .common import written
 
 #: Windows of a block, and alignments a task holds at most (the memo starts anew when full).
-BLOCK_WINDOWS, MEMO_WINDOWS = 1 << 20, 1 << 18
+BLOCK_WINDOWS, MEMO_WINDOWS = 1 << 20, 3 << 17
 PIECE_CHARS = 1 << 18
 #: Where both tokenizers start a new token in any context.
 SAFE_CUT = re.compile(r"(?<=[^\s\x00-\x20\x7f-\xa0]) (?=[^\s\x00-\x20\x7f-\xa0])")
@@ -104,10 +104,11 @@ class ByteLevel:
         model = self.own.model
         return all([t.id for t in model.tokenize(e)] == [i] for e, i in vocab.items() if e not in special)
 
-    def __call__(self, text: str) -> np.ndarray:
+    def __call__(self, text: str) -> tuple[np.ndarray, bool]:
+        """Ids, and whether it is certain that their bytes are the text's: the faster library only merges bytes."""
         if self.fast is not None and PLAIN.fullmatch(text):
-            return self.fast.encode_to_numpy(text).astype(np.int32)
-        return np.array(self.own.encode(text, add_special_tokens=False).ids, dtype=np.int32)
+            return np.array(self.fast.encode_ordinary(text), dtype=np.int32), True
+        return np.array(self.own.encode(text, add_special_tokens=False).ids, dtype=np.int32), False
 
 
 class Pieces:
@@ -146,8 +147,9 @@ def load(path_a: str, path_b: str, pattern: str | None) -> tuple[Side, Side]:
     return _LOADED[key]
 
 
-def encode_both(a: Side, b: Side, text: str, piece_chars: int = PIECE_CHARS) -> tuple[np.ndarray, np.ndarray] | None:
-    """Ids of both sides, or None where their byte lengths are not that of a space and the text."""
+def encode_both(a: Side, b: Side, text: str, piece_chars: int = PIECE_CHARS) -> tuple[np.ndarray, np.ndarray, bool] | None:
+    """Ids of both sides, and whether the first one's bytes are certain; None where
+    the byte lengths are not that of a space and the text."""
     pieces, at = [], 0
     if len(text) > piece_chars and b.encode.cuttable:
         for cut in SAFE_CUT.finditer(text):
@@ -155,13 +157,10 @@ def encode_both(a: Side, b: Side, text: str, piece_chars: int = PIECE_CHARS) ->
                 pieces.append(text[at:cut.start()])
                 at = cut.end()
     pieces.append(text[at:])
-    x, y = [], []
-    for piece in pieces:  # each lacks the space before it, as the whole text does
-        x.append(a.encode(" " + piece))
-        y.append(b.encode(piece))
-    x, y = (v[0] if len(v) == 1 else np.concatenate(v) for v in (x, y))
-    size = 1 + len(text.encode())
-    return (x, y) if a.length[x].sum() == b.length[y].sum() == size else None
+    found = [(*a.encode(" " + piece), b.encode(piece)) for piece in pieces]  # each lacks the space before it, as the text does
+    x, y = (found[0][k] if len(found) == 1 else np.concatenate([f[k] for f in found]) for k in (0, 2))
+    size = 1 + (len(text) if text.isascii() else len(text.encode()))
+    return (x, y, all(f[1] for f in found)) if a.length[x].sum() == b.length[y].sum() == size else None
 
 
 def _between(first: int | None, middle: np.ndarray, last: int | None = None) -> np.ndarray:
@@ -205,15 +204,15 @@ def id_names(x: np.ndarray, y: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -
 
 
 class Aligner:
-    """Alignments of windows: groups, their digest text, the linked (a, b) as a << 32 | b, one for each link,
-    and the window's bytes (None where the sides differ)."""
+    """Alignments of windows: groups, their digest text, the linked (a, b) as a << 32 | b in eight bytes, one
+    for each link, and the window's bytes (None where the sides differ)."""
 
     def __init__(self, a: Side, b: Side):
         self.a, self.b = a, b
         self.ids = max(len(a.bytes), len(b.bytes))
         self.text = [f"{sep}{i}".encode() for sep in ("", ",", "|", ";") for i in range(self.ids)]
 
-    def __call__(self, x: np.ndarray, y: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> list[tuple[int, bytes, list[int], bytes | None]]:
+    def __call__(self, x: np.ndarray, y: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> list[tuple[int, bytes, bytes, bytes | None]]:
         """Of windows laid end to end, which begin at tokens ``at_a`` and ``at_b`` (the ends included)."""
         end_a, end_b = np.cumsum(self.a.length[x]), np.cumsum(self.b.length[y])
         here = np.zeros(int(end_a[-1]) + 1, dtype=np.int8)
@@ -235,8 +234,8 @@ class Aligner:
         code = np.empty(len(x) + len(y), dtype=np.int64)
         code[np.arange(len(x)) + np.repeat(first_b[:-1], np.diff(first_a))] = code_a
         code[np.arange(len(y)) + np.repeat(first_a[1:], np.diff(first_b))] = code_b
-        parts, pairs, text = code.tolist(), links.tolist(), self.text.__getitem__
-        token_at, link_at = (at_a + at_b).tolist(), link_at.tolist()
+        parts, pairs, text = code.tolist(), links.tobytes(), self.text.__getitem__
+        token_at, link_at = (at_a + at_b).tolist(), (8 * link_at).tolist()
         raw_a, raw_b = (b"".join(map(side.bytes.__getitem__, v.tolist())) for side, v in ((self.a, x), (self.b, y)))
         edge = _between(0, window_end).tolist()
         alike = raw_a == raw_b
@@ -244,7 +243,7 @@ class Aligner:
         return [(group_at[k + 1] - group_at[k], b"".join(map(text, parts[token_at[k]:token_at[k + 1]])), pairs[link_at[k]:link_at[k + 1]], raw[k])
                 for k in range(len(at_a) - 1)]
 
-    def some(self, x: np.ndarray, y: np.ndarray, at_a: np.ndarray, at_b: np.ndarray, wanted: list[int]) -> list[tuple[int, bytes, list[int], bytes | None]]:
+    def some(self, x: np.ndarray, y: np.ndarray, at_a: np.ndarray, at_b: np.ndarray, wanted: list[int]) -> list[tuple[int, bytes, bytes, bytes | None]]:
         """Of the windows ``wanted`` of a document."""
         wanted = np.array(wanted, dtype=np.int64)
 
@@ -257,40 +256,44 @@ class Aligner:
         return self(x, y, at_a, at_b)
 
 
+NO_WINDOWS = np.zeros(0, dtype=np.int32)
+
+
 class Block:
     """Documents gathered until they hold enough windows."""
 
     def __init__(self):
         self.numbers: dict[bytes, int] = {}
-        self.groups: list[int] = []
+        self.windows: list[tuple[int, bytes, bytes, bytes | None]] = []
         self.texts: list[bytes] = []
-        self.links: list[list[int]] = []
-        self.bytes: list[bytes | None] = []
+        self.unlike: set[int] = set()  # windows whose sides differ
         self.docs: list[tuple] = []
         self.held = 0
 
-    def number(self, name: bytes, window: tuple[int, bytes, list[int], bytes | None]) -> None:
-        self.numbers[name] = len(self.groups)
-        self.groups.append(window[0])
+    def number(self, name: bytes, window: tuple[int, bytes, bytes, bytes | None]) -> None:
+        self.numbers[name] = number = len(self.texts)
+        if window[3] is None:
+            self.unlike.add(number)
+        self.windows.append(window)
         self.texts.append(window[1])
-        self.links.append(window[2])
-        self.bytes.append(window[3])
 
-    def holds(self, found: list[int], text: str) -> bool:
-        """Whether the windows' bytes, alike on both sides, are a space and the text."""
-        raw = list(map(self.bytes.__getitem__, found))
-        return None not in raw and b"".join(raw) == b" " + text.encode()
+    def holds(self, found: list[int], text: str, certain: bool) -> bool:
+        """Whether both sides' bytes are a space and the text: they are alike in every window, and the first one's are."""
+        if self.unlike and not self.unlike.isdisjoint(found):
+            return False
+        return certain or b"".join([self.windows[f][3] for f in found]) == b" " + text.encode()
 
-    def add(self, key, n_a: int, n_b: int, found: list[int]) -> None:
+    def add(self, key, n_a: int, n_b: int, found: list[int], numbered: np.ndarray) -> None:
         sha = hashlib.sha256(b";".join(map(self.texts.__getitem__, found))).hexdigest() if found else ""
-        self.docs.append((key, n_a, n_b, sha, np.array(found, dtype=np.int32)))
+        self.docs.append((key, n_a, n_b, sha, numbered))
         self.held += len(found) + 1
 
     def rows(self, name: int, id_type: pa.DataType):
         """Record batches of the block: its documents, its windows' pairs, and its distinct pairs."""
-        groups, sizes = np.array(self.groups, dtype=np.int64), np.array(list(map(len, self.links)), dtype=np.int64)
+        groups = np.array([w[0] for w in self.windows], dtype=np.int64)
+        sizes = np.array([len(w[2]) >> 3 for w in self.windows], dtype=np.int64)
         seen = np.bincount(np.concatenate([d[4] for d in self.docs]), minlength=len(groups))
-        flat = np.fromiter(chain.from_iterable(self.links), dtype=np.int64, count=int(sizes.sum()))
+        flat = np.frombuffer(b"".join([w[2] for w in self.windows]), dtype=np.int64)
         pairs, code = np.unique(flat, return_inverse=True)
         counts = np.bincount(code, weights=np.repeat(seen, sizes), minlength=len(pairs)).astype(np.int64)
         schema = block_schema(id_type)
@@ -330,17 +333,18 @@ def _blocks(path_a: str, path_b: str, pattern: str | None, id_type: pa.DataType,
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 both = encode_both(a, b, s) if (s := text.as_py()) else None
                 if both is None:
-                    block.add(key, 0, 0, [])
+                    block.add(key, 0, 0, [], NO_WINDOWS)
                 else:
-                    x, y = both
+                    x, y, certain = both
                     at_a, at_b = cuts(a, b, x, y)
                     names = id_names(x, y, at_a, at_b)
-                    found = list(map(block.numbers.get, names))
-                    if None in found:
+                    found = list(map(block.numbers.get, names, repeat(-1)))
+                    numbered = np.array(found, dtype=np.int32)
+                    missing = np.flatnonzero(numbered < 0).tolist()
+                    if missing:
                         first: dict[bytes, int] = {}
-                        for k, number in enumerate(found):
-                            if number is None:
-                                first.setdefault(names[k], k)
+                        for k in missing:
+                            first.setdefault(names[k], k)
                         new = [name for name in first if name not in memo]
                         if len(memo) + len(new) > MEMO_WINDOWS and memo:
                             memo.clear()
@@ -349,8 +353,12 @@ def _blocks(path_a: str, path_b: str, pattern: str | None, id_type: pa.DataType,
                             memo.update(zip(new, aligner.some(x, y, at_a, at_b, [first[name] for name in new])))
                         for name in first:
                             block.number(name, memo[name])
-                        found = list(map(block.numbers.__getitem__, names))
-                    block.add(key, len(x), len(y), found) if block.holds(found, s) else block.add(key, 0, 0, [])
+                        for k in missing:
+                            found[k] = numbered[k] = block.numbers[names[k]]
+                    if block.holds(found, s, certain):
+                        block.add(key, len(x), len(y), found, numbered)
+                    else:
+                        block.add(key, 0, 0, [], NO_WINDOWS)
                 if block.held >= block_windows:
                     yield from block.rows(part << 32 | made, id_type)
                     block, made = Block(), made + 1

@@ -69,7 +69,9 @@ def test_byte_table_and_fast_library(sides, spark):
     texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     texts += [f"{x}{chr(c)}{y}" for c in range(0x180) for x, y in (("", ""), ("a", "a"), (" ", " "), ("  ", "b"), ("1", "1"), (".", "."), ("'", "s"))]
     for t in texts:
-        assert a.encode(" " + t).tolist() == a.encode.own.encode(" " + t, add_special_tokens=False).ids
+        ids, certain = a.encode(" " + t)
+        assert not certain or b"".join(a.bytes[i] for i in ids) == b" " + t.encode()
+        assert ids.tolist() == a.encode.own.encode(" " + t, add_special_tokens=False).ids
 
 
 def test_pieces_of_long_texts_give_the_tokens_of_the_whole(sides, spark):
@@ -77,13 +79,13 @@ def test_pieces_of_long_texts_give_the_tokens_of_the_whole(sides, spark):
     texts += ["漢字 kana  two   three \n four\t five", " lead", "x" * 999 + " y " * 50, "a  b 　c d"]
     for t in texts:
         cut, whole = T.encode_both(*sides, t, 40), T.encode_both(*sides, t)
-        assert cut is whole is None or all((p == q).all() for p, q in zip(cut, whole, strict=True))
+        assert cut is whole is None or all((p == q).all() for p, q in zip(cut[:2], whole[:2], strict=True))
 
 
 def test_windows_cover_and_agree(sides):
     a, b = sides
     text = "Alignment of unbelievably  odd words: façade, naïveté, 12345 and x==y\n\tdone " * 3
-    x, y = (np.array(v, dtype=np.int32) for v in T.encode_both(a, b, text))
+    x, y = (np.array(v, dtype=np.int32) for v in T.encode_both(a, b, text)[:2])
     at_a, at_b = T.cuts(a, b, x, y)
     assert len(at_a) == len(at_b) > 20
     join = lambda s, v: b"".join(s.bytes[i] for i in v)
