@@ -15,7 +15,9 @@ doubled sizes, up to the whole stretch, so a copy is found however many words
 are inserted in it. Words of a short notice may also be scattered over a text
 by chance, so a match has a ``density``, its aligned words over the words it
 spreads over: matches of at least ``min_density`` come first, and only these
-name the license of a text; the others are listed beside them.
+name the license of a text; the others are listed beside them. Where a template
+holds all words of another one, a dense match of the longer template that is
+covered as well stands for both at its place.
 
 Templates are a table of names and texts, given as a dict or a DataFrame of at
 most ``MAX_TEMPLATES`` rows; work is per document in Arrow batches, nothing is
@@ -33,7 +35,7 @@ may have any name.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 
 import pyarrow as pa
@@ -155,6 +157,7 @@ class Scanner:
         self.min_coverage, self.min_density = min_coverage, min_density
         self.templates = {name: w for name, t in templates.items() if (w := words(t))}
         self.bags = {name: Counter(t) for name, t in self.templates.items()}
+        self.longer = {name: [other for other, b in self.bags.items() if bag < b] for name, bag in self.bags.items()}
         self.starts: dict[tuple[str, str], list[tuple[str, int]]] = {}
         for name, t in self.templates.items():
             for p, pair in enumerate(zip(t, t[1:])):
@@ -218,8 +221,18 @@ class Scanner:
                         near[name].append(got)
                         behind[name] = got[2]
         found = [(name, *got) for name, matches in near.items() for got in matches + self._spread(name, text, matches)]
+        found = [m for m in found if not self._held(m, near)]
         return sorted(found, key=lambda x: (self.density(x) < self.min_density, -x[1], -len(self.templates[x[0]]), -self.density(x), x[2], x[0]))
 
+    def _held(self, match: tuple[str, float, int, int], near: dict[str, list[tuple[float, int, int]]]) -> bool:
+        """Whether a dense match, as well covered, of a longer template that holds all words of this one's is at the place."""
+        for longer in self.longer.get(match[0], ()):
+            matches = near.get(longer, [])  # ascending, without overlaps
+            k = bisect_right(matches, match[2], key=lambda m: m[1]) - 1
+            if k >= 0 and matches[k][0] >= match[1] and match[3] <= matches[k][2] and self.density((longer, *matches[k])) >= self.min_density:
+                return True
+        return False
+
     def density(self, match: tuple[str, float, int, int]) -> float:
         """Aligned words of a match over the words it spreads over."""
         name, coverage, first, end = match

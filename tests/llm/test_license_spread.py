@@ -67,7 +67,7 @@ def test_scattered_words_name_no_license(spark):
     assert got[1].license is None and got[1].coverage is None and got[1].n_matches == 2  # with and without the article
     assert got[1].matches[0].license == "mit-notice" and got[1].matches[0].coverage == 1.0 and got[1].matches[0].density < 0.001
     assert got[2].license == "mit-notice" and got[2].density == 1.0
-    assert [m.license for m in got[2].matches if m.density < 0.5] == ["gpl-3.0-notice"]
+    assert "gpl-3.0-notice" in [m.license for m in got[2].matches if m.density < 0.5]
     assert got[3].license == "mit-notice" and 0.8 < got[3].density < 0.9
 
 
@@ -75,6 +75,8 @@ def test_common_notices_are_told_apart(spark):
     rows = [(i, f"// {t}\n int main", "x") for i, t in enumerate(TEMPLATES.values())]
     got = scan(spark, rows)
     assert [got[i].license for i in range(len(rows))] == list(TEMPLATES)
+    # A notice is not listed again for the shorter template it holds.
+    assert got[list(TEMPLATES).index("mit-notice")].n_matches == 1 and got[list(TEMPLATES).index("cc-by-nc-4.0-notice")].n_matches == 1
 
 
 def test_templates_as_a_table_ties_and_odd_rows(spark):
