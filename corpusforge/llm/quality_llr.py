@@ -102,7 +102,8 @@ def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: s
     sieve = _sieve(ids)
     # The subquery is named above the condition, so Catalyst puts it in place of the column and no row carries it.
     few = rows.withColumn("__sieve", sieve.scalar()).where(_may_hold(F.col("__sieve"), F.col("__id"))).select("__id", "__text")
-    good = _counts(few.join(ids, F.col("__id") == F.col("__t"), "left_semi"), buckets).withColumnRenamed("n", "good")
+    # A merge join at any size: the plan, and what it moves, must not depend on how many ids there are.
+    good = _counts(few.join(ids.hint("merge"), F.col("__id") == F.col("__t"), "left_semi"), buckets).withColumnRenamed("n", "good")
     counts = _counts(rows, buckets).withColumnRenamed("n", "raw").join(good, "b", "left")
     spark = docs.sparkSession
     every = spark.range(buckets).select(F.col("id").cast("int").alias("b"))
