@@ -139,16 +139,19 @@ def _score_blocks(k: int, k1: float, b: float, precision: int, q_type: pa.DataTy
     def run(rows: pa.Table) -> pa.Table:
         docs = rows.filter(pc.is_valid(rows.column("ids"))).slice(0, 1).to_pylist()[0]
         ids, length = docs["ids"], np.array(docs["lengths"], dtype=np.float64)
+        # A list's shares are kept once, in no more than its own length, and weighed for one query at a time.
         asked: dict = {}
-        for r in rows.filter(pc.is_valid(rows.column("qids"))).to_pylist():
-            at, tf = np.frombuffer(r["docs"], dtype=np.int32), np.frombuffer(r["tfs"], dtype=np.int32).astype(np.float64)
-            share = tf / (tf + k1 * (1 - b + b * length[at] / r["avgdl"]))
-            most = float(share.max())
-            for q, w in zip(r["qids"], r["weights"]):
-                asked.setdefault(q, []).append((w * most, at, w * share))
+        lists = rows.filter(pc.is_valid(rows.column("qids"))).select(["docs", "tfs", "avgdl", "qids", "weights"])
+        for batch in lists.to_batches(max_chunksize=64):
+            for r in batch.to_pylist():
+                at, tf = np.frombuffer(r["docs"], dtype=np.int32), np.frombuffer(r["tfs"], dtype=np.int32).astype(np.float64)
+                share = tf / (tf + k1 * (1 - b + b * length[at] / r["avgdl"]))
+                most = float(share.max())
+                for q, w in zip(r["qids"], r["weights"]):
+                    asked.setdefault(q, []).append((w, most, at, share))
         found = []
-        for q, lists in asked.items():
-            at, score = top_of_block(lists, len(ids), k, 2 * 10.0 ** -precision)
+        for q, weighed in asked.items():
+            at, score = top_of_block([(w * most, at, w * share) for w, most, at, share in weighed], len(ids), k, 2 * 10.0 ** -precision)
             ranked = sorted(zip((-np.round(score, precision)).tolist(), [ids[i] for i in at.tolist()], score.tolist()))
             found += [(q, d, s) for _, d, s in ranked[:k]]
         cols = list(zip(*found)) or [(), (), ()]
