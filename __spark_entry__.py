@@ -376,7 +376,7 @@ def _lang_tokens(lang):
 
 def _doc_terms(spark, sf_dir):
     d = _t(spark, sf_dir, "documents")
-    return search.doc_terms(d, "doc_id", "text", lang_col="lang", languages=LANGS)
+    return search.doc_terms(d, "doc_id", "text", lang_col="lang", languages=LANGS, mark=True)
 
 
 def q_postings(spark, sf_dir):

@@ -12,7 +12,7 @@ from __future__ import annotations
 import unicodedata
 from functools import partial
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ------------------------------------------------------------------ folding
@@ -41,6 +41,11 @@ FOLD_FROM = _RULE_FROM + "".join(a for a, _ in FOLD_SINGLE)
 FOLD_TO = _RULE_TO + "".join(b for _, b in FOLD_SINGLE)
 
 
+def _ascii(c: Column) -> Column:
+    """As many bytes as characters: nothing to fold."""
+    return F.octet_length(c) == F.length(c)
+
+
 def fold(c: Column) -> Column:
     """Lower-case and strip accents (normaliser + folding)."""
     c = F.translate(F.lower(c), FOLD_FROM, FOLD_TO)
@@ -109,40 +114,48 @@ def stem_en(t: Column) -> Column:
 
 
 # Sequential optional strips of final s, r, e, é equal removing the longest
-# suffix of this form.
+# suffix of this form; its ways by length, longest first.
 FR_ENDINGS_RE = "é?e?r?s?$"
+FR_ENDINGS = {4: ("éers",), 3: ("ers", "érs", "ées", "éer"), 2: ("rs", "es", "er", "és", "ér", "ée"), 1: ("s", "r", "e", "é")}
 
 
 def stem_fr(t: Column) -> Column:
     """Minimal French stemmer: plural and a few inflection endings."""
-    x = F.regexp_replace(t, FR_ENDINGS_RE, "")
-    last, prev = F.substring(x, -1, 1), F.substring(x, -2, 1)
-    x = F.when((_len(x) >= 2) & (last == prev) & last.rlike(r"^\p{L}$"), _drop(x, 1)).otherwise(x)
+    cut = None
+    for n, endings in FR_ENDINGS.items():
+        fits = F.substring(t, -n, n).isin(*endings)
+        cut = F.when(fits, n) if cut is None else cut.when(fits, n)
+    k = _len(t) - cut.otherwise(0)  # of six characters or more, so at least two are left
+    last = F.substring(t, k, F.lit(1))
+    double = (last == F.substring(t, k - 1, F.lit(1))) & last.rlike(r"^\p{L}$")
     return (F.when(_len(t) < 6, t)
              .when(t.endswith("aux"), F.concat(_drop(t, 3), F.lit("al")))
              .when(t.endswith("x"), _drop(t, 1))
-             .otherwise(x))
+             .otherwise(F.substring(t, F.lit(1), k - F.when(double, 1).otherwise(0))))
 
 
 def stem_de(t: Column) -> Column:
-    """Minimal German stemmer: umlauts, then plural/case endings."""
-    u = F.translate(t, "äöü", "aou")
-    return (F.when(_len(t) < 5, t)
-             .when((_len(u) > 6) & u.endswith("nen"), _drop(u, 3))
-             .when((_len(u) > 5) & F.substring(u, -2, 2).isin("en", "se", "es", "er"), _drop(u, 2))
-             .when(_last(u).isin("n", "s", "r", "e"), _drop(u, 1))
-             .otherwise(u))
+    """Minimal German stemmer: umlauts, then plural/case endings (which no umlaut touches)."""
+    x = (F.when((_len(t) > 6) & t.endswith("nen"), _drop(t, 3))
+          .when((_len(t) > 5) & F.substring(t, -2, 2).isin("en", "se", "es", "er"), _drop(t, 2))
+          .when(_last(t).isin("n", "s", "r", "e"), _drop(t, 1))
+          .otherwise(t))
+    return F.when(_len(t) < 5, t).when(_ascii(t), x).otherwise(F.translate(x, "äöü", "aou"))
+
+
+ES_ACCENTS = ("àáâäòóôöèéêëùúûüìíîï", "aaaaooooeeeeuuuuiiii")
 
 
 def stem_es(t: Column) -> Column:
     """Light Spanish stemmer: accents, then gender/plural endings."""
-    u = F.translate(t, "àáâäòóôöèéêëùúûüìíîï", "aaaaooooeeeeuuuuiiii")
-    return (F.when(_len(t) < 5, t)
-             .when(_last(u).isin("o", "a", "e"), _drop(u, 1))
-             .when(u.endswith("eses"), _drop(u, 2))
-             .when(u.endswith("ces"), F.concat(_drop(u, 3), F.lit("z")))
-             .when(u.endswith("s") & _last(u, 2).isin("o", "a", "e"), _drop(u, 2))
-             .otherwise(u))
+    end = F.translate(F.substring(t, -4, 4), *ES_ACCENTS)
+    x = (F.when(_last(t).isin(*"oaeòóôöàáâäèéêë"), _drop(t, 1))
+          .when(~t.endswith("s"), t)
+          .when(end == "eses", _drop(t, 2))
+          .when(end.endswith("ces"), F.concat(_drop(t, 3), F.lit("z")))
+          .when(_last(end, 2).isin("o", "a", "e"), _drop(t, 2))
+          .otherwise(t))
+    return F.when(_len(t) < 5, t).when(_ascii(t), x).otherwise(F.translate(x, *ES_ACCENTS))
 
 
 # Published light stemmers as stages, each a character map (from, to) or
@@ -239,6 +252,11 @@ STEMMERS = {"en": stem_en, "fr": stem_fr, "de": stem_de, "es": stem_es,
 # ----------------------------------------------------------------- analyzers
 
 
+def _elided(word: Column) -> Column:
+    """A French word without its elided article; words without apostrophe skip the pattern."""
+    return F.when(word.contains("'") | word.contains("’"), F.regexp_replace(word, ELISION_RE, "")).otherwise(word)
+
+
 def language_term(word: Column, lang: str) -> Column:
     """One word through a language's filters: [elision] -> [stem] -> fold.
 
@@ -247,7 +265,7 @@ def language_term(word: Column, lang: str) -> Column:
     """
     t = word
     if lang == "fr":
-        t = F.regexp_replace(t, ELISION_RE, "")
+        t = _elided(t)
     stem = STEMMERS.get(lang)
     if stem is not None:
         t = stem(t)
@@ -256,7 +274,7 @@ def language_term(word: Column, lang: str) -> Column:
 
 def _language_stem(word: Column, lang: str) -> Column:
     """A language's filters before folding: [elision] -> [stem]."""
-    t = F.regexp_replace(word, ELISION_RE, "") if lang == "fr" else word
+    t = _elided(word) if lang == "fr" else word
     stem = STEMMERS.get(lang)
     return stem(t) if stem is not None else t
 
@@ -274,6 +292,23 @@ def term_for_language(word: Column, lang_col: Column, languages=("en", "fr", "de
     return fold(word if expr is None else expr.otherwise(word))
 
 
+def with_terms(words: DataFrame, languages=("en", "fr", "de", "es"), word: str = "word", lang_col: str = "lang") -> DataFrame:
+    """``words`` with ``term``: ``term_for_language`` a step at a time, for large tables.
+
+    Each step is a projection, so its generated code is a method of its own,
+    small enough to be compiled, and a stem is made once however often the
+    next step names it. ASCII stems are only lowered.
+    """
+    out = words.withColumn("term", F.col(word))
+    if "fr" in languages:
+        out = out.withColumn("term", F.when(F.col(lang_col) == "fr", _elided(F.col("term"))).otherwise(F.col("term")))
+    for lang in (x for x in languages if x in STEMMERS):
+        out = out.withColumn("term", F.when(F.col(lang_col) == lang, STEMMERS[lang](F.col("term"))).otherwise(F.col("term")))
+    folded = F.when(_ascii(F.col("term")), F.lower("term")).otherwise(fold(F.col("term")))
+    # Through an array of one: a filter on the term (as a join adds) would else be pushed down through all steps, written out at each.
+    return out.select(*words.columns, F.explode_outer(F.array(folded)).alias("term"))
+
+
 CJK_WORD_RE = r"^[\p{IsHangul}\p{IsHan}\p{IsHiragana}\p{IsKatakana}]{2,}$"
 # Languages analysed by overlapping character bigrams of CJK runs.
 BIGRAM_LANGUAGES = ("ko",)
