@@ -9,6 +9,13 @@ cut a document into windows of token ids, nearly always a word, and a window's
 alignment (its groups between shared ends, and its links between overlapping
 tokens) depends on the ids alone, so it is memoised by its two id tuples.
 
+A tokenizer that never joins a character and white space behind it (checked on
+both files) gives a word, with the white space before it, the same tokens in
+every text: its window needs no look at the text around it. There the windows
+are the words themselves, a block looks them up by their characters, and only
+words that it has not met are encoded, all of a document's in one go. Their
+bytes are checked word by word.
+
 Corpus-wide counts of linked id pairs need one count per pair and a look
 back. Documents are written in blocks of a bounded number of windows: of each
 document its totals and the numbers of its windows within the block, of each
@@ -27,7 +34,7 @@ tokens are those of the whole text, in bounded memory of the libraries.
 Defined cases: texts that are null, empty, or whose joined bytes on either
 side differ from a space and the text have no tokens, zero counts and an
 empty digest; special strings inside texts are plain text; very long texts
-make a block of their own; rows of one id are aligned one by one and each
+make a block of their own, and a window of many links counts as several; rows of one id are aligned one by one and each
 gets a row; a null id is kept; an empty table gives an empty result. Only the
 id and the text are read, so other columns may have any name.
 """
@@ -50,11 +57,20 @@ from .common import written
 
 #: Windows of a block, and alignments a task holds at most (the memo starts anew when full).
 BLOCK_WINDOWS, MEMO_WINDOWS = 1 << 20, 3 << 17
+#: Longer words are aligned again by each block, and links beyond these weigh as one more window each time.
+MEMO_CHARS, WINDOW_LINKS = 64, 64
 PIECE_CHARS = 1 << 18
 #: Where both tokenizers start a new token in any context.
 SAFE_CUT = re.compile(r"(?<=[^\s\x00-\x20\x7f-\xa0]) (?=[^\s\x00-\x20\x7f-\xa0])")
 #: Characters that both pattern engines are known to class alike (tests hold them against each other).
 PLAIN = re.compile(r"[\t-\r\x20-\x7e\xa1-\xac\xae-ſ]*")
+#: White space before which words are cut, and other white space, some of which pieces hold behind a
+#: character, with what some pattern engines may take for it: no cut is made behind those.
+WHITE = "\\t-\\f "
+UNSURE = "\\x00-\\x08\\x0d-\\x1f\\x7f-\\xa0\\u1680\\u180e\\u2000-\\u200f\\u2028-\\u202f\\u205f-\\u2064\\u3000\\ufeff"
+ANY_UNSURE = re.compile(f"[{UNSURE}]")
+#: White space and a word; and, in texts with unsure characters, the cuts between words.
+WORD, WORD_CUT = re.compile(f"[{WHITE}]+[^{WHITE}]*"), re.compile(f"(?<=[^{UNSURE}{WHITE}])(?=[{WHITE}])")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -90,6 +106,9 @@ class ByteLevel:
         for entry, i in vocab.items():
             if entry not in special:
                 self.bytes[i] = bytes(alphabet[c] for c in entry)
+        #: Whether words are those of the byte-level pattern, none of which holds white space behind another character.
+        self.cuttable = spec.get("normalizer") is None and spec["pre_tokenizer"] == {
+            "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
         self.fast = None
         if pattern is not None and self._merges_by_id(spec, vocab, special):
             import tiktoken
@@ -120,8 +139,8 @@ class Pieces:
         names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.bytes = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else b"" if self.model.is_control(i) or self.model.is_unknown(i)
                       else p.replace("▁", " ").encode() for i, p in enumerate(names)]
-        #: Whether a space mark can only begin a piece, so that a text may be cut before spaces.
-        self.cuttable = not any("▁" in p.lstrip("▁") for p in names)
+        #: Whether the white space of ``WHITE`` can only begin a piece, so that a text may be cut before it.
+        self.cuttable = not any(re.search("[▁\t-\f]", p.lstrip("▁\t\n\v\f")) for p in names)
 
     def __call__(self, text: str) -> np.ndarray:
         return np.array(self.model.encode(text), dtype=np.int32)
@@ -203,16 +222,19 @@ def id_names(x: np.ndarray, y: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -
     return [raw[i:j] for i, j in zip(edge, edge[1:])]
 
 
+AlignedWindow = tuple[int, bytes, bytes, bytes | None, int, int]
+
+
 class Aligner:
     """Alignments of windows: groups, their digest text, the linked (a, b) as a << 32 | b in eight bytes, one
-    for each link, and the window's bytes (None where the sides differ)."""
+    for each link, the window's bytes (None where the sides differ), and its tokens on both sides."""
 
     def __init__(self, a: Side, b: Side):
         self.a, self.b = a, b
         self.ids = max(len(a.bytes), len(b.bytes))
         self.text = [f"{sep}{i}".encode() for sep in ("", ",", "|", ";") for i in range(self.ids)]
 
-    def __call__(self, x: np.ndarray, y: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> list[tuple[int, bytes, bytes, bytes | None]]:
+    def __call__(self, x: np.ndarray, y: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> list[AlignedWindow]:
         """Of windows laid end to end, which begin at tokens ``at_a`` and ``at_b`` (the ends included)."""
         end_a, end_b = np.cumsum(self.a.length[x]), np.cumsum(self.b.length[y])
         here = np.zeros(int(end_a[-1]) + 1, dtype=np.int8)
@@ -240,10 +262,12 @@ class Aligner:
         edge = _between(0, window_end).tolist()
         alike = raw_a == raw_b
         raw = [raw_a[i:j] if alike or raw_a[i:j] == raw_b[i:j] else None for i, j in zip(edge, edge[1:])]
-        return [(group_at[k + 1] - group_at[k], b"".join(map(text, parts[token_at[k]:token_at[k + 1]])), pairs[link_at[k]:link_at[k + 1]], raw[k])
+        n_a, n_b = np.diff(at_a).tolist(), np.diff(at_b).tolist()
+        return [(group_at[k + 1] - group_at[k], b"".join(map(text, parts[token_at[k]:token_at[k + 1]])), pairs[link_at[k]:link_at[k + 1]], raw[k],
+                 n_a[k], n_b[k])
                 for k in range(len(at_a) - 1)]
 
-    def some(self, x: np.ndarray, y: np.ndarray, at_a: np.ndarray, at_b: np.ndarray, wanted: list[int]) -> list[tuple[int, bytes, bytes, bytes | None]]:
+    def some(self, x: np.ndarray, y: np.ndarray, at_a: np.ndarray, at_b: np.ndarray, wanted: list[int]) -> list[AlignedWindow]:
         """Of the windows ``wanted`` of a document."""
         wanted = np.array(wanted, dtype=np.int64)
 
@@ -256,6 +280,32 @@ class Aligner:
         return self(x, y, at_a, at_b)
 
 
+def words_of(text: str) -> list[str]:
+    """A space and the text, cut where white space follows another character."""
+    return WORD_CUT.split(" " + text) if ANY_UNSURE.search(text) else WORD.findall(" " + text)
+
+
+#: Of a word whose bytes differ on some side.
+UNLIKE: AlignedWindow = (0, b"", b"", None, 0, 0)
+
+
+def align_words(aligner: Aligner, words: list[str]) -> list[AlignedWindow]:
+    """Windows of words as ``words_of`` gives them; one that ends in white space has to be the last."""
+    both = encode_both(aligner.a, aligner.b, "a" + "".join(words))
+    if both is not None:
+        x, y, _ = both
+        raw = [word.encode() for word in words]
+        ends = np.cumsum([2, *map(len, raw)])  # the first is that of the letter before them
+        end_a, end_b = np.cumsum(aligner.a.length[x]), np.cumsum(aligner.b.length[y])
+        last_a, last_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
+        if (end_a[last_a] == ends).all() and (end_b[last_b] == ends).all():
+            found = aligner(x, y, _between(0, last_a + 1), _between(0, last_b + 1))[1:]
+            return [w if w[3] == r else UNLIKE for w, r in zip(found, raw)]
+    if len(words) == 1:
+        return [UNLIKE]
+    return [align_words(aligner, [word])[0] for word in words]
+
+
 NO_WINDOWS = np.zeros(0, dtype=np.int32)
 
 
@@ -263,19 +313,20 @@ class Block:
     """Documents gathered until they hold enough windows."""
 
     def __init__(self):
-        self.numbers: dict[bytes, int] = {}
-        self.windows: list[tuple[int, bytes, bytes, bytes | None]] = []
+        self.numbers: dict[str | bytes, int] = {}  # by the word, or by both id tuples
+        self.windows: list[AlignedWindow] = []
         self.texts: list[bytes] = []
         self.unlike: set[int] = set()  # windows whose sides differ
         self.docs: list[tuple] = []
         self.held = 0
 
-    def number(self, name: bytes, window: tuple[int, bytes, bytes, bytes | None]) -> None:
+    def number(self, name: str | bytes, window: AlignedWindow) -> None:
         self.numbers[name] = number = len(self.texts)
         if window[3] is None:
             self.unlike.add(number)
         self.windows.append(window)
         self.texts.append(window[1])
+        self.held += len(window[2]) // (8 * WINDOW_LINKS)
 
     def holds(self, found: list[int], text: str, certain: bool) -> bool:
         """Whether both sides' bytes are a space and the text: they are alike in every window, and the first one's are."""
@@ -283,24 +334,24 @@ class Block:
             return False
         return certain or b"".join([self.windows[f][3] for f in found]) == b" " + text.encode()
 
-    def add(self, key, n_a: int, n_b: int, found: list[int], numbered: np.ndarray) -> None:
+    def add(self, key, found: list[int], numbered: np.ndarray) -> None:
         sha = hashlib.sha256(b";".join(map(self.texts.__getitem__, found))).hexdigest() if found else ""
-        self.docs.append((key, n_a, n_b, sha, numbered))
+        self.docs.append((key, sha, numbered))
         self.held += len(found) + 1
 
     def rows(self, name: int, id_type: pa.DataType):
         """Record batches of the block: its documents, its windows' pairs, and its distinct pairs."""
-        groups = np.array([w[0] for w in self.windows], dtype=np.int64)
+        groups, n_a, n_b = (np.array([w[k] for w in self.windows], dtype=np.int64) for k in (0, 4, 5))
         sizes = np.array([len(w[2]) >> 3 for w in self.windows], dtype=np.int64)
-        seen = np.bincount(np.concatenate([d[4] for d in self.docs]), minlength=len(groups))
+        seen = np.bincount(np.concatenate([d[2] for d in self.docs]), minlength=len(groups))
         flat = np.frombuffer(b"".join([w[2] for w in self.windows]), dtype=np.int64)
         pairs, code = np.unique(flat, return_inverse=True)
         counts = np.bincount(code, weights=np.repeat(seen, sizes), minlength=len(pairs)).astype(np.int64)
         schema = block_schema(id_type)
         for at in range(0, len(self.docs), 1024):
-            ids, n_a, n_b, shas, found = zip(*self.docs[at:at + 1024])
-            yield _batch(schema, len(ids), block=name, kind=0, id=ids, n_a=n_a, n_b=n_b, n_groups=[int(groups[f].sum()) for f in found],
-                         n_links=[int(sizes[f].sum()) for f in found], groups_sha256=shas, codes=[f.tobytes() for f in found])
+            ids, shas, found = zip(*self.docs[at:at + 1024])
+            sums = {col: [int(v[f].sum()) for f in found] for col, v in (("n_a", n_a), ("n_b", n_b), ("n_groups", groups), ("n_links", sizes))}
+            yield _batch(schema, len(ids), block=name, kind=0, id=ids, groups_sha256=shas, codes=[f.tobytes() for f in found], **sums)
         yield _batch(schema, 1, block=name, kind=1, codes=[code.astype(np.int32).tobytes()], sizes=[sizes.astype(np.int32).tobytes()])
         for at in range(0, len(pairs), 1 << 16):
             part = slice(at, at + (1 << 16))
@@ -328,37 +379,40 @@ def _blocks(path_a: str, path_b: str, pattern: str | None, id_type: pa.DataType,
         a, b = load(path_a, path_b, pattern)
         part, made = TaskContext.get().partitionId(), 0
         aligner, memo = Aligner(a, b), {}
+        by_words = a.encode.cuttable and b.encode.cuttable
         block = Block()
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                both = encode_both(a, b, s) if (s := text.as_py()) else None
-                if both is None:
-                    block.add(key, 0, 0, [], NO_WINDOWS)
-                else:
+                both, names, certain = None, [], True
+                if (s := text.as_py()) and by_words:
+                    names = words_of(s)
+                elif s and (both := encode_both(a, b, s)) is not None:
                     x, y, certain = both
                     at_a, at_b = cuts(a, b, x, y)
                     names = id_names(x, y, at_a, at_b)
-                    found = list(map(block.numbers.get, names, repeat(-1)))
-                    numbered = np.array(found, dtype=np.int32)
-                    missing = np.flatnonzero(numbered < 0).tolist()
-                    if missing:
-                        first: dict[bytes, int] = {}
-                        for k in missing:
-                            first.setdefault(names[k], k)
-                        new = [name for name in first if name not in memo]
-                        if len(memo) + len(new) > MEMO_WINDOWS and memo:
-                            memo.clear()
-                            new = list(first)
-                        if new:
-                            memo.update(zip(new, aligner.some(x, y, at_a, at_b, [first[name] for name in new])))
-                        for name in first:
-                            block.number(name, memo[name])
-                        for k in missing:
-                            found[k] = numbered[k] = block.numbers[names[k]]
-                    if block.holds(found, s, certain):
-                        block.add(key, len(x), len(y), found, numbered)
-                    else:
-                        block.add(key, 0, 0, [], NO_WINDOWS)
+                found = list(map(block.numbers.get, names, repeat(-1)))
+                numbered = np.array(found, dtype=np.int32)
+                missing = np.flatnonzero(numbered < 0).tolist()
+                if missing:
+                    first: dict[str | bytes, int] = {}
+                    for k in missing:
+                        first.setdefault(names[k], k)
+                    new = [name for name in first if name not in memo]
+                    if len(memo) + len(new) > MEMO_WINDOWS and memo:
+                        memo.clear()
+                        new = list(first)
+                    fresh = {}
+                    if new:
+                        fresh = dict(zip(new, align_words(aligner, new) if by_words else aligner.some(x, y, at_a, at_b, [first[name] for name in new])))
+                        memo.update(fresh if not by_words else {name: w for name, w in fresh.items() if len(name) <= MEMO_CHARS})
+                    for name in first:
+                        block.number(name, fresh[name] if name in fresh else memo[name])
+                    for k in missing:
+                        found[k] = numbered[k] = block.numbers[names[k]]
+                if names and block.holds(found, s, certain):
+                    block.add(key, found, numbered)
+                else:
+                    block.add(key, [], NO_WINDOWS)
                 if block.held >= block_windows:
                     yield from block.rows(part << 32 | made, id_type)
                     block, made = Block(), made + 1
